@@ -184,4 +184,4 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", **ho
     """All documents, with all their columns, their texts without the hit words."""
     kind = docs.schema.simpleString()
     cut = scan(docs, benchmark, F.struct("*"), kind, text, **how).select("row", "text", "hits").mapInArrow(_cut, f"row {kind}, text binary")
-    return cut.select(*[F.decode("text", F.lit("UTF-8")).alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+    return cut.select(*[F.decode("text", "UTF-8").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

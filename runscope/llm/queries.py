@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runscope.llm import decontaminate, line_dedup, packing, simhash
+from runscope.llm import decontaminate, embeddings, line_dedup, packing, quality, secrets, simhash, substrings, suffixes, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,17 +20,64 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table labels secrets, so findings are labelled by a stated rule: a value of letters and digits that is assigned to a name like
+    `token` is one; it trains on four fifths of the documents and scores all."""
+    is_finding = (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digit_letter") >= 0.1)
+    out = secrets.scan(table(spark, sf_dir, "documents"), is_finding.cast("double"), F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
+    return out.select("doc_id", "word", "candidate", F.round("score", 6).alias("score"), "is_secret")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = decontaminate.scan(docs, table(spark, sf_dir, "benchmark"), F.col("doc_id"), "long")
     return out.select(F.col("row").alias("doc_id"), "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = lambda: F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    model = quality.train(docs, table(spark, sf_dir, "labels"), ~held_out())
+    out = quality.score(docs, model, F.col("doc_id"), "long").withColumnRenamed("row", "doc_id")
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+#: Hosts to list: no table has a block list, so those named like spam are taken.
+SPAM_HOST = r"(^|[.-])(casino|spam)([.-]|$)"
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.select(url_filter.host_and_path(F.col("url"))[0].alias("key")).filter(F.col("key").rlike(SPAM_HOST)).distinct()
+    return url_filter.judge(pages, URL_RULES, listed).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.dedup(table(spark, sf_dir, "documents"), F.col("doc_id"), "long")
+    return out.select(F.col("row").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.dedup(table(spark, sf_dir, "documents"), F.col("doc_id"), "long")
+    return out.select(F.col("row").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = line_dedup.drop_repeated(docs, line_dedup.LineStore.of(docs), F.col("doc_id"), "long")
@@ -42,8 +89,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
+    "op3_quality": op3_quality,
     "op4_simhash": op4_simhash,
+    "op5_url_filter": op5_url_filter,
+    "op6_suffix_array": op6_suffix_array,
+    "op7_substrings": op7_substrings,
+    "op8_embeddings": op8_embeddings,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
 }
@@ -64,6 +117,15 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+""",
+    "op5_url_filter": r"""
+WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+r(v, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+best AS (SELECT page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
+         FROM p LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id, host, path)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(host, '(^|[.-])(casino|spam)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict FROM best
 """,
     "op9_line_dedup": """
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents),

@@ -239,7 +239,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
-    """The documents, with all their columns, that are the first of their group; of rows that share that doc_id one stays.
+    """The documents, with all their columns, that are the first of their group; of rows that share that doc_id and text one stays.
 
     Rows without a doc_id stay only if no row with one links to them.
     """
@@ -247,4 +247,4 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
     kept = docs.join(first, F.col(doc_id).eqNullSafe(F.col("_first")), "left_semi")
     repeated = groups.groupBy("doc_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id])
+    return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id, text])

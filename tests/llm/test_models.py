@@ -1,0 +1,131 @@
+"""URL filters, embeddings and secrets."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from runscope.llm import embeddings, queries, secrets, url_filter
+
+RULES = queries.URL_RULES
+
+
+def brute_rule(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    at = min([rest.index(c) for c in "/?#" if c in rest], default=len(rest))
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:at])
+    tail = rest[at:]
+    path = tail[: min([tail.index(c) for c in "?#" if c in tail], default=len(tail))]
+    best = None
+    for rule in RULES:
+        if (host == rule.host or host.endswith("." + rule.host)) and path.startswith(rule.path) and (best is None or len(rule.text) > len(best.text)):
+            best = rule
+    return host, path, best
+
+
+URLS = [
+    "http://A.Example.org/es/1?x=/y", "https://example.org/en/12", "https://notexample.org/es/", "http://x.com/fr/", "http://com/de/", "http://x.com/de", "http://casino.net", "http://b.casino.net#/a",
+    "no scheme.org/", "://org/", "http://org", "http://Ü.org/", "a://b://org/es/", "", None, "http://m.spam-x.net/?q", "http://x.com/fr/", "http://x\n.org/a\nb?c",
+]
+
+
+@pytest.mark.parametrize("most_bytes", [8 << 20, 1])
+def test_urls_match_brute_force(spark, most_bytes):
+    r = random.Random(4)
+    urls = URLS + [f"https://h{r.randint(0, 400)}.net/p" for _ in range(900)]
+    listed_hosts = {"casino.net", "b.casino.net", "m.spam-x.net", "not-in-the-corpus", ""} | {f"h{i}.net" for i in range(0, 400, 7)}
+    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
+    listed = spark.createDataFrame([(h,) for h in listed_hosts] + [(None,), ("casino.net",)], "key string")
+    out = url_filter.judge(pages, RULES, listed, most_bytes=most_bytes).select("page_id", "judged.*").collect()
+    want = []
+    for i, u in enumerate(urls):
+        host, path, rule = brute_rule(u)
+        want.append((i, host, path, rule.text if rule else None, rule.verdict if rule else "block" if host in listed_hosts else "allow"))
+    assert sorted(map(tuple, out)) == want
+
+
+def test_cascade_is_exact_and_has_levels(spark):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 5 == 0).alias("listed"))
+    cascade = url_filter.build_cascade(keys)
+    assert len(cascade.levels) > 1
+    assert keys.filter(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
+    assert url_filter.build_cascade(keys.limit(0)).levels == []
+
+
+def brute_links(rows, threshold=0.95):
+    usable = [i for i, (_, v) in enumerate(rows) if v and len(v) == 4 and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    units = np.array([np.array(rows[i][1], np.float32).astype(float) for i in usable])
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    near = units @ units.T >= threshold
+    links, up = [0] * len(rows), list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, i in enumerate(usable):
+        for b, j in enumerate(usable):
+            if a != b and near[a, b]:
+                links[i] += 1
+                up[max(root(i), root(j))] = min(root(i), root(j))
+    groups: dict[int, list] = {}
+    for i, (d, _) in enumerate(rows):
+        groups.setdefault(root(i), []).append(d)
+    least = {g: min((d for d in own if d is not None), default=None) for g, own in groups.items()}
+    return sorted(((d, n, least[root(i)]) for i, ((d, _), n) in enumerate(zip(rows, links))), key=str)
+
+
+def vectors(seed):
+    r = np.random.default_rng(seed)
+    base = r.normal(size=(60, 4))
+    rows = [(int(i), [float(x) for x in (base[i % 60] + (0.12 * r.normal(size=4) if i >= 60 else 0))]) for i in range(400)]
+    rows += [(1000, None), (1001, [0.0] * 4), (1002, [float("nan"), 1.0, 1.0, 1.0]), (1003, [None, 1.0, 1.0, 1.0]), (1004, [1.0]), (1005, []), (None, rows[0][1]), (1006, [float("inf"), 0.0, 0.0, 1.0])]
+    rows += [rows[3], rows[3], (1007, rows[4][1]), (1008, [x * 7 for x in rows[5][1]]), (1009, [1e-30, 0.0, 0.0, 0.0]), (1010, [1e30, 0.0, 0.0, 0.0])]
+    return rows
+
+
+@pytest.mark.parametrize("part_rows", [4000, 30])
+def test_embeddings_match_brute_force(spark, part_rows):
+    rows = vectors(2)
+    table = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<float>, n_links string")
+    out = embeddings.near_duplicates(table, cell_rows=60, margin=3.0, most_cells=20, part_rows=part_rows).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out), key=str) == brute_links(rows)
+    assert all(r["kept"] == (r["vec_id"] is not None and r["vec_id"] == r["component_id"]) for r in out)
+    assert embeddings.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_embedding_recall_with_production_parameters(spark):
+    r = np.random.default_rng(8)
+    base = r.normal(size=(2000, 64))
+    near = base[:800] + 0.24 * r.normal(size=(800, 64))  # cosines around 0.97
+    both = np.concatenate([base, near]).astype(np.float32)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(both)]
+    units = both.astype(float) / np.linalg.norm(both.astype(float), axis=1, keepdims=True)
+    want = int((units @ units.T >= 0.95).sum()) - len(units)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = sum(x["n_links"] for x in embeddings.near_duplicates(table).collect())
+    assert want > 1000 and 0.9 * want <= found <= want
+
+
+def test_secrets(spark):
+    r = random.Random(5)
+    rows = []
+    for i in range(300):
+        words = ["the", "first", "words", "commit", "number"] * 5
+        hexes = "".join(r.choices("0123456789abcdef", k=40))
+        if i % 3 == 0:
+            words[7:8] = ["token", "=", f'"{hexes}"']
+        elif i % 3 == 1:
+            words[7:8] = ["commit", "1234567890123456", "is"]
+        rows.append((i, " ".join(words), f"src/{i}", "clash"))
+    rows += [(900, None, None, ""), (901, "", "x", ""), (None, 'token = "0a1b2c3d4e5f60718293a4b5c6d7e8f901234567"', None, ""), rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, score string")
+    label = ((F.col("named") == 1) & (F.col("assigned") == 1)).cast("double")
+    out = secrets.scan(docs, label).collect()
+    assert len(out) == 202
+    assert all(x["is_secret"] == ("=" == x["before1"]) for x in out)
+    assert {x["doc_id"] for x in out if x["is_secret"]} >= {0, 3, None}
+    assert secrets.scan(docs.limit(0), label).count() == 0
+    assert {x["score"] for x in secrets.scan(docs, F.lit(0.0)).collect()} == {0.0}
