@@ -33,7 +33,7 @@ def with_machines(metrics: DataFrame, machines: DataFrame, ordinal: str | None =
     return metrics.join(own.select("run_id", *columns), "run_id", "left")
 
 
-def capacity(metrics: DataFrame, task_hours: DataFrame) -> DataFrame:
+def capacity(metrics: DataFrame, task_hours: DataFrame, digits: int = 2) -> DataFrame:
     """Run metrics with machines and the split of both capacities. Rows without tasks have no split.
 
     Task hours go in as they are, machine hours and efficiencies as rounded for the report.
@@ -43,7 +43,7 @@ def capacity(metrics: DataFrame, task_hours: DataFrame) -> DataFrame:
     out: dict[str, Column] = {}
 
     def add(name: str, value: Column) -> None:
-        out[name] = S.rounded(F.when(has_tasks, value), 2)
+        out[name] = S.rounded(F.when(has_tasks, value), digits)
 
     for short, cpu_or_mem, unit in (("cpu", "Cpu", "CpuH"), ("mem", "Mem", "MemGibH")):
         requested, real, vm, busy = F.col(f"req_{short}"), F.col(f"real_{short}"), F.col(f"vm{unit}"), F.col(f"schedAlloc{cpu_or_mem}Efficiency")

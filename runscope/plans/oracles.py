@@ -106,7 +106,7 @@ def _capacity() -> str:
             f"schedulerRightsized{unit}": gap(req, booked), f"schedulerOverbook{unit}": gap(booked, real), f"vmPackingSlack{unit}": gap(vm, booked),
             f"realVm{kind}Efficiency": f"CASE WHEN {vm} > 0 THEN {real} / {vm} * 100 END",
         }
-        out += [f'CASE WHEN req_cpu IS NOT NULL THEN {half_even(f"({e})", 2)} END AS "{n}"' for n, e in values.items()]
+        out += [f'CASE WHEN req_cpu IS NOT NULL THEN round({e} + 1e-9, 6) END AS "{n}"' for n, e in values.items()]
     return ", ".join(out)
 
 

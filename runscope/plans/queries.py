@@ -152,9 +152,13 @@ def run_metrics(spark, sf_dir):
 
 
 def capacity_decomposition(spark, sf_dir):
-    out = section("run_metrics")(spark, sf_dir)
-    first = out.columns.index("nMachines") + 1
-    return out.select("run_id", *out.columns[first:])
+    """With six digits, and ties moved aside: sums of doubles in another order could fall to another side of one."""
+    t = D.tables(spark, sf_dir)
+    classed = runs.with_status(t["runs"])
+    metrics = capacity.with_machines(runs.run_metrics(classed), t["machines"])
+    out = capacity.capacity(metrics, capacity.task_resource_hours(runs.of_included(t["tasks"], classed)), 12)
+    names = out.columns[out.columns.index("nMachines") + 1 :]
+    return out.select("run_id", *[c if c in capacity.MACHINE_COLUMNS.values() else F.round(F.col(c) + 1e-9, 6).alias(c) for c in names])
 
 
 def manifest_validation(spark, sf_dir):
