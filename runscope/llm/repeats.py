@@ -26,9 +26,11 @@ from runscope.llm import arrays as A
 from runscope.llm.shared import ship
 
 LAST_ID = (1 << 63) - 1
-SLICE = 1 << 20
+SLICE = 1 << 19
+#: Packed text that a task gathers before it is cut into blobs: neighbours in a blob overlap and so compress well.
+GATHER = 32 << 20
 #: Packed text that one bucket gets on average.
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 24 << 20
 HEAD = np.dtype([("doc", "<i8"), ("mark", "<i8"), ("key", "<u8"), ("start", "<i4"), ("windows", "<i4"), ("bytes", "<i4")])
 
 
@@ -126,20 +128,47 @@ def settle(one: np.ndarray, two: np.ndarray, doc: np.ndarray, ordered: bool) ->
     return removed, sent, many
 
 
+class Packed:
+    """Runs that wait to be sent, by bucket."""
+
+    def __init__(self):
+        self.size, self.waiting = 0, {}
+
+    def add(self, bucket: int, heads: bytes, text: bytes) -> None:
+        own = self.waiting.setdefault(bucket, ([], []))
+        own[0].append(heads)
+        own[1].append(text)
+        self.size += len(text)
+
+    def blobs(self) -> pa.RecordBatch:
+        """All of them, a compressed blob for each bucket."""
+        pack, out = zstandard.ZstdCompressor(level=3).compress, []
+        for heads, texts in self.waiting.values():
+            heads = b"".join(heads)
+            out.append(pack(b"".join([np.array([len(heads) // HEAD.itemsize], "<i8").tobytes(), heads, *texts])))
+        columns = [pa.array(list(self.waiting), pa.int32()), pa.array(out, pa.binary()), *(pa.nulls(len(out), k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
+        self.size, self.waiting = 0, {}
+        return pa.RecordBatch.from_arrays(columns, names=["bucket", "blob", "doc", "mark", "start", "windows"])
+
+
 def _send(width: int, gram: int, by_word: bool, ordered: bool, bucket_of, buckets: int):
     """(doc, mark, text) -> (bucket, blob, done): packed runs for the buckets, and windows that are settled already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, pack = Seen(), zstandard.ZstdCompressor(level=3).compress
+        seen, packed = Seen(), Packed()
         for batch in batches:
             docs, marks = batch.column("doc").to_numpy(), batch.column("mark").to_numpy()
             buffer, offsets = A.texts(batch.column("text"))
             for first, last in A.slices(offsets, SLICE):
                 at = offsets[first : last + 1]
                 for piece, cut, skipped in pieces(buffer[at[0] : at[-1]], at - at[0], width, by_word):
-                    yield from one_slice(piece, cut, skipped, docs[first:last], marks[first:last], seen, pack)
+                    yield from one_slice(piece, cut, skipped, docs[first:last], marks[first:last], seen, packed)
+                    if packed.size >= GATHER:
+                        yield packed.blobs()
+        if packed.size:
+            yield packed.blobs()
 
-    def one_slice(buffer, offsets, skipped, docs, marks, seen, pack):
+    def one_slice(buffer, offsets, skipped, docs, marks, seen, packed):
         units = Units(buffer, offsets, by_word)
         at, key = minimisers(units, width, gram)
         if not len(at):
@@ -179,12 +208,8 @@ def _send(width: int, gram: int, by_word: bool, ordered: bool, bucket_of, bucket
         text = units.plain[A.spread(left, head["bytes"].astype(np.int64))]
         edge = np.cumsum(head["bytes"], dtype=np.int64)
         groups, stops = A.runs(np.append(True, bucket[1:] != bucket[:-1]))
-        blobs = []
         for i, j in zip(groups.tolist(), stops.tolist(), strict=True):
-            own = text[edge[i] - int(head["bytes"][i]) : edge[j - 1]]
-            blobs.append(pack(np.array([j - i], "<i8").tobytes() + head[i:j].tobytes() + own.tobytes()))
-        n = len(blobs)
-        yield pa.RecordBatch.from_arrays([pa.array(bucket[groups].astype(np.int32)), pa.array(blobs, pa.binary()), *(pa.nulls(n, k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["bucket", "blob", "doc", "mark", "start", "windows"])
+            packed.add(int(bucket[i]), head[i:j].tobytes(), text[edge[i] - int(head["bytes"][i]) : edge[j - 1]].tobytes())
 
     def settled(docs, marks, row, place, removed):
         begins, ends = run_bounds(place, removed, row, removed)
@@ -206,7 +231,7 @@ def run_bounds(at: np.ndarray, key: np.ndarray, row: np.ndarray, only: np.ndarra
     return A.runs(change[: len(at)])
 
 
-def pieces(buffer: np.ndarray, offsets: np.ndarray, width: int, by_word: bool, most: int = 4 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+def pieces(buffer: np.ndarray, offsets: np.ndarray, width: int, by_word: bool, most: int = 2 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """The slice itself, or a very long single row in parts that share width - 1 units; with the number of units before a part."""
     if len(offsets) > 2 or len(buffer) <= most:
         yield buffer, offsets, 0
@@ -242,23 +267,17 @@ def opened(blobs: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return head[order], begin[order], text
 
 
-def key_parts(head: np.ndarray, most: int = 3 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of runs of whole keys that more than one run has, with about `most` bytes together."""
+def key_parts(head: np.ndarray, begin: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The runs whose key more than one run has, in parts of whole keys with about `most` bytes each."""
+    some = np.flatnonzero(equal_before(head["key"]))
+    head, begin = head[some], begin[some]
     first, last = A.runs(np.append(True, head["key"][1:] != head["key"][:-1])[: len(head)])
-    begin, held = None, 0
-    for i, j in zip(first.tolist(), last.tolist(), strict=True):
-        if j - i == 1:
-            if begin is not None:
-                yield begin, i
-                begin, held = None, 0
-            continue
-        begin = i if begin is None else begin
-        held += int(head["bytes"][i:j].sum())
-        if held >= most:
-            yield begin, j
-            begin, held = None, 0
-    if begin is not None:
-        yield begin, len(head)
+    held = np.append(0, np.cumsum(head["bytes"], dtype=np.int64))[last]
+    at = 0
+    while at < len(first):
+        end = max(at + 1, int(np.searchsorted(held, (held[at - 1] if at else 0) + most, side="right")))
+        yield head[first[at] : last[end - 1]], begin[first[at] : last[end - 1]]
+        at = end
 
 
 def removed_windows(head: np.ndarray, begin: np.ndarray, text: np.ndarray, width: int, by_word: bool, ordered: bool, may_match=None) -> tuple[np.ndarray, np.ndarray]:
@@ -350,8 +369,8 @@ def removed(docs: DataFrame, doc_id: str, text: str, width: int, gram: int, by_w
         out = [table.filter(table["blob"].is_null()).select(["doc", "mark", "start", "windows"])]  # settled before: only passing by
         if len(blobs):
             head, begin, content = opened(blobs)
-            for i, j in key_parts(head):
-                out.append(as_rows(head[i:j], *in_bucket(head[i:j], begin[i:j], content)))
+            for own, at in key_parts(head, begin):
+                out.append(as_rows(own, *in_bucket(own, at, content)))
         return pa.concat_tables(out)
 
     found = sent.groupBy("bucket").applyInArrow(one_bucket, FOUND)

@@ -135,7 +135,7 @@ def _kept(width: int):
     return run
 
 
-def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", text: str = "text", width: int = 200, gram: int = 32) -> DataFrame:
+def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", text: str = "text", width: int = 200, gram: int = 16) -> DataFrame:
     """(row, kept as binary, n_bytes, n_removed, n_spans, kept_sha256) for every document; row: what to carry along."""
     buckets = R.buckets_for(docs, text)
     edges = splitters(docs, text, width, gram, buckets, buckets * R.BUCKET_BYTES // 3)
