@@ -28,15 +28,24 @@ from runscope.llm.simhash import forest
 
 
 def classes_of(vectors: DataFrame) -> DataFrame:
-    """(class, vec_id, copies, unit): each different linkable vector once; unit: in doubles, of length one."""
+    """(class: a hash, vector, vec_id, copies): each different linkable vector once."""
     usable = F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("vector", lambda x: x != 0)
     own = vectors.filter(usable).groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
-    doubles = F.transform("vector", lambda x: x.cast("double"))
-    # scaled by the largest component first: squares neither overflow nor vanish
-    largest = F.array_max(F.transform(doubles, F.abs))
-    scaled = F.transform(doubles, lambda x: x / largest)
-    norm = F.sqrt(F.aggregate(scaled, F.lit(0.0), lambda a, x: a + x * x))
-    return own.select(F.xxhash64("vector").alias("class"), "vector", "vec_id", "copies", F.transform(scaled, lambda x: x / norm).alias("unit"))
+    return own.withColumn("class", F.xxhash64("vector"))
+
+
+def _units(width: int):
+    """Adds unit: the vector in doubles, of length one. Scaled by its largest component first, so squares neither overflow nor vanish."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _matrix(batch.column("vector"), width).astype(np.float64)
+            values = values / np.abs(values).max(1, initial=1e-320, keepdims=True)
+            values /= np.linalg.norm(values, axis=1, keepdims=True)
+            unit = pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * width, values.ravel())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "class", "copies")), unit], names=["id", "class", "copies", "unit"])
+
+    return run
 
 
 def centres(classes: DataFrame, cells: int, sample_rows: int, seed: int) -> np.ndarray:
@@ -126,11 +135,12 @@ def near_duplicates(
     ship(spark)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     classes = landed(classes_of(rows).withColumn("id", F.monotonically_increasing_id()), "vector-classes")
-    sizes = classes.groupBy(F.size("unit").alias("width")).count().orderBy(F.desc("count"), "width").first()
+    sizes = classes.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
     if sizes is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
     width, total = sizes["width"], sizes["count"]
-    usable = classes.filter(F.size("unit") == width)
+    own_width = classes.filter(F.size("vector") == width).select("id", "class", "copies", "vector")
+    usable = landed(own_width.mapInArrow(_units(width), "id long, class long, copies long, unit array<double>"), "vector-units")
     centre = centres(usable, max(1, min(most_centres, total // cell_rows)), sample_rows, seed)
     sent = spark.sparkContext.broadcast(centre)  # most_centres rows at most
     schema = "id long, copies long, unit array<double>, cells array<int>"
