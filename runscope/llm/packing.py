@@ -12,6 +12,7 @@ empty table has no pieces. A null doc_id is carried along.
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -21,33 +22,101 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from runscope.llm.arrays import slices
+from runscope.llm.arrays import texts as byte_texts
 from runscope.llm.shared import landed, ship
 
-CACHE = 300_000
+#: Words that a worker remembers, and characters of text that it splits at a time.
+CACHE, SLICE = 150_000, 1 << 19
+#: Stands between words that are encoded together; a word that holds it is encoded alone.
+MARK = "\x01"
+_encoders: dict[str, WordEncoder] = {}  # one for each tokenizer file in a worker, kept from task to task
+
+
+class WordEncoder:
+    """Ids of texts for a tokenizer that drops blanks, so that no token crosses one: what stands between blanks is encoded once.
+
+    The first CACHE words are remembered, which takes in all common ones; the others are encoded again in each slice. New words are
+    encoded many at a time, with a mark between them. Texts of characters under U+0300, which NFC leaves alone, are lower-cased here
+    if the tokenizer's normaliser does no more than that to them, and full stops and commas are then parted from words of letters.
+    """
+
+    def __init__(self, file: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core; threads would each keep memory
+        from tokenizers import Tokenizer, normalizers
+
+        self.tokenizer = Tokenizer.from_file(file)
+        self.normalizer, self.none = self.tokenizer.normalizer, normalizers.Sequence([])
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.known: dict[str, bytes] = {"": b""}
+        probe = "AZ a\u00c9\u0130 .,"
+        self.lowers = self.normalizer is not None and self.normalizer.normalize_str(probe) == probe.lower()
+
+    def encoded(self, words: list[str], is_simple: bool, together: int = 128) -> Iterator[bytes]:
+        """Ids of each word; is_simple: the words are normalised."""
+        if self.normalizer is not None:
+            self.tokenizer.normalizer = self.none if is_simple else self.normalizer
+        encode = self.tokenizer.encode_batch_fast
+        groups = [words[i : i + together] for i in range(0, len(words), together)]
+        for group, joined in zip(groups, encode([f" {MARK} ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(joined.ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark).tolist() if self.mark is not None else []
+            if len(cuts) == len(group) - 1:
+                for first, last in zip([-1, *cuts], [*cuts, len(ids)], strict=True):
+                    yield ids[first + 1 : last].tobytes()
+            else:
+                for one in encode(group, add_special_tokens=False):
+                    yield np.array(one.ids, "<u4").tobytes()
+
+    def texts(self, texts: list[str]) -> Iterator[bytes]:
+        """The little-endian 32-bit ids of each text."""
+        known, split = self.known, []
+        simple: set[str] = set()
+        other: set[str] = set()
+        for t in texts:
+            is_simple = self.lowers and (t.isascii() or max(t) < "\u0300")
+            words = (t.lower() if is_simple else t).replace("\n", " ").split(" ")
+            split.append(words)
+            (simple if is_simple else other).update([w for w in words if w not in known])
+        parted, single = {}, set()
+        for w in simple:
+            letters = w.rstrip(".,")
+            if len(letters) < len(w) and letters.isalpha():
+                parted[w] = letters, w[len(letters) :]
+                single.update(parted[w])
+            else:
+                single.add(w)
+        found: dict[str, bytes] = {}
+        for words, is_simple in ((single, True), (other - single, False)):
+            new = [w for w in words if w not in known]
+            found.update(zip(new, self.encoded(new, is_simple), strict=True))
+        if len(known) + len(found) <= CACHE:
+            known.update(found)
+        for w, (letters, tail) in parted.items():
+            found[w] = (known.get(letters) or found[letters]) + (known.get(tail) or found[tail])
+        for words in split:
+            yield b"".join([known[w] if w in known else found[w] for w in words])
 
 
 def _pieces(tokenizer: str, closing: int, capacity: int):
     """(doc_id, text) -> a row for each piece: doc_id, piece, start, length, ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        encode = Tokenizer.from_file(tokenizer).encode_batch
-        known: dict[str, bytes] = {}  # ids of what stands between blanks: no token crosses one
+        if tokenizer not in _encoders:
+            _encoders[tokenizer] = WordEncoder(tokenizer)
+        encoder = _encoders[tokenizer]
         end = np.array([closing], "<u4").tobytes()
         for batch in batches:
+            docs, (_, offsets) = batch.column(0).to_pylist(), byte_texts(batch.column(1))
             out: list[tuple[int, int, int, int, int]] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                parts = (text or "").replace("\n", " ").split(" ")
-                if new := list({x for x in parts if x not in known}):
-                    if len(known) + len(new) > CACHE:
-                        known.clear()
-                        new = list(set(parts))
-                    known.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in encode(new, add_special_tokens=False)), strict=True))
-                ids = b"".join([known[x] for x in parts]) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    out.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
+            for first, last in slices(offsets, SLICE):
+                texts = [t or "" for t in batch.column(1)[first:last].to_pylist()]
+                for doc, ids in zip(docs[first:last], encoder.texts(texts), strict=True):
+                    ids += end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        part = ids[at : at + 4 * capacity]
+                        out.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             columns = list(zip(*out, strict=True)) or [[]] * 5
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
