@@ -1,10 +1,13 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products inside cells, one representative for each group.
 
-Equal vectors are one class, compared once. K-means with cosine distance is fitted on at most `sample_rows` classes; every class is
-then assigned to its nearest cell and to those nearly as near (cosine to the centre at most `margin` less, `most_cells` in all), so that
-pairs on both sides of a border meet. A cell is cut into parts of `part_rows`, and each pair of parts is a task of its own, so a
+Equal vectors are one class, compared once. K-means with cosine distance is fitted on at most `sample_rows` classes. Centres that are
+nearer to each other than the margin (cosine over 1 - `margin`, also through others) make one cell, so that a large group of near
+copies, which k-means splits over many almost equal centres, stays together. Every class is then assigned to the cell of its nearest
+centre and to all cells with a centre nearly as near (cosine at most `margin` less), so that pairs on both sides of a border meet; no
+number of cells is too many. A cell is cut into parts of `part_rows`, and each pair of parts is a task of its own, so a
 cell that holds most rows is spread over the cluster. A pair that meets in several cells counts in the first of them only.
-Products are in double precision: no pair below the threshold is linked. Pairs are found with high probability, not surely.
+Products are in double precision: no pair below the threshold is linked. Pairs are found with high probability, not surely; inside a
+group of near copies the work is the number of its pairs, which n_links counts.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing, as does a vector of
 another length than the most common one; a null vec_id takes part in links, but is a component's id only if all of its ids are
@@ -62,60 +65,99 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _assigned(sent, margin: float, most_cells: int):
-    """Adds each class's cells, the nearest first."""
+def cells_of(centre: np.ndarray, margin: float) -> np.ndarray:
+    """The cell of each centre: those within the margin of each other, directly or through others, share one."""
+    a, b = np.nonzero(centre @ centre.T >= 1 - margin)
+    return _roots(forest(len(centre), a, b)[0])
+
+
+def _roots(parent: np.ndarray) -> np.ndarray:
+    while (up := parent[parent]).tolist() != parent.tolist():
+        parent = up
+    return parent
+
+
+def _assigned(sent, margin: float):
+    """Adds each class's cells."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre = sent.value
+        centre, cell = sent.value
+        order = np.argsort(cell, kind="stable")
+        named, first = np.unique(cell[order], return_index=True)
         for batch in batches:
-            units = _matrix(batch.column("unit"), centre.shape[1])
-            near = units @ centre.T
-            order = np.argsort(-near, axis=1, kind="stable")[:, :most_cells]
-            value = np.take_along_axis(near, order, 1)
-            keep = value >= value[:, :1] - margin
-            cells = [o[k].tolist() for o, k in zip(order.astype(np.int32), keep, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*batch.schema.names, "cells"])
+            near = _matrix(batch.column("unit"), centre.shape[1]) @ centre.T
+            best = np.maximum.reduceat(near[:, order], first, axis=1)  # of a cell's centres
+            row, own = np.nonzero(best >= near.max(1, keepdims=True) - margin)
+            offsets = np.searchsorted(row, np.arange(len(near) + 1)).astype(np.int32)
+            cells = pa.ListArray.from_arrays(offsets, named[own].astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=[*batch.schema.names, "cells"])
 
     return run
 
 
-def _pairs(width: int, threshold: float, most_cells: int, rows: int = 1024):
+def _earlier(columns: list, cell: int) -> list[np.ndarray]:
+    """For each side, which of its classes are in which cells before this one; only cells that both sides have."""
+    sides = []
+    for column in columns:
+        column = column.combine_chunks()
+        row = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy())
+        own = column.flatten().to_numpy()
+        sides.append((len(column), row[own < cell], own[own < cell]))
+    both = np.intersect1d(sides[0][2], sides[-1][2])
+    out = []
+    for size, row, own in sides:
+        member = np.zeros((size, len(both)), np.float32)
+        known = np.isin(own, both)
+        member[row[known], np.searchsorted(both, own[known])] = 1
+        out.append(member)
+    return out
+
+
+def _join(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, parent: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Joins what a block links (row, column) to a forest, one link of each row at a time: each round at least halves the open trees."""
+    joined = []
+    while True:
+        parent = _roots(parent)
+        open_ = linked & (parent[rows][:, None] != parent[columns][None, :])
+        some = np.flatnonzero(open_.any(1))
+        if not len(some):
+            return parent, joined
+        across = np.flatnonzero(open_.any(0))  # and one of each column
+        a = np.concatenate([rows[some], rows[open_[:, across].argmax(0)]])
+        b = np.concatenate([columns[open_[some].argmax(1)], columns[across]])
+        parent, new = forest(len(parent), a, b, parent)
+        joined += new
+
+
+def _pairs(width: int, threshold: float, rows: int = 1024):
     """Links between two parts of a cell: how many vectors each class links to here, and a spanning forest of the links."""
 
-    def padded(column) -> np.ndarray:
-        out = np.full((len(column), most_cells), -1, np.int64)
-        for i, cells in enumerate(column.to_pylist()):
-            out[i, : len(cells)] = cells
-        return out
-
     def run(key, left, right):
         cell, first, second = (k.as_py() for k in key)
         same = first == second
         if not left.num_rows or not (same or right.num_rows):
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
-        sides = [left, left if same else right]
+        sides = [left] if same else [left, right]
         ids = [t["id"].to_numpy() for t in sides]
         copies = [t["copies"].to_numpy() for t in sides]
         units = [_matrix(t["unit"].combine_chunks(), width) for t in sides]
-        cells = [padded(t["cells"]) for t in sides]
+        earlier = _earlier([t["cells"] for t in sides], cell)
         counts = [np.zeros(len(i), np.int64) for i in ids]
-        offset = 0 if same else len(ids[0])
-        parent, joined = np.arange(len(ids[0]) + (0 if same else len(ids[1]))), []
+        parent, joined = np.arange(sum(map(len, ids))), []
+        columns = np.arange(len(ids[-1])) + (0 if same else len(ids[0]))
         for i in range(0, len(ids[0]), rows):
-            a, b = np.nonzero(units[0][i : i + rows] @ units[1].T >= threshold)
-            a = a + i
+            at = np.arange(i, min(i + rows, len(ids[0])))
+            linked = units[0][at] @ units[-1].T >= threshold
             if same:
-                a, b = a[a < b], b[a < b]
-            # the first cell that both are in
-            shared = np.where((cells[0][a][:, :, None] == cells[1][b][:, None, :]) & (cells[0][a][:, :, None] >= 0), cells[0][a][:, :, None], np.iinfo(np.int64).max)
-            own = shared.reshape(len(a), most_cells**2).min(1) == cell
-            a, b = a[own], b[own]
-            np.add.at(counts[0], a, copies[1][b])
-            np.add.at(counts[1], b, copies[0][a])
-            parent, new = forest(len(parent), a, b + offset, parent)
+                linked &= at[:, None] < columns[None, :]
+            # only in the first cell that both are in
+            if earlier[0].shape[1]:
+                linked &= earlier[0][at] @ earlier[-1].T == 0
+            counts[0][at] += linked @ copies[-1]
+            counts[-1] += copies[0][at] @ linked
+            parent, new = _join(linked, at, columns, parent)
             joined += new
-        every = np.concatenate([ids[0]] if same else ids)
-        total = counts[0] if same and counts[0] is counts[1] else (counts[0] + counts[1] if same else np.concatenate(counts))
+        every, total = np.concatenate(ids), np.concatenate(counts)
         some = np.flatnonzero(total)
         pairs = np.array(joined, np.int64).reshape(-1, 2)
         return pa.table({
@@ -128,9 +170,9 @@ def _pairs(width: int, threshold: float, most_cells: int, rows: int = 1024):
 
 
 def near_duplicates(
-    vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, cell_rows: int = 500, most_centres: int = 1024, sample_rows: int = 20_000, margin: float = 0.12, most_cells: int = 6, part_rows: int = 4_000, seed: int = 11
+    vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, cell_rows: int = 500, most_centres: int = 1024, sample_rows: int = 20_000, margin: float = 0.12, most_cells: int | None = None, part_rows: int = 4_000, seed: int = 11
 ) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of vectors."""
+    """(vec_id, n_links, component_id, kept) for every row of vectors. most_cells is taken for older callers and limits nothing."""
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
@@ -142,9 +184,9 @@ def near_duplicates(
     own_width = classes.filter(F.size("vector") == width).select("id", "class", "copies", "vector")
     usable = landed(own_width.mapInArrow(_units(width), "id long, class long, copies long, unit array<double>"), "vector-units")
     centre = centres(usable, max(1, min(most_centres, total // cell_rows)), sample_rows, seed)
-    sent = spark.sparkContext.broadcast(centre)  # most_centres rows at most
+    sent = spark.sparkContext.broadcast((centre, cells_of(centre, margin)))  # most_centres rows at most
     schema = "id long, copies long, unit array<double>, cells array<int>"
-    assigned = landed(usable.select("id", "copies", "unit").mapInArrow(_assigned(sent, margin, most_cells), schema), "vector-cells")
+    assigned = landed(usable.select("id", "copies", "unit").mapInArrow(_assigned(sent, margin), schema), "vector-cells")
     in_cell = assigned.select("id", "copies", "unit", "cells", F.explode("cells").alias("cell"))
     parts = in_cell.groupBy("cell").count().select("cell", F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))
     dealt = in_cell.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))  # most_centres rows at most
@@ -153,7 +195,7 @@ def near_duplicates(
     right = dealt.withColumn("other", F.explode(pairs)).filter("other < part").selectExpr("cell", "other as first", "part as second", "id", "copies", "unit", "cells")
     right = right.toDF(*right.columns)  # columns of its own, as both sides stem from one table
     key = ["cell", "first", "second"]
-    found = landed(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_pairs(width, threshold, most_cells), "a long, b long, links long"), "vector-links")
+    found = landed(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_pairs(width, threshold), "a long, b long, links long"), "vector-links")
     links = found.filter("links is not null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     component = connected_components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "id")
     named = classes.select("id", "vector", "vec_id", "copies").join(links, "id", "left").join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -129,3 +129,22 @@ def test_secrets(spark):
     assert {x["doc_id"] for x in out if x["is_secret"]} >= {0, 3, None}
     assert secrets.scan(docs.limit(0), label).count() == 0
     assert {x["score"] for x in secrets.scan(docs, F.lit(0.0)).collect()} == {0.0}
+
+
+def test_embedding_recall_in_a_large_group(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    r = np.random.default_rng(9)
+    n, size = 200_000, 200_000 // 3
+    group = r.normal(size=64) + 0.2 * r.normal(size=(size, 64))  # different vectors, cosines around 0.96
+    base = r.normal(size=((n - size) // 2, 64))
+    near = base + 0.24 * r.normal(size=base.shape)
+    both = np.concatenate([group, base, near]).astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(len(both)), "embedding": pa.FixedSizeListArray.from_arrays(both.ravel(), 64).cast(pa.list_(pa.float32()))}), tmp_path / "v.parquet")
+    units = both.astype(float) / np.linalg.norm(both.astype(float), axis=1, keepdims=True)
+    in_group = np.concatenate([(units[i : min(i + 2000, size)] @ units[:size].T >= 0.95).sum(1) - 1 for i in range(0, size, 2000)])
+    planted = int(((units[size : size + len(base)] * units[size + len(base) :]).sum(1) >= 0.95).sum())
+    out = embeddings.near_duplicates(spark.read.parquet(str(tmp_path / "v.parquet"))).select("vec_id", "n_links").toPandas().sort_values("vec_id")["n_links"].to_numpy()
+    assert in_group.mean() > 1000 and (out[:size] <= in_group).all() and out[:size].sum() >= 0.95 * in_group.sum()
+    assert planted > 30_000 and 0.95 * 2 * planted <= out[size:].sum() <= 2 * planted
