@@ -8,7 +8,7 @@ The dictionary is the corpus's own: words of `least_letters` letters or more tha
 `most_words` commonest of them. It is sent to every task, which its bound allows.
 
 Defined cases: null or empty texts, and null paths, have no candidates or say nothing; a null doc_id is carried along; repeated
-rows are scanned each; a string that stands twice in a text is two candidates; without findings of both labels every
+rows are scanned each; a string that stands twice in a text is two candidates, in one word too; without findings of both labels every
 candidate gets the share of label 1 (0.5 without any); other columns are ignored; an empty table gives an empty result.
 """
 
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from runscope.llm.shared import landed
 
 CANDIDATE = r"[A-Za-z0-9_+/=-]{16,}"
+#: A whole run of those characters with a digit in it.
+RUN = r"(?<![A-Za-z0-9_+/=-])(?=[A-Za-z_+/=-]*[0-9])[A-Za-z0-9_+/=-]{16,}"
 NAMES = r"(?i)(token|secret|passw|pwd|api_?key|apikey|credential|bearer|auth)"
 EXAMPLE_PATH = r"(?i)(test|example|sample|mock|fixture|doc|vendor|\.lock|\.min\.)"
 FEATURES = (
@@ -32,17 +34,22 @@ FEATURES = (
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """(doc_id, path, word, candidate, token, before2, before1, after1): word: its number in the text, from 0."""
+    """(doc_id, path, word, part, candidate, token, before2, before1, after1): word: its number in the text, part: the candidate's in the word, from 0.
+
+    token: the word, or of a word with several candidates the piece that ends with this one and begins behind the one before.
+    """
     words = F.split(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")), " ")
     own = docs.filter(F.col(text).rlike("[0-9]")).select(F.col(doc_id).alias("doc_id"), F.col(path).alias("path"), words.alias("words"))
     found = F.filter(
-        F.transform("words", lambda w, i: F.struct(i.alias("word"), w.alias("token"))), lambda x: (F.length(x["token"]) >= 16) & x["token"].rlike("[0-9]") & x["token"].rlike(CANDIDATE)
+        F.transform("words", lambda w, i: F.struct(i.alias("word"), w.alias("token"))), lambda x: (F.length(x["token"]) >= 16) & x["token"].rlike("[0-9]") & x["token"].rlike(RUN)
     )
     near = lambda x, k: F.coalesce(F.get("words", x["word"] + k), F.lit(""))
     # neighbours are looked up before the explode, so that no row carries a whole text
     with_near = F.transform(found, lambda x: F.struct(x["word"].alias("word"), x["token"].alias("token"), near(x, -2).alias("before2"), near(x, -1).alias("before1"), near(x, 1).alias("after1")))
     rows = own.select("doc_id", "path", F.explode(with_near).alias("at")).select("doc_id", "path", "at.*")
-    return rows.withColumn("candidate", F.regexp_extract("token", f"({CANDIDATE})", 1)).filter(F.col("candidate").rlike("[0-9]"))
+    pieces = F.regexp_extract_all("token", F.lit(f"(?s).*?{RUN}"), F.lit(0))
+    rows = rows.select("doc_id", "path", "word", F.posexplode(F.when(F.size(pieces) == 1, F.array("token")).otherwise(pieces)).alias("part", "token"), "before2", "before1", "after1")
+    return rows.withColumn("candidate", F.regexp_extract("token", f"({RUN})", 1))
 
 
 def dictionary(docs: DataFrame, text: str = "text", least_letters: int = 3, least_times: int = 20, most_words: int = 20_000) -> DataFrame:
@@ -87,7 +94,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 def score(found: DataFrame, findings: DataFrame, label: Column, most_rows: int = 20_000, trees: int = 20, depth: int = 5, seed: int = 3) -> DataFrame:
     """found (with FEATURES) with a column score: how likely a candidate is a secret. findings: labelled rows with FEATURES; label: 0 or 1."""
     order = F.xxhash64("doc_id", "word", "candidate")
-    sample = landed(findings.select(*FEATURES, label.cast("double").alias("label"), order.alias("_o")).filter("label is not null").orderBy("_o").limit(most_rows), "findings")
+    sample = landed(findings.select(*FEATURES, label.cast("double").alias("label"), order.alias("_o"), "part").filter("label is not null").orderBy("_o", "part").limit(most_rows), "findings")
     counts = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
     if len(counts) < 2:
         share = 0.5 if not counts else float(next(iter(counts)))
