@@ -230,21 +230,35 @@ def links(classes: DataFrame, radius: int = 2, bucket_rows: int = 20_000) -> Dat
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, print, component_id) for every row: the smallest doc_id that links reach."""
+    return _groups(docs, doc_id, text, shingle, radius).select("doc_id", "print", "component_id")
+
+
+def _groups(docs: DataFrame, doc_id: str, text: str, shingle: int, radius: int) -> DataFrame:
+    """(doc_id, print, component_id, component: the smallest print that links reach) for every row."""
     prints = landed(fingerprints(docs, doc_id, text, shingle), "fingerprints")
-    classes = landed(prints.groupBy("print").agg(F.min("doc_id").alias("id")), "fingerprint-classes")
-    known = classes.filter("id is not null")
-    reached = connected_components(links(known, radius))
-    named = classes.join(reached.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))
-    return prints.join(named, "print", "left").select("doc_id", "print", "component_id")
+    # a class is its fingerprint: those whose documents all have a null doc_id link like any other
+    classes = landed(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
+    reached = connected_components(links(classes.select(F.col("print").alias("id"), "print"), radius))
+    named = classes.join(reached.withColumnRenamed("node", "print"), "print", "left").withColumn("component", F.coalesce("component", "print"))
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    return prints.join(named.join(least, "component").select("print", "component_id", "component"), "print").select("doc_id", "print", "component_id", "component")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2) -> DataFrame:
     """The documents, with all their columns, that are the first of their group; of rows that share that doc_id and text one stays.
 
-    Rows without a doc_id stay only if no row with one links to them.
+    Of a group in which no row has a doc_id, the rows of one text stay as one: the text with the smallest fingerprint, then the smallest text.
     """
-    groups = near_duplicates(docs, doc_id, text, shingle, radius)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, F.col(doc_id).eqNullSafe(F.col("_first")), "left_semi")
+    groups = landed(_groups(docs, doc_id, text, shingle, radius), "groups")
+    first = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, F.col(doc_id) == F.col("_first"), "left_semi")
+    nameless = groups.filter("component_id is null").groupBy("component").agg(F.min("print").alias("print"))
+    if not nameless.isEmpty():
+        # rows have no id to be found by: their different texts are numbered and fingerprinted once more
+        without = docs.filter(F.col(doc_id).isNull())
+        texts = landed(without.select(F.col(text).alias("_text")).distinct().withColumn("_n", F.monotonically_increasing_id()), "nameless-texts")
+        own = fingerprints(texts, "_n", "_text", shingle).withColumnRenamed("doc_id", "_n").join(nameless.select("print"), "print").join(texts, "_n")
+        chosen = own.groupBy("print").agg(F.min("_text").alias("_text")).select("_text")
+        kept = kept.unionByName(without.join(chosen, F.col(text).eqNullSafe(F.col("_text")), "left_semi"))
     repeated = groups.groupBy("doc_id").count().filter("count > 1")
     return kept if repeated.isEmpty() else kept.dropDuplicates([doc_id, text])

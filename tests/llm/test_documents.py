@@ -125,6 +125,27 @@ def test_simhash_matches_brute_force(spark):
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_simhash_links_rows_without_an_id(spark):
+    # a chain of texts, each a word from the one before
+    r = random.Random(21)
+    words = r.choices([f"w{i}" for i in range(5000)], k=4000)
+    chain = [" ".join(words)]
+    while len(chain) < 60:
+        words[r.randrange(len(words))] = f"x{len(chain)}"
+        chain.append(" ".join(words))
+    prints = [brute_print(t) for t in chain]
+    far = next(i for i, p in enumerate(prints) if (p ^ prints[0]).bit_count() > 2 and len(set(brute_components(list(range(i + 1)), prints[: i + 1]))) == 1)
+    # only the ends have an id; the rows between them bridge the two
+    rows = [(1 if i == 0 else 2 if i == far else None, t) for i, t in enumerate(chain[: far + 1])]
+    rows += [(None, "quite another text"), (None, "quite another text"), (None, "  Quite another text"), (5, "and a third one here")]
+    docs = spark.createDataFrame([(*x, "clash") for x in rows], SCHEMA)
+    want = brute_components([d for d, _ in rows], [brute_print(t) for _, t in rows])
+    found = simhash.near_duplicates(docs).collect()
+    assert sorted(((x["doc_id"], x["component_id"]) for x in found), key=str) == sorted(zip([d for d, _ in rows], want), key=str)
+    kept = sorted(((x["doc_id"], x["text"]) for x in simhash.keep_one(docs).collect()), key=str)
+    assert kept == sorted([(1, chain[0]), (5, "and a third one here"), (None, "  Quite another text")], key=str)
+
+
 def test_simhash_links_in_cut_buckets(spark):
     r = random.Random(9)
     base = [r.getrandbits(64) for _ in range(40)]
