@@ -3,8 +3,9 @@
 Each document becomes its token ids and a closing id; only longer ones are cut into pieces of `capacity`. Packing needs to
 know only how many pieces there are of each length, at most `capacity` numbers, so the plan is made from that histogram: a
 bin is filled greedily, longest fitting piece first; then its smallest piece is replaced by two unpacked ones if these fill the
-gap so made more tightly; the bin is repeated for as long as its lengths last. Spark then numbers the pieces of each length
-and each piece finds its place in the plan, so neither the driver nor one task ever holds the pieces.
+gap so made more tightly; the bin is repeated for as long as its lengths last. The task that encodes a piece numbers it among its
+own of that length; with the counts of the tasks before it that gives its rank, and by its rank each piece finds its place in
+the plan. So neither the driver nor one task ever holds the pieces, and nothing is sorted.
 
 Defined cases: null or empty text is the closing id alone; repeated documents are packed each; other columns are ignored; an
 empty table has no pieces. A null doc_id is carried along.
@@ -19,26 +20,62 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from runscope.llm.arrays import slices
-from runscope.llm.arrays import texts as byte_texts
+from runscope.llm import arrays as A
 from runscope.llm.shared import landed, ship
 
-#: Words that a worker remembers, and characters of text that it splits at a time.
-CACHE, SLICE = 150_000, 1 << 19
-#: Stands between words that are encoded together; a word that holds it is encoded alone.
+#: Words that a worker remembers and ids of them, and bytes of text that it encodes at a time.
+CACHE, CACHE_IDS, SLICE = 400_000, 8 << 20, 4 << 20
+#: Stands behind each word of those that are encoded together; words that hold it are encoded alone.
 MARK = "\x01"
-_encoders: dict[str, WordEncoder] = {}  # one for each tokenizer file in a worker, kept from task to task
-
-
-class WordEncoder:
+_encoders: dict[str, TextEncoder] = {}  # one for each tokenizer file in a worker, kept from task to task
+
+
+class WordStore:
+    """Ids of words: word i has sizes[i] of them from starts[i] on. When it is full, the half that fewest slices held is forgotten."""
+
+    def __init__(self, encode):
+        self.encode = encode
+        self.number: dict[str, int] = {}
+        self.starts, self.sizes, self.uses, self.ids = (np.zeros(0, np.int64) for _ in range(4))
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each of these different words; those that are new are encoded."""
+        new = [w for w in words if w not in self.number]
+        if len(self.number) + len(new) > CACHE or len(self.ids) > CACHE_IDS:
+            self.forget()
+            new = [w for w in words if w not in self.number]
+        if new:
+            ids, sizes = self.encode(new)
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+            self.sizes, self.ids = np.concatenate([self.sizes, sizes]), np.concatenate([self.ids, ids])
+            self.uses = np.append(self.uses, np.zeros(len(new), np.int64))
+        found = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self.uses[found] += 1
+        return found
+
+    def forget(self) -> None:
+        if not len(self.uses):
+            return
+        middle = len(self.uses) // 2
+        keep = np.flatnonzero(self.uses > np.partition(self.uses, middle)[middle])
+        words = list(self.number)  # in the order of their numbers
+        self.number = {words[i]: n for n, i in enumerate(keep.tolist())}
+        self.ids = self.ids[A.spread(self.starts[keep], self.sizes[keep])]
+        self.sizes, self.uses = self.sizes[keep], self.uses[keep] // 2
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+
+class TextEncoder:
     """Ids of texts for a tokenizer that drops blanks, so that no token crosses one: what stands between blanks is encoded once.
 
-    The first CACHE words are remembered, which takes in all common ones; the others are encoded again in each slice. New words are
-    encoded many at a time, with a mark between them. Texts of characters under U+0300, which NFC leaves alone, are lower-cased here
-    if the tokenizer's normaliser does no more than that to them, and full stops and commas are then parted from words of letters.
+    Rows of characters under U+0300, which NFC leaves alone, are lower-cased here if the tokenizer's normaliser does no more than
+    that to them, and full stops and commas are then parted from a letter before them, where a token ends too. Rows that may hold a
+    special token are encoded as they are, as those are found before normalising.
     """
 
     def __init__(self, file: str):
@@ -48,87 +85,143 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.normalizer, self.none = self.tokenizer.normalizer, normalizers.Sequence([])
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
-        self.known: dict[str, bytes] = {"": b""}
+        self.mark = mark[0] if len(mark) == 1 else -1
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if suffix and t.endswith(suffix)]] = True
         probe = "AZ a\u00c9\u0130 .,"
         self.lowers = self.normalizer is not None and self.normalizer.normalize_str(probe) == probe.lower()
-
-    def encoded(self, words: list[str], is_simple: bool, together: int = 128) -> Iterator[bytes]:
-        """Ids of each word; is_simple: the words are normalised."""
-        if self.normalizer is not None:
-            self.tokenizer.normalizer = self.none if is_simple else self.normalizer
-        encode = self.tokenizer.encode_batch_fast
-        groups = [words[i : i + together] for i in range(0, len(words), together)]
-        for group, joined in zip(groups, encode([f" {MARK} ".join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(joined.ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark).tolist() if self.mark is not None else []
-            if len(cuts) == len(group) - 1:
-                for first, last in zip([-1, *cuts], [*cuts, len(ids)], strict=True):
-                    yield ids[first + 1 : last].tobytes()
-            else:
-                for one in encode(group, add_special_tokens=False):
-                    yield np.array(one.ids, "<u4").tobytes()
-
-    def texts(self, texts: list[str]) -> Iterator[bytes]:
-        """The little-endian 32-bit ids of each text."""
-        known, split = self.known, []
-        simple: set[str] = set()
-        other: set[str] = set()
-        for t in texts:
-            is_simple = self.lowers and (t.isascii() or max(t) < "\u0300")
-            words = (t.lower() if is_simple else t).replace("\n", " ").split(" ")
-            split.append(words)
-            (simple if is_simple else other).update([w for w in words if w not in known])
-        parted, single = {}, set()
-        for w in simple:
-            letters = w.rstrip(".,")
-            if len(letters) < len(w) and letters.isalpha():
-                parted[w] = letters, w[len(letters) :]
-                single.update(parted[w])
+        self.special = sorted({t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()})
+        self.plain, self.other = WordStore(lambda words: self.encoded(words, self.none)), WordStore(lambda words: self.encoded(words, self.normalizer))
+
+    def encoded(self, words: list[str], normalizer) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in one array, and the number of each word's."""
+        if normalizer is not None:
+            self.tokenizer.normalizer = normalizer
+        words = [w.rstrip(" ") for w in words]
+        letters = np.fromiter((w.isalpha() for w in words), bool, len(words)) & self.ends_word.any()
+        order = np.concatenate([np.flatnonzero(letters), np.flatnonzero(~letters)])
+        # words of letters are one each to the tokenizer: their last tokens tell where they end
+        parts = [self.together([words[i] for i in np.flatnonzero(letters).tolist()], " "), self.together([words[i] for i in np.flatnonzero(~letters).tolist()], f" {MARK} ")]
+        ids, sizes = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
+        starts, at = np.cumsum(sizes) - sizes, np.empty(len(words), np.int64)
+        at[order] = np.arange(len(words))
+        return ids[A.spread(starts[at], sizes[at])], sizes[at]
+
+    def together(self, words: list[str], between: str, size: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """The same, for many words at a time with something between them; where that does not tell them apart, each alone."""
+        encode, marked = self.tokenizer.encode_batch_fast, between != " "
+        groups = [words[i : i + size] for i in range(0, len(words), size)]
+        ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for group, joined in zip(groups, encode([between.join([*g, ""]) for g in groups], add_special_tokens=False), strict=True):
+            own = np.array(joined.ids, np.int64)
+            last = own == self.mark if marked else self.ends_word[own]
+            cuts = np.flatnonzero(last)
+            if len(cuts) == len(group):
+                ids.append(own[~last] if marked else own)
+                sizes.append(np.diff(cuts, prepend=-1) - marked)
             else:
-                single.add(w)
-        found: dict[str, bytes] = {}
-        for words, is_simple in ((single, True), (other - single, False)):
-            new = [w for w in words if w not in known]
-            found.update(zip(new, self.encoded(new, is_simple), strict=True))
-        if len(known) + len(found) <= CACHE:
-            known.update(found)
-        for w, (letters, tail) in parted.items():
-            found[w] = (known.get(letters) or found[letters]) + (known.get(tail) or found[tail])
-        for words in split:
-            yield b"".join([known[w] if w in known else found[w] for w in words])
+                alone = [np.array(one.ids, np.int64) for one in encode(group, add_special_tokens=False)]
+                ids += alone
+                sizes.append(np.array([len(x) for x in alone], np.int64))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def texts(self, buffer: np.ndarray, offsets: np.ndarray, closing: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, their ids in one array, where each row's end): all rows, in one part or two. Each row ends with the closing id."""
+        raw = buffer[offsets[0] : offsets[-1]].tobytes()
+        begins, ends = offsets[:-1] - offsets[0], offsets[1:] - offsets[0]
+        is_plain = np.full(len(begins), self.lowers)
+        if self.lowers:
+            # in UTF-8 the characters from U+0300 on, and no other bytes, begin with 0xCC or more
+            for at in (np.flatnonzero(buffer[offsets[0] : offsets[-1]] >= 0xCC), self.special_places(raw)):
+                is_plain[np.searchsorted(ends, at, side="right")] = False
+        for rows, store in ((np.flatnonzero(is_plain), self.plain), (np.flatnonzero(~is_plain), self.other)):
+            if len(rows):
+                texts = [raw[a:b] for a, b in zip(begins[rows].tolist(), ends[rows].tolist(), strict=True)]
+                yield rows, *self.row_ids(b" ".join([*texts, b""]), ends[rows] - begins[rows], store, closing)
+
+    def special_places(self, raw: bytes) -> np.ndarray:
+        """Where special tokens stand in a text, upper or lower case."""
+        low, found = raw.lower(), []
+        for token in self.special:
+            at = low.find(token)
+            while at >= 0:
+                found.append(at)
+                at = low.find(token, at + 1)
+        return np.array(found, np.int64)
+
+    def row_ids(self, joined: bytes, lengths: np.ndarray, store: WordStore, closing: int) -> tuple[np.ndarray, np.ndarray]:
+        """For rows that are each followed by a space: all ids, and where each row's end."""
+        data = np.frombuffer(joined, np.uint8)
+        blanks_to = np.searchsorted(np.flatnonzero((data == 0x20) | (data == 0x0A)), np.cumsum(lengths + 1) - 1, side="right")
+        joined = joined.replace(b"\n", b" ")
+        if store is self.plain:
+            joined = joined.lower() if joined.isascii() else joined.decode().lower().encode()
+        data = np.frombuffer(joined, np.uint8)
+        cuts = data == 0x20
+        row_ends = np.flatnonzero(cuts)[blanks_to - 1]
+        if store is self.plain:
+            # a cut behind a byte: after blanks, and between a letter and a full stop or comma
+            cuts[:-1] |= ((data[1:] == 0x2E) | (data[1:] == 0x2C)) & (data[:-1] >= 0x61) & (data[:-1] <= 0x7A)
+        edges = np.append(0, np.flatnonzero(cuts) + 1)
+        words = pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(joined)).dictionary_encode()
+        number = store.numbers(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        sizes = store.sizes[number]
+        ids = store.ids[A.spread(store.starts[number], sizes)]
+        ends = np.cumsum(sizes)[np.searchsorted(edges, row_ends, side="right") - 1]
+        return np.insert(ids, ends, closing), ends + np.arange(1, len(ends) + 1)
+
+
+NAMES = ("doc_id", "piece", "start", "length", "ids_crc32", "task", "nth")
+PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long"
 
 
 def _pieces(tokenizer: str, closing: int, capacity: int):
-    """(doc_id, text) -> a row for each piece: doc_id, piece, start, length, ids_crc32."""
+    """(doc_id, text) -> a row for each piece: doc_id, piece, start, length, ids_crc32, and its number among the task's of that length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if tokenizer not in _encoders:
-            _encoders[tokenizer] = WordEncoder(tokenizer)
-        encoder = _encoders[tokenizer]
-        end = np.array([closing], "<u4").tobytes()
+            _encoders[tokenizer] = TextEncoder(tokenizer)
+        encoder, context = _encoders[tokenizer], TaskContext.get()
+        task = context.partitionId() if context else 0
+        counted = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            docs, (_, offsets) = batch.column(0).to_pylist(), byte_texts(batch.column(1))
-            out: list[tuple[int, int, int, int, int]] = []
-            for first, last in slices(offsets, SLICE):
-                texts = [t or "" for t in batch.column(1)[first:last].to_pylist()]
-                for doc, ids in zip(docs[first:last], encoder.texts(texts), strict=True):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        out.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            docs, (buffer, offsets) = batch.column(0), A.texts(batch.column(1))
+            for first, last in A.slices(offsets, SLICE):
+                for rows, ids, ends in encoder.texts(buffer, offsets[first : last + 1], closing):
+                    begins = np.append(0, ends[:-1])
+                    many = -(-(ends - begins) // capacity)
+                    piece = A.spread(np.zeros(len(rows), np.int64), many)
+                    at = np.repeat(begins, many) + piece * capacity
+                    to = np.minimum(at + capacity, np.repeat(ends, many))
+                    view = memoryview(ids.astype("<u4")).cast("B")
+                    crc = [zlib.crc32(view[4 * a : 4 * b]) for a, b in zip(at.tolist(), to.tolist(), strict=True)]
+                    length = to - at
+                    nth = counted[length] + place_in_run(length)
+                    counted += np.bincount(length, minlength=capacity + 1)
+                    columns = [docs.take(pa.array(first + np.repeat(rows, many))), pa.array(piece.astype(np.int32)), *(pa.array(x) for x in (piece * capacity, length)), pa.array(crc, pa.int64())]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(at), task, np.int32)), pa.array(nth)], names=list(NAMES))
 
     return run
 
 
+def place_in_run(values: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each."""
+    order = np.argsort(values, kind="stable")
+    first, last = A.runs(np.append(True, np.diff(values[order]) != 0)[: len(values)])
+    out = np.empty(len(values), np.int64)
+    out[order] = np.arange(len(values)) - np.repeat(first, last - first)
+    return out
+
+
 def pieces(docs: DataFrame, tokenizer: str, closing: int = 0, capacity: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, piece (from 0), start (ids before it in its document), length and crc32 of its little-endian 32-bit ids."""
+    """doc_id, piece (from 0), start (ids before it in its document), length and crc32 of its little-endian 32-bit ids.
+
+    task and nth: the task that made it, and its number (from 0) among the task's pieces of that length.
+    """
     ship(docs.sparkSession)
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return own.mapInArrow(_pieces(tokenizer, closing, capacity), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return own.mapInArrow(_pieces(tokenizer, closing, capacity), PIECE)
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -213,21 +306,18 @@ def _placed(slots: list[tuple[int, int, int, int, int]]):
     return run
 
 
-def ranked(pieces: DataFrame, salts: int) -> DataFrame:
-    """Numbers the pieces of each length from 0. A length is numbered in `salts` parts, as one length may hold most pieces."""
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
-    before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    counts = salted.groupBy("length", "salt").count()
-    firsts = counts.select("length", "salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
-    return salted.withColumn("own", F.row_number().over(within)).join(firsts, ["length", "salt"]).withColumn("rank", F.col("first") + F.col("own") - 1)
+def ranked(pieces: DataFrame) -> DataFrame:
+    """Numbers the pieces of each length from 0: those of a task follow those of the tasks before it, so counts are all that is gathered."""
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    counts = pieces.groupBy("length", "task").count()
+    firsts = counts.select("length", "task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    return pieces.join(firsts, ["length", "task"]).withColumn("rank", F.col("first") + F.col("nth"))
 
 
 def pack(docs: DataFrame, tokenizer: str, closing: int = 0, capacity: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: each piece with its place."""
     all_pieces = landed(pieces(docs, tokenizer, closing, capacity, doc_id, text), "pieces")
-    histogram = {r["length"]: r["count"] for r in all_pieces.groupBy("length").count().collect()}
+    histogram = {r["length"]: r["count"] for r in all_pieces.groupBy("length").count().collect()}  # capacity rows at most
     slots = plan(histogram, capacity)
-    salts = max(1, max(histogram.values(), default=1) // 2_000)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return ranked(all_pieces, salts).select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(_placed(slots), schema)
+    return ranked(all_pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "rank").mapInArrow(_placed(slots), schema)

@@ -208,16 +208,29 @@ def test_packing_round_trip(spark):
     assert packing.pack(docs.limit(0), queries.tokenizer_file()).count() == 0
 
 
-def test_token_cache_equals_whole_texts():
+def odd_text(r: random.Random) -> str:
+    """Words, marks, special tokens in any case, combining marks and blanks of all kinds, put together at random."""
+    parts = ["the", "It's", "we'LL", "12ab!?", "é", "É", "e\u0301", "İ", "ǅ", "ﬁ", "日本", "\x01", "a.", "b,", "c.,.", "1.", "é.", "'s", "'", ".", ",", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>"]
+    blanks = [" ", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "\u3000", "  ", "", "", ""]
+    return "".join(r.choice(parts) + r.choice(blanks) for _ in range(r.randint(0, 12)))
+
+
+def test_token_cache_equals_whole_texts(monkeypatch):
     from tokenizers import Tokenizer
 
-    odd = ["é it's  we'LL x", "<|endoftext|> a", "don't\tstop\r\n12ab!?", " \n ", "ǅ ﬁ İstanbul", "a b\x1cc"]
-    batch = pa.RecordBatch.from_arrays([pa.array(range(len(odd)), pa.int64()), pa.array(odd)], names=["doc_id", "text"])
-    rows = next(packing._pieces(queries.tokenizer_file(), 0, 2048)(iter([batch]))).to_pylist()
+    r = random.Random(8)
+    texts_ = ["é it's  we'LL x", "<|endoftext|> a", "don't\tstop\r\n12ab!?", " \n ", "ǅ ﬁ İstanbul", "a b\x1cc", *(odd_text(r) for _ in range(3000))]
+    monkeypatch.setattr(packing, "CACHE", 300)  # words are forgotten and come again
+    monkeypatch.setattr(packing, "SLICE", 2_000)
+    monkeypatch.setattr(packing, "_encoders", {})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts_)), pa.int64()), pa.array(texts_)], names=["doc_id", "text"])
+    rows = {x["doc_id"]: x for part in packing._pieces(queries.tokenizer_file(), 0, 2048)(iter([batch])) for x in part.to_pylist()}
     tokenizer = Tokenizer.from_file(queries.tokenizer_file())
-    for text, row in zip(odd, rows):
+    assert len(rows) == len(texts_)
+    for i, text in enumerate(texts_):
         ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
-        assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+        assert (rows[i]["length"], rows[i]["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes())), repr(text)
+    assert sorted((x["length"], x["nth"]) for x in rows.values()) == sorted((n, i) for n in {x["length"] for x in rows.values()} for i in range(sum(x["length"] == n for x in rows.values())))
 
 
 def test_plan_fills_every_piece_once():
