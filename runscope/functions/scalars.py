@@ -40,8 +40,22 @@ def percent(value: Column) -> Column:
 
 
 def rounded(value: Column, digits: int) -> Column:
-    """Half to even; null stays null."""
-    return F.bround(value, digits)
+    """Half to even of the number that the double is in binary, not of its shortest decimal form; null, infinite and NaN stay.
+
+    value * 10^digits is taken with its rounding error, which two halves of each factor give exactly: only so a value just
+    beside a tie is told from one on it.
+    """
+    x, scale = value.cast("double"), 10.0**digits
+    split = lambda c: (c * 134217729.0) - ((c * 134217729.0) - c)  # noqa: E731  the upper 26 bits
+    high = split(scale)
+    low, x_high = scale - high, split(x)
+    x_low, product = x - x_high, x * scale
+    error = ((x_high * high - product) + x_high * low + x_low * high) + x_low * low
+    floor = F.floor(product).cast("double")
+    over = product - floor - 0.5
+    above = (over > 0) | ((over == 0) & ((error > 0) | ((error == 0) & (floor % 2 != 0))))
+    # the product may have been rounded up to a whole number: then it stands for one just below, and still rounds to it
+    return F.when(F.abs(product) < 2.0**52, (floor + F.when(above, 1.0).otherwise(0.0)) / scale).otherwise(x)
 
 
 def parse_timestamp(value: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
 from runscope.sources import bill as B
+from runscope.sources.order import ordinal_of
 
 # The columns that a filtered bill keeps.
 KEEP = [
@@ -27,7 +28,11 @@ def run_id_source(bill: DataFrame, aliases: Sequence[str]) -> str:
 
 
 def filter_bill(bill: DataFrame, manifest: DataFrame, label_map: Mapping[str, str | Sequence[str]] | None = None, ordinal: str | None = None) -> DataFrame:
-    """Bill rows of the manifest's runs, with the run's id, group and the id's source; of a run's manifest rows the last by ordinal counts."""
+    """Bill rows of the manifest's runs, with the run's id, group and the id's source; of a run's manifest rows the last by ordinal counts.
+
+    ordinal: by default the column of that name, which read_manifest gives; without one the greatest group counts.
+    """
+    ordinal = ordinal_of(manifest, ordinal)
     aliases = B.label_aliases(label_map)["run_id"]
     source = run_id_source(bill, aliases)
     group = F.coalesce(F.col("group"), F.lit("default")) if "group" in manifest.columns else F.lit("default")

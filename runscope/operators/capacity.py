@@ -43,7 +43,7 @@ def capacity(metrics: DataFrame, task_hours: DataFrame, digits: int = 2) -> Data
     out: dict[str, Column] = {}
 
     def add(name: str, value: Column) -> None:
-        out[name] = S.rounded(F.when(has_tasks, value), digits)
+        out[name] = F.when(has_tasks, value)
 
     for short, cpu_or_mem, unit in (("cpu", "Cpu", "CpuH"), ("mem", "Mem", "MemGibH")):
         requested, real, vm, busy = F.col(f"req_{short}"), F.col(f"real_{short}"), F.col(f"vm{unit}"), F.col(f"schedAlloc{cpu_or_mem}Efficiency")
@@ -56,7 +56,8 @@ def capacity(metrics: DataFrame, task_hours: DataFrame, digits: int = 2) -> Data
         add(f"schedulerOverbook{unit}", S.positive_gap(booked, real))
         add(f"vmPackingSlack{unit}", S.positive_gap(vm, booked))
         add(f"realVm{cpu_or_mem}Efficiency", S.of_capacity(real, vm))
-    return rows.withColumns(out).drop("req_cpu", "req_mem", "real_cpu", "real_mem")
+    # rounded in a step of its own: rounding names its value several times
+    return rows.withColumns(out).withColumns({n: S.rounded(F.col(n), digits) for n in out}).drop("req_cpu", "req_mem", "real_cpu", "real_mem")
 
 
 def has_vm(metrics: DataFrame) -> DataFrame:

@@ -17,20 +17,31 @@ def unwrap(task: Column) -> Column:
     return F.when(task["task"].isNotNull(), task["task"]).otherwise(flat)
 
 
+def task_totals(task: Column) -> dict[str, Column]:
+    """What a task, wrapped or not, adds to its run's progress."""
+    own = lambda name: F.when(task["task"].isNotNull(), task["task"][name]).otherwise(task[name])
+    field = lambda name: S.number(own(name), 0.0)
+    values = {
+        "n": F.lit(1.0), "cpu_time": field("cpus") * field("realtime"), "cpu_load": field("pcpu") / 100.0 * field("realtime"),
+        "rss": F.coalesce(own("peakRss"), own("rss"), F.lit(0.0)), "requested": field("memory"), "read": field("readBytes"), "written": field("writeBytes"),
+    }
+    return {n: F.when(own("status") == "COMPLETED", v).otherwise(0.0) for n, v in values.items()}
+
+
 def progress_of_tasks(tasks: Column) -> Column:
-    """A run's progress from its COMPLETED tasks, inside the row; null if there are none."""
-    done = F.filter(F.transform(tasks, unwrap), lambda t: t["status"] == "COMPLETED")
+    """A run's progress from its COMPLETED tasks, in one pass inside the row; null if there are none."""
+    names = ("n", "cpu_time", "cpu_load", "rss", "requested", "read", "written")
+
+    def add(sums: Column, task: Column) -> Column:
+        own = task_totals(task)
+        return F.struct(*[(sums[n] + own[n]).alias(n) for n in names])
 
-    def total(value) -> Column:
-        return F.aggregate(done, F.lit(0.0), lambda a, t: a + value(t))
+    # finish works on the sums, so that the pass is written once in the plan
+    return F.aggregate(tasks, F.struct(*[F.lit(0.0).alias(n) for n in names]), add, progress_of_sums)
 
-    def field(name: str):
-        return lambda t: S.number(t[name], 0.0)
 
-    cpu_time = total(lambda t: field("cpus")(t) * field("realtime")(t))
-    cpu_load = total(lambda t: field("pcpu")(t) / 100.0 * field("realtime")(t))
-    rss = total(lambda t: F.coalesce(t["peakRss"], t["rss"], F.lit(0.0)))
-    requested = total(field("memory"))
+def progress_of_sums(sums: Column) -> Column:
+    cpu_time, cpu_load, rss, requested = (sums[n] for n in ("cpu_time", "cpu_load", "rss", "requested"))
     values = {
         "cpuEfficiency": S.rounded(F.when(cpu_time != 0, cpu_load / cpu_time * 100), 2),
         "memoryEfficiency": S.rounded(F.when(requested != 0, rss / requested * 100), 2),
@@ -38,10 +49,10 @@ def progress_of_tasks(tasks: Column) -> Column:
         "cpuLoad": F.floor(cpu_load).cast("double"),
         "memoryRss": rss,
         "memoryReq": requested,
-        "readBytes": total(field("readBytes")),
-        "writeBytes": total(field("writeBytes")),
+        "readBytes": sums["read"],
+        "writeBytes": sums["written"],
     }
-    return F.when(F.size(done) > 0, F.struct(*[values[n].alias(n) for n in schemas.PROGRESS.names]))
+    return F.when(sums["n"] > 0, F.struct(*[values[n].alias(n) for n in schemas.PROGRESS.names]))
 
 
 def is_empty(value: Column, names: list[str]) -> Column:
@@ -59,7 +70,7 @@ def pipeline_name(workflow: Column) -> Column:
 
 
 def normalize_runs(raw: DataFrame) -> DataFrame:
-    """One row for each document. Missing and null fields alike take the defaults."""
+    """One row for each document. Missing and null fields alike take the defaults. ordinal, or else file_name, tells the order of runs."""
     w, given = F.col("workflow"), F.col("progress.workflowProgress")
     p = F.when(is_empty(given, schemas.PROGRESS.names), progress_of_tasks(F.coalesce("tasks", F.array()))).otherwise(given)
     rows = raw.withColumn("_p", p)
@@ -76,7 +87,9 @@ def normalize_runs(raw: DataFrame) -> DataFrame:
         "pipeline_version": S.text(w["revision"]), "platform_version": S.text(F.col("launch.platformVersion")), "workspace": S.text(F.col("meta.workspace")),
         "platform": S.text(F.col("meta.platform")), "run_url": S.text(S.first_filled(w["runUrl"], w["url"])),
     }
-    return rows.select(*[c.alias(n) for n, c in columns.items()])
+    # documents come in the order of their files, unless they tell another
+    order = next((n for n in ("ordinal", "file_name") if n in raw.columns), None)
+    return rows.select(*[c.alias(n) for n, c in columns.items()], *([F.col(order).alias("ordinal")] if order else []))
 
 
 def task_rows(tasks: DataFrame) -> DataFrame:

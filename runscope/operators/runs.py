@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
+from runscope.sources.order import ordinal_of
 
 # How run states are classed.
 FAILED = ("FAILED", "ERROR", "FAILING")
@@ -58,8 +59,9 @@ def of_included(rows: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def last_by_run(rows: DataFrame, ordinal: str | None = None) -> DataFrame:
-    """One row for each run_id: the last by ordinal, or any one where there is no order."""
-    names = [c for c in rows.columns if c != "run_id"]
+    """One row for each run_id: the last by ordinal (by default the column of that name), or any one where there is no order."""
+    ordinal = ordinal_of(rows, ordinal)
+    names = [c for c in rows.columns if c not in ("run_id", "ordinal")]
     row = F.struct(*names)
     pick = F.max_by(row, F.col(ordinal)) if ordinal else F.first(row)
     return rows.groupBy("run_id").agg(pick.alias("_r")).select("run_id", *[F.col("_r")[n].alias(n) for n in names])
@@ -67,7 +69,12 @@ def last_by_run(rows: DataFrame, ordinal: str | None = None) -> DataFrame:
 
 def benchmark_overview(runs: DataFrame) -> DataFrame:
     """All runs, included or not."""
-    return runs.select("pipeline", "group", "run_id", "status", "status_label", "status_category", "report_included")
+    return runs.select("pipeline", "group", "run_id", "status", "status_label", "status_category", "report_included", *order_of(runs))
+
+
+def order_of(runs: DataFrame) -> list[str]:
+    """The column ordinal if the runs have it: sections of runs carry it until they are sorted."""
+    return ["ordinal"] if "ordinal" in runs.columns else []
 
 
 def _link() -> Column:
@@ -81,7 +88,7 @@ def run_summary(runs: DataFrame) -> DataFrame:
     return runs.select(
         "pipeline", "group", "run_id", "workspace", _link().alias("runUrl"), "username", "status", "status_label", "status_category", "report_included",
         *[F.col(c).alias(n) for c, n in names.items()], "platform_version", *[S.number(F.col(c)).alias(n) for c, n in counts.items()], "executor", "region",
-        *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in ("fusion_enabled", "wave_enabled")], "container_engine",
+        *[F.coalesce(F.col(c), F.lit(False)).alias(c) for c in ("fusion_enabled", "wave_enabled")], "container_engine", *order_of(runs),
     )
 
 
@@ -92,5 +99,5 @@ def run_metrics(runs: DataFrame) -> DataFrame:
     return included(runs).select(
         "pipeline", "group", "run_id", "workspace", _link().alias("runUrl"), whole("duration_ms").alias("duration"), S.rounded(S.hours(F.col("cpu_time_ms")), 1).alias("cpuTime"),
         whole("cpu_time_ms").alias("pipeline_runtime"), S.rounded(F.col("cpu_efficiency"), 0).alias("cpuEfficiency"), S.rounded(F.col("memory_efficiency"), 2).alias("memoryEfficiency"),
-        gb("read_bytes").alias("readBytes"), gb("write_bytes").alias("writeBytes"),
+        gb("read_bytes").alias("readBytes"), gb("write_bytes").alias("writeBytes"), *order_of(runs),
     )

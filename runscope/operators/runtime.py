@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
 from runscope.operators.tasks import completed
+from runscope.sources.order import ordinal_of
 
 # Parts of process names that are shown in another colour.
 HIGHLIGHTS = "qc|qualimap|multiqc|rseqc|dupradar"
@@ -20,6 +21,7 @@ def is_highlight(process: Column) -> Column:
 
 def process_runtime(tasks: DataFrame, runs: DataFrame, ordinal: str | None = None) -> DataFrame:
     """Runtime, wait and number of COMPLETED tasks by panel and process. A run's pipeline is that of its last row."""
+    ordinal = ordinal_of(runs, ordinal)
     last = F.max_by("pipeline", ordinal) if ordinal else F.first("pipeline")
     names = runs.groupBy("run_id").agg(last.alias("_pipeline"))
     process = S.first_filled(F.col("process"), F.col("process_short"), F.lit("unknown"))

@@ -4,16 +4,8 @@ from __future__ import annotations
 
 
 def half_even(value: str, digits: int) -> str:
-    """SQL that rounds half to even, from nine decimals of the value."""
-    n, unit = f"CAST(round(CAST({value} AS DOUBLE) * 1e9) AS HUGEINT)", 10 ** (9 - digits)
-    up = f"CASE WHEN abs({n}) % {unit} * 2 > {unit} OR (abs({n}) % {unit} * 2 = {unit} AND (abs({n}) // {unit}) % 2 = 1) THEN 1 ELSE 0 END"
-    return f"(sign({n}) * CAST(abs({n}) // {unit} + {up} AS DOUBLE) / {10**digits}.0)"
-
-
-def half_even_decimal(value: str) -> str:
-    """SQL that rounds a decimal of four places to two, half to even."""
-    n = f"CAST(({value}) * 10000 AS HUGEINT)"
-    return f"(CAST({n} // 100 + CASE WHEN {n} % 100 > 50 OR ({n} % 100 = 50 AND ({n} // 100) % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 100)"
+    """SQL that rounds the binary value of a double half to even: formatting does that."""
+    return f"CAST(format('{{:.{digits}f}}', CAST({value} AS DOUBLE)) AS DOUBLE)"
 
 
 ISO = "'%Y-%m-%dT%H:%M:%S.%gZ'"
@@ -49,9 +41,9 @@ tasks AS (
   FROM l WHERE status <> 'FAILED'),
 own AS (SELECT * FROM tasks WHERE run_id IN (SELECT run_id FROM classed WHERE report_included)),
 bill AS (
-  SELECT run_id, CASE l_partkey % 3 WHEN 0 THEN process WHEN 1 THEN p_brand ELSE '' END AS process, substr(h, 1, 8) AS hash, l_linenumber, price,
+  SELECT run_id, CASE l_partkey % 3 WHEN 0 THEN process WHEN 1 THEN p_brand ELSE '' END AS process, CASE WHEN l_suppkey % 3 = 0 THEN 'z' || substr(h, 2, 7) ELSE substr(h, 1, 8) END AS hash, l_linenumber, price,
     CASE WHEN l_linenumber <> 3 THEN CAST(price * (1 - CAST(l_discount AS DECIMAL(4, 2))) AS DECIMAL(18, 4)) END AS split,
-    CAST(price * CAST(l_tax AS DECIMAL(4, 2)) AS DECIMAL(18, 4)) AS unused FROM l WHERE l_suppkey % 3 <> 0),
+    CAST(price * CAST(l_tax AS DECIMAL(4, 2)) AS DECIMAL(18, 4)) AS unused FROM l),
 costs AS (SELECT run_id, process, hash, sum(coalesce(split, price) + unused) AS cost, sum(coalesce(split, price)) AS used_cost, sum(unused) AS unused_cost FROM bill GROUP BY ALL),
 attributed AS (
   SELECT t.*, coalesce(a.cost, b.cost, c.cost) AS bill_cost, coalesce(a.used_cost, b.used_cost, c.used_cost) AS bill_used, coalesce(a.unused_cost, b.unused_cost, c.unused_cost) AS bill_unused
@@ -95,9 +87,12 @@ def double(*names: str) -> str:
     return ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names)
 
 
-def _capacity() -> str:
+def _capacity(shown, vm_digits: int | None = None) -> str:
+    """The split of both capacities; shown: how a value is rounded; vm_digits: how machine hours and efficiencies are before."""
     out = []
     for short, kind, unit, vm, busy in (("cpu", "Cpu", "CpuH", "vm_cpu_h", "sched_alloc_cpu_efficiency"), ("mem", "Mem", "MemGibH", "vm_mem_gib_h", "sched_alloc_mem_efficiency")):
+        if vm_digits is not None:
+            vm, busy = half_even(vm, vm_digits), half_even(busy, vm_digits)
         req, real = f"req_{short}", f"real_{short}"
         booked = f"(CASE WHEN {vm} IS NOT NULL AND {busy} IS NOT NULL THEN least({vm}, greatest(0, {vm} * {busy} / 100)) ELSE greatest({req}, 0) END)"
         gap = lambda a, b: f"CASE WHEN {a} IS NOT NULL AND {b} IS NOT NULL THEN greatest({a} - {b}, 0) END"
@@ -106,7 +101,7 @@ def _capacity() -> str:
             f"schedulerRightsized{unit}": gap(req, booked), f"schedulerOverbook{unit}": gap(booked, real), f"vmPackingSlack{unit}": gap(vm, booked),
             f"realVm{kind}Efficiency": f"CASE WHEN {vm} > 0 THEN {real} / {vm} * 100 END",
         }
-        out += [f'CASE WHEN req_cpu IS NOT NULL THEN round({e} + 1e-9, 6) END AS "{n}"' for n, e in values.items()]
+        out += [f'CASE WHEN req_cpu IS NOT NULL THEN {shown(e)} END AS "{n}"' for n, e in values.items()]
     return ", ".join(out)
 
 
@@ -143,14 +138,14 @@ BODIES: dict[str, str] = {
     "run_summary": f"""SELECT pipeline, "group", run_id, workspace, "runUrl", username, status, status_label, status_category, report_included, pipeline_version AS "Version",
       nextflow_version AS "Nextflow_version", platform_version, CAST(succeeded AS BIGINT) AS "succeedCount", CAST(failed AS BIGINT) AS "failedCount", CAST(cached AS BIGINT) AS "cachedCount", executor, region,
       fusion_enabled, wave_enabled, container_engine FROM classed""",
-    "run_metrics": f"""SELECT pipeline, "group", run_id, workspace, "runUrl", CAST(duration_ms AS BIGINT) AS duration, {half_even("cpu_time_ms / 1000 / 3600", 1)} AS "cpuTime",
+    "run_metrics": f"""SELECT pipeline, "group", run_id, workspace, "runUrl", CAST(duration_ms AS BIGINT) AS duration, {half_even("cpu_time_ms / 3600000.0::DOUBLE", 1)} AS "cpuTime",
       CAST(cpu_time_ms AS BIGINT) AS pipeline_runtime, {half_even("cpu_efficiency", 0)} AS "cpuEfficiency", {half_even("memory_efficiency", 2)} AS "memoryEfficiency",
       {half_even("read_bytes / 1e9", 0)} AS "readBytes", {half_even("write_bytes / 1e9", 0)} AS "writeBytes", n_machines AS "nMachines" FROM classed LEFT JOIN machines USING (run_id) WHERE report_included""",
     "run_links": 'SELECT run_id, workspace, "runUrl" FROM classed',
     "cost_index": "SELECT run_id, process, hash, CAST(2 * cost AS DOUBLE) AS cost, CAST(2 * used_cost AS DOUBLE) AS used_cost, CAST(2 * unused_cost AS DOUBLE) AS unused_cost FROM costs",
     "task_cost_join": f"SELECT run_id, name, hash, {double('bill_cost', 'total', 'used', 'unused')} FROM counted",
-    "run_costs": f"""SELECT r.run_id, r."group", {half_even_decimal("coalesce(sum(total), 0)")} AS cost, {half_even_decimal("coalesce(sum(used), 0)")} AS used_cost,
-      {half_even_decimal("coalesce(sum(unused), 0)")} AS unused_cost FROM classed r LEFT JOIN mine m USING (run_id) WHERE report_included GROUP BY r.run_id, r."group" """,
+    "run_costs": f"""SELECT r.run_id, r."group", {half_even("coalesce(sum(total), 0)", 2)} AS cost, {half_even("coalesce(sum(used), 0)", 2)} AS used_cost,
+      {half_even("coalesce(sum(unused), 0)", 2)} AS unused_cost FROM classed r LEFT JOIN mine m USING (run_id) WHERE report_included GROUP BY r.run_id, r."group" """,
     "cost_reconciliation": """SELECT coalesce(b.run_id, a.run_id) AS run_id, CAST(coalesce(billed, 0) AS DOUBLE) AS billed, CAST(coalesce(att, 0) AS DOUBLE) AS attributed
       FROM (SELECT run_id, sum(cost) AS billed FROM costs GROUP BY 1) b FULL JOIN (SELECT run_id, sum(bill_cost) AS att FROM counted GROUP BY 1) a ON a.run_id = b.run_id""",
     "cost_overview": 'SELECT "group", process_short, CAST(sum(total) AS DOUBLE) AS total_cost, CAST(sum(used) AS DOUBLE) AS used_cost, CAST(sum(unused) AS DOUBLE) AS unused_cost, count(*) AS n_tasks FROM mine GROUP BY 1, 2',
@@ -169,7 +164,7 @@ BODIES: dict[str, str] = {
       round(memory_bytes / 1e9, 6) AS memory_gb FROM own""",
     "task_resource_hours": "SELECT run_id, round(req_cpu, 6) AS req_cpu, round(req_mem, 6) AS req_mem, round(real_cpu, 6) AS real_cpu, round(real_mem, 6) AS real_mem FROM hours",
     "capacity_decomposition": f"""SELECT c.run_id, vm_cpu_h AS "vmCpuH", vm_mem_gib_h AS "vmMemGibH", sched_alloc_cpu_efficiency AS "schedAllocCpuEfficiency", sched_alloc_mem_efficiency AS "schedAllocMemEfficiency",
-      {_capacity()} FROM classed c LEFT JOIN machines USING (run_id) LEFT JOIN hours USING (run_id) WHERE report_included""",
+      {_capacity(lambda e: f'round({e} + 1e-9, 6)')} FROM classed c LEFT JOIN machines USING (run_id) LEFT JOIN hours USING (run_id) WHERE report_included""",
     "has_vm": "SELECT coalesce(bool_or(vm_cpu_h > 0), false) AS has_vm FROM classed JOIN machines USING (run_id) WHERE report_included",
     "manifest_validation": f"SELECT id, workspace, logs, {ERRORS} AS errors FROM manifest",
     "run_routing": """SELECT way, CASE WHEN logs IS NULL THEN NULL WHEN ends_with(logs, '.tar.gz') THEN 'archive' ELSE 'directory' END AS logs_kind, count(*) AS n_rows, min('/data/in/' || logs) AS first_path, max(id) AS last_id
@@ -179,4 +174,56 @@ BODIES: dict[str, str] = {
       FROM bill b JOIN orders ON b.run_id = CAST(o_orderkey AS VARCHAR) WHERE o_orderstatus = 'F'""",
     "bill_filter_summary": "SELECT run_id, count(*) AS n_rows FROM bill GROUP BY 1 UNION ALL SELECT 'red-herring-run-id', 1",
 }
+
+EXACT_HOURS = """(SELECT run_id, sum(cpus * h) AS req_cpu, sum(memory_bytes / 1073741824 * h) AS req_mem, sum(cpus / 8 * h) AS real_cpu,
+      sum(CASE WHEN peak_rss <> 0 THEN peak_rss ELSE rss END / 1073741824 * h) AS real_mem FROM (SELECT *, realtime_ms / 60000 / 16 AS h FROM tasks) GROUP BY run_id)"""
+INPUT_ORDER = "reverse(lpad(run_id, 12, '0'))"
+
+
+def in_order(columns: str, by: str, rows: str) -> str:
+    return f"SELECT row_number() OVER (ORDER BY {by}) AS row_number, {columns} FROM {rows}"
+
+
+def documents_of(progress: str, tasks: str) -> str:
+    return f"""SELECT run_id, "group", pipeline, status, workspace, CAST(duration_ms AS BIGINT) AS duration_ms, CAST(cached AS BIGINT) AS cached, executor, CAST({progress} AS BIGINT) AS cpu_time_ms, fusion_enabled,
+      CAST({tasks} AS BIGINT) AS n_tasks, CAST({tasks} AS BIGINT) AS n_metrics FROM runs LEFT JOIN (SELECT run_id, sum(cpus * realtime_ms) AS ct FROM tasks WHERE status = 'COMPLETED' GROUP BY 1) p USING (run_id)
+      LEFT JOIN (SELECT run_id, count(*) AS n FROM l GROUP BY 1) n USING (run_id)"""
+
+
+_DOUBLES = ", ".join(f"{half_even(c, 2)} AS \"{n}\"" for c, n in (("vm_cpu_h", "vmCpuH"), ("vm_mem_gib_h", "vmMemGibH"), ("sched_alloc_cpu_efficiency", "schedAllocCpuEfficiency"), ("sched_alloc_mem_efficiency", "schedAllocMemEfficiency")))
+BODIES |= {
+    "manifest_scan": f"SELECT nullif(id, '') AS id, workspace, \"group\", logs, platform, 'TOKEN_1' AS token_env, {ERRORS} AS errors FROM manifest",
+    "idle_runs": f"SELECT count(*) AS n_api_runs FROM (SELECT *, {ERRORS} AS errors FROM manifest) WHERE errors = '' AND workspace <> 'external'",
+    "run_documents": documents_of("coalesce(floor(ct), 0)", "coalesce(n, 0)"),
+    "run_merge": documents_of("coalesce(floor(ct), 0)", "coalesce(n, 0)"),
+    "run_archives": documents_of("cpu_time_ms", "0"),
+    "attached_meta": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'org/later' ELSE 'org/ws' END AS workspace, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE 'default' END AS "group",
+      CASE WHEN o_orderkey % 3 = 0 THEN 'https://own.test' ELSE 'https://default.test' END AS platform, 'T' AS token_env FROM orders WHERE o_orderkey % 7 <> 0""",
+    "workspace_lookup": """SELECT c_name AS id, 'org' || (c_custkey % 7) || '/' || c_mktsegment AS workspace, CASE WHEN c_custkey % 7 < 5 THEN CAST(c_custkey % 7 * 100 + length(c_mktsegment) AS BIGINT) END AS workspace_id FROM customer""",
+    "machine_files": "SELECT * FROM machines",
+    "bundle_runs": f"SELECT * EXCLUDE (duration_ms, succeeded, failed, cached, cpu_time_ms, read_bytes, write_bytes), {big('duration_ms succeeded failed cached cpu_time_ms read_bytes write_bytes')}, CAST(NULL AS BIGINT) AS n_machines FROM runs",
+    "bundle_tables": """SELECT 'runs' AS "table", count(*) AS n_rows, count(DISTINCT run_id) AS n_runs, CAST(sum(duration_ms) AS DOUBLE) AS amount FROM runs
+      UNION ALL SELECT 'tasks', count(*), count(DISTINCT run_id), CAST(sum(realtime_ms) AS DOUBLE) FROM tasks UNION ALL SELECT 'metrics', count(*), count(DISTINCT run_id), CAST(sum(q) AS DOUBLE) FROM l
+      UNION ALL SELECT 'costs', count(*), count(DISTINCT run_id), CAST(sum(cost) AS DOUBLE) FROM costs UNION ALL SELECT 'machines', 0, 0, 0""",
+    "bundle_report": BODIES["task_instance_usage"],
+    "bill_scan": BODIES["bill_aggregate"],
+    "bill_sink": BODIES["bill_filter"].replace("o_orderpriority AS", "CASE WHEN o_orderkey % 3 = 0 THEN 'A late group' ELSE o_orderpriority END AS"),
+    "last_machine_row": f"""SELECT c.run_id, c.pipeline, n_machines + CASE WHEN CAST(c.run_id AS BIGINT) % 2 = 0 THEN 100 ELSE 0 END AS "nMachines", {half_even("vm_cpu_h * CASE WHEN CAST(c.run_id AS BIGINT) % 2 = 0 THEN 2 ELSE 1 END", 2)} AS "vmCpuH"
+      FROM (SELECT run_id, pipeline FROM classed WHERE report_included UNION ALL SELECT run_id, 'late ' || pipeline FROM classed WHERE report_included AND CAST(run_id AS BIGINT) % 3 = 0) c LEFT JOIN machines USING (run_id)""",
+    "last_pipeline_row": """SELECT CASE WHEN CAST(run_id AS BIGINT) % 3 = 0 THEN 'late ' ELSE '' END || pipeline AS pipeline, t."group", process, CAST(sum(realtime_ms) AS BIGINT) AS runtime_ms, CAST(sum(wait_ms) AS BIGINT) AS wait_ms,
+      count(*) AS n_tasks FROM own t JOIN runs USING (run_id) WHERE t.status = 'COMPLETED' GROUP BY 1, 2, 3""",
+    "rounding": f"""SELECT l_orderkey, l_linenumber, {half_even("k / 10.0::DOUBLE", 0)} AS r0, {half_even("k / 100.0::DOUBLE", 1)} AS r1, {half_even("k / 1000.0::DOUBLE", 2)} AS r2, {half_even("k / 100000.0::DOUBLE", 4)} AS r4,
+      {half_even("-(k / 1000.0::DOUBLE)", 2)} AS negative, CAST(NULL AS DOUBLE) AS none FROM (SELECT *, CAST(trunc(l_extendedprice * 100) AS BIGINT) * 10 + 5 AS k FROM lineitem)""",
+    "capacity_report": f"""SELECT c.run_id, {_DOUBLES}, {_capacity(lambda e: half_even(e, 2), 2)} FROM classed c LEFT JOIN machines USING (run_id) LEFT JOIN {EXACT_HOURS} h USING (run_id) WHERE report_included""",
+    "ordered_overview": in_order('pipeline, "group", run_id, status', f'pipeline, "group", {INPUT_ORDER}', "classed"),
+    "ordered_summary": in_order('"group", run_id, workspace', f'"group", {INPUT_ORDER}', "classed"),
+    "ordered_metrics": in_order('"group", run_id, CAST(duration_ms AS BIGINT) AS duration', f'"group", {INPUT_ORDER}', "classed WHERE report_included"),
+    "ordered_costs": in_order('"group", run_id, cost', f'"group", {INPUT_ORDER}', f"({BODIES['run_costs']})"),
+    "ordered_process_stats": in_order('"group", process_name, n_tasks', 'a DESC, "group", process_name', """(SELECT "group", process AS process_name, count(*) AS n_tasks, avg(realtime_ms / 60000) AS a FROM own WHERE status = 'COMPLETED' GROUP BY 1, 2)"""),
+    "ordered_instance_usage": in_order('"group", machine_type, "count"', '"group", "count" DESC, machine_type', f"({BODIES['task_instance_usage']})"),
+    "ordered_task_table": in_order('"group", short, name, run_id, hash', '"group", short, name, run_id', '(SELECT "group", process_short AS short, name, run_id, substr(hash, 1, 9) AS hash FROM own)'),
+    "ordered_scatter": in_order("process_short, run_id, name, cpus", "process_short, run_id, name", "own"),
+    "ordered_cost_overview": in_order('"group", process_short, total_cost', 'total_cost DESC, "group", process_short', f"({BODIES['cost_overview']})"),
+    "ordered_panels": in_order('pipeline, "group", CAST(n AS BIGINT) AS total_tasks', 'pipeline, "group"', "(SELECT pipeline, \"group\", sum(n_tasks) AS n FROM segments WHERE total > 0 GROUP BY 1, 2)"),
+}
 ORACLES = {name: TABLES + body for name, body in BODIES.items()}

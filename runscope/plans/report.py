@@ -2,54 +2,88 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from runscope.operators import capacity, costs, runs, runtime, tasks
 
-# The order of each section's rows.
+# The order of each section's rows; of equal ones the input's order holds where it is known.
 ORDERS = {
-    "benchmark_overview": ["pipeline", "group", "run_id"], "run_summary": ["group", "run_id"], "run_metrics": ["group", "run_id"], "run_costs": ["group", "run_id"],
-    "process_stats": ["-avg_runtime_min", "group", "process_name", "process_short"], "combined_task_runtime": ["pipeline", "group"], "task_instance_usage": ["group", "-count", "machine_type"],
-    "task_table": ["Group", "Task name short", "Task name", "Run ID", "Taskhash"], "task_scatter": ["process_short", "run_id", "name"], "cost_overview": ["-total_cost", "group", "process_short"],
+    "benchmark_overview": ["pipeline", "group", "ordinal", "run_id"], "run_summary": ["group", "ordinal", "run_id"], "run_metrics": ["group", "ordinal", "run_id"],
+    "run_costs": ["group", "ordinal", "run_id"], "process_stats": ["-avg_runtime_min", "group", "process_name", "process_short"], "combined_task_runtime": ["pipeline", "group"],
+    "task_instance_usage": ["group", "-count", "machine_type"], "task_table": ["Group", "Task name short", "Task name", "Run ID", "Taskhash"], "task_scatter": ["process_short", "run_id", "name"],
+    "cost_overview": ["-total_cost", "group", "process_short"],
 }
 
 
-def build_report(tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None) -> dict[str, DataFrame | None]:
+class Report(Mapping):
+    """Sections by name, each planned when it is asked for: only the two about costs need to know whether there are any."""
+
+    def __init__(self, tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None):
+        self.tables, self.ordinal = tables, ordinal
+        self.classed = runs.with_status(tables["runs"], include_failed_runs)
+        self.own = runs.of_included(tables["tasks"], self.classed)
+        own, classed = self.own, self.classed
+        self.sections: dict[str, Callable[[], DataFrame | None]] = {
+            "benchmark_overview": lambda: runs.benchmark_overview(classed),
+            "run_summary": lambda: runs.run_summary(classed),
+            "run_metrics": self.run_metrics,
+            "run_costs": lambda: costs.run_costs(runs.included(classed), self.attributed, self.has_costs),
+            "process_stats": lambda: tasks.process_stats(own),
+            "combined_task_runtime": lambda: runtime.combined_runtime(runtime.process_runtime(own, classed, ordinal)),
+            "task_instance_usage": lambda: tasks.instance_usage(own),
+            "task_table": lambda: tasks.task_table(own),
+            "task_scatter": lambda: tasks.task_scatter(own),
+            "cost_overview": lambda: costs.cost_overview(self.attributed, self.has_costs),
+        }
+
+    @cached_property
+    def has_costs(self) -> bool:
+        return costs.has_rows(self.tables.get("bill_rows", self.tables.get("costs")))
+
+    @property
+    def attributed(self) -> DataFrame:
+        return costs.attribute_costs(self.own, self.tables["costs"] if self.has_costs else None)
+
+    def run_metrics(self) -> DataFrame:
+        metrics, machines = runs.run_metrics(self.classed), self.tables.get("machines")
+        if machines is not None:
+            metrics = capacity.with_machines(metrics, machines, self.ordinal)
+        else:
+            kinds = {n: "long" if n == "nMachines" else "double" for n in capacity.MACHINE_COLUMNS.values()}
+            metrics = metrics.withColumns({n: F.lit(None).cast(k) for n, k in kinds.items()})
+        return capacity.capacity(metrics, capacity.task_resource_hours(self.own))
+
+    def __getitem__(self, name: str) -> DataFrame | None:
+        return self.sections[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.sections)
+
+    def __len__(self) -> int:
+        return len(self.sections)
+
+
+def build_report(tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None) -> Report:
     """Sections by name. tables: runs, tasks, costs, machines; costs or machines may be missing. Rows come in no order (see ordered).
 
-    ordinal: a column of runs and machines that tells their order, for runs that stand in several rows.
+    bill_rows, if given, are what costs were summed from: cheaper to ask whether there are any. ordinal: a column of runs and machines
+    that tells their order, by default `ordinal` where they have it; of runs and machines in several rows the last counts.
     """
-    classed = runs.with_status(tables["runs"], include_failed_runs)
-    own = runs.of_included(tables["tasks"], classed)
-    bill = tables.get("costs")
-    has_costs = costs.has_rows(bill)
-    attributed = costs.attribute_costs(own, bill if has_costs else None)
-    metrics = runs.run_metrics(classed)
-    machines = tables.get("machines")
-    if machines is not None:
-        metrics = capacity.with_machines(metrics, machines, ordinal)
-    else:
-        kinds = {n: "long" if n == "nMachines" else "double" for n in capacity.MACHINE_COLUMNS.values()}
-        metrics = metrics.withColumns({n: F.lit(None).cast(k) for n, k in kinds.items()})
-    return {
-        "benchmark_overview": runs.benchmark_overview(classed),
-        "run_summary": runs.run_summary(classed),
-        "run_metrics": capacity.capacity(metrics, capacity.task_resource_hours(own)),
-        "run_costs": costs.run_costs(runs.included(classed), attributed, has_costs),
-        "process_stats": tasks.process_stats(own),
-        "combined_task_runtime": runtime.combined_runtime(runtime.process_runtime(own, classed, ordinal)),
-        "task_instance_usage": tasks.instance_usage(own),
-        "task_table": tasks.task_table(own),
-        "task_scatter": tasks.task_scatter(own),
-        "cost_overview": costs.cost_overview(attributed, has_costs),
-    }
-
-
-def ordered(sections: dict[str, DataFrame | None]) -> dict[str, DataFrame | None]:
+    return Report(tables, include_failed_runs, ordinal)
+
+
+def ordered(sections: Mapping[str, DataFrame | None]) -> dict[str, DataFrame | None]:
     """Sections in the report's order: a range sort each, for those who need it."""
 
     def by(name: str):
-        return F.desc(name[1:]) if name.startswith("-") else F.asc(f"`{name}`")
+        return F.desc(name[1:]) if name.startswith("-") else F.asc_nulls_last(f"`{name}`") if name == "ordinal" else F.asc(f"`{name}`")
 
-    return {n: s if s is None else s.orderBy(*[by(c) for c in ORDERS[n]]) for n, s in sections.items()}
+    out = {}
+    for name in sections:
+        rows = sections[name]
+        out[name] = rows if rows is None else rows.orderBy(*[by(c) for c in ORDERS[name] if c != "ordinal" or c in rows.columns]).drop("ordinal")
+    return out

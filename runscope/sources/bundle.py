@@ -4,27 +4,34 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runscope.sources import schemas
+from runscope.sources.order import ORDINAL, file_order
 
 
 def write_bundle(tables: dict[str, DataFrame | None], folder: str) -> None:
-    """One folder of JSON lines for each table that is given; nulls are written out."""
+    """One folder of JSON lines for each table that is given; nulls are written out. A table with a column ordinal is written in its order."""
     for name, table in tables.items():
         if table is not None:
-            table.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}.jsonl")
+            rows = table.orderBy("ordinal").drop("ordinal") if "ordinal" in table.columns else table
+            rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}.jsonl")
 
 
 def read_bundle(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Every table of a bundle; one that is not there is empty. Lines that are not JSON are an error, blank lines are not."""
+    """Every table of a bundle, with the ordinal of its rows; one that is not there is empty. Lines that are not JSON are an error, blank lines are not."""
     out = {}
     for name, schema in schemas.BUNDLE.items():
         try:
-            out[name] = spark.read.schema(schema).option("mode", "FAILFAST").json(f"{folder}/{name}.jsonl")
-        except AnalysisException:
-            out[name] = spark.createDataFrame([], schema)
+            rows = spark.read.schema(schema).option("mode", "FAILFAST").json(f"{folder}/{name}.jsonl")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            out[name] = spark.createDataFrame([], schema).withColumn("ordinal", F.lit(None).cast(ORDINAL))
+            continue
+        out[name] = rows.withColumn("ordinal", file_order())
     return out
 
 

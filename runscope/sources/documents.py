@@ -34,9 +34,13 @@ class Members:
 
 def read_archives(spark: SparkSession, *paths: str) -> DataFrame:
     """Documents of archives, with file_name: one task opens an archive as a whole, which the format asks for."""
-    files = spark.read.format("binaryFile").load(list(paths)).select("content")
-    spark.udtf.register("archive_members", Members)
-    members = files.lateralJoin(Members(F.col("content").outer()))
+    return unpacked(spark.read.format("binaryFile").load(list(paths)))
+
+
+def unpacked(archives: DataFrame) -> DataFrame:
+    """Documents of archives that stand in a binary column content, with file_name."""
+    archives.sparkSession.udtf.register("archive_members", Members)
+    members = archives.select("content").lateralJoin(Members(F.col("content").outer()))
     return members.select(F.from_json("body", schemas.RUN).alias("run"), "file_name").select("run.*", "file_name")
 
 

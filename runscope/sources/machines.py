@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runscope.sources import schemas
+from runscope.sources.order import file_order
 
 
 def read_machines(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of a folder's *.csv as strings, columns by name; missing ones are null.
 
-    Spark binds CSV columns by place, so files are grouped by their header line and each header is read for itself. Headers are
-    few: only their different texts and the paths that have them reach the driver.
+    Spark binds CSV columns by place, so files are grouped by their header line and each header is read for itself. Lines are
+    streamed and of each file's first block only the first stays. Headers are few; the driver, which lists the files to read them
+    anyway, gets their paths with them.
     """
-    first = spark.read.format("text").option("wholetext", True).option("pathGlobFilter", "*.csv").load(folder)
-    heads = first.select(F.regexp_extract("value", r"^﻿?([^\r\n]*)", 1).alias("header"), F.col("_metadata.file_path").alias("path"))
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select("value", F.col("_metadata.file_path").alias("path"), file_order().alias("ordinal"))
+    heads = lines.filter("ordinal.block = 0").groupBy("path").agg(F.min_by("value", "ordinal.row").alias("value"))
+    heads = heads.select(F.regexp_replace("value", "^\ufeff|\r$", "").alias("header"), "path")
     out = None
     for row in heads.filter("header <> ''").groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
         rows = spark.read.option("header", True).csv(row["paths"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
 from runscope.sources import schemas
+from runscope.sources.order import file_order, ordinal_of
 
 # What each column of a manifest must look like.
 PATTERNS = {
@@ -23,9 +24,12 @@ EXTERNAL = "external"
 
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(valid rows, rejected rows with their errors) of a CSV with a header; columns are found by name, missing ones are null."""
+    """(valid rows, rejected rows with their errors) of a CSV with a header; columns are found by name, missing ones are null.
+
+    ordinal: each row's place in the file.
+    """
     raw = spark.read.option("header", True).csv(path)
-    rows = raw.select(*[(F.col(f"`{n}`") if n in raw.columns else F.lit(None)).cast("string").alias(n) for n in schemas.MANIFEST.names])
+    rows = raw.select(*[(F.col(f"`{n}`") if n in raw.columns else F.lit(None)).cast("string").alias(n) for n in schemas.MANIFEST.names], file_order().alias("ordinal"))
     checked = validate(rows)
     return checked.filter(F.size("errors") == 0).drop("errors"), checked.filter(F.size("errors") > 0)
 
@@ -73,5 +77,7 @@ def meta(default_platform: str = "") -> Column:
 
 def attach_meta(documents: DataFrame, rows: DataFrame, default_platform: str = "") -> DataFrame:
     """Run documents of API runs with the meta of their manifest rows; documents that no row names are dropped."""
-    named = rows.select(F.col("id").alias("_id"), meta(default_platform).alias("_meta")).dropDuplicates(["_id"])
+    own = rows.select(F.col("id").alias("_id"), meta(default_platform).alias("_meta"), *(["ordinal"] if ordinal_of(rows) else []))
+    last = F.max_by("_meta", "ordinal") if ordinal_of(rows) else F.first("_meta")
+    named = own.filter("_id is not null").groupBy("_id").agg(last.alias("_meta"))
     return documents.join(named, F.col("workflow.id") == F.col("_id")).withColumn("meta", F.col("_meta")).drop("_id", "_meta")

@@ -1,5 +1,8 @@
 """Report sections on small tables with known results."""
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -162,6 +165,29 @@ def test_last_rows_win(spark):
     assert runs.last_by_run(machines, "at").first()["n_machines"] == 2
 
 
+def test_last_rows_win_by_default(spark):
+    late = [run("r1") | {"pipeline": "late"}, run("r1") | {"pipeline": "early"}]
+    table = frame(spark, schemas.RUNS, late).withColumn("ordinal", F.when(F.col("pipeline") == "late", 2).otherwise(1))
+    machines = spark.createDataFrame([("r1", 2, 2.0, 9), ("r1", 1, 1.0, 1)], "run_id string, n_machines long, vm_cpu_h double, ordinal int")
+    assert runs.last_by_run(machines).first()["n_machines"] == 2
+    out = build_report({"runs": table, "tasks": frame(spark, schemas.TASKS, [task("r1", "A", realtime_ms=1000)]), "costs": None})
+    assert [r["pipeline"] for r in out["combined_task_runtime"].collect()] == ["late"]
+    # ties keep the input's order; the order itself is no column of the report
+    rows = ordered({"run_summary": out["run_summary"]})["run_summary"]
+    assert [r["pipeline"] for r in rows.collect()] == ["early", "late"] and "ordinal" not in rows.columns
+    assert ordered({"run_costs": out["run_costs"]})["run_costs"].count() == 1 and out["cost_overview"] is None
+
+
+def test_rounding_is_that_of_the_binary_value(spark):
+    r = random.Random(1)
+    values = [2.675, 1.005, 0.125, 0.375, 2.5, -2.5, 1e300, -0.5, 0.0, 1e15 + 0.5, 4503599627370497.5, 1.15, 1.25, 1.35]
+    values += [r.randrange(10**6) / 1000 for _ in range(2000)] + [math.nextafter(r.randrange(10**5) / 200, r.choice([-1e9, 1e9])) for _ in range(2000)] + [r.uniform(-1e6, 1e6) for _ in range(500)]
+    table = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    for digits in (0, 1, 2, 4):
+        rows = table.select("x", S.rounded(F.col("x"), digits).alias("y")).collect()
+        assert [x["y"] for x in rows] == [None if x["x"] is None else float(round(x["x"], digits)) for x in rows]
+
+
 def test_process_stats_and_usage(spark):
     rows = [task("r1", "A", realtime_ms=60000, machine_type="m5"), task("r1", "A", realtime_ms=180000, machine_type=""), task("r1", "B", machine_type="m5"), task("r1", "B", status="CACHED")]
     table = frame(spark, schemas.TASKS, rows)

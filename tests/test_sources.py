@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from runscope.operators import bill_filter as bf
 from runscope.operators import costs, machine_hours, normalize
 from runscope.sources import bill as B
-from runscope.sources import bundle, documents, machines, manifest, run_api, schemas
+from runscope.sources import bundle, documents, folders, machines, manifest, run_api, schemas
+from runscope.sources.order import file_order, numbered
 from runscope.streaming import landing
 
 
@@ -37,7 +38,7 @@ def test_runs_from_documents(spark, tmp_path):
     (tmp_path / "sub/no.json").write_text("{}")
     path = write(tmp_path, one_run(progress={"cpuEfficiency": 50.0, "cpuTime": 1000}, fusion={"enabled": True}, projectName=""), one_run("run2", [one_task(), one_task(status="FAILED", cpus=100)], nextflow={"version": "24"}))
     rows = {r["run_id"]: r for r in normalize.normalize_runs(documents.read_runs(spark, path)).collect()}
-    assert set(rows) == {"run1", "run2"} and len(rows["run1"]) == 30
+    assert set(rows) == {"run1", "run2"} and len(rows["run1"]) == 31  # and the ordinal
     first, second = rows["run1"], rows["run2"]
     assert (first["pipeline"], first["cached"], first["cpu_efficiency"], first["cpu_time_ms"], first["fusion_enabled"], first["run_url"], first["executor"]) == ("pipe", 2, 50.0, 1000, True, "", "")
     assert (second["cpu_time_ms"], second["memory_efficiency"], second["cpu_efficiency"], second["nextflow_version"]) == (240000, 50.0, 0.0, "24")
@@ -187,6 +188,45 @@ def test_bundle_round_trip(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "sections/runs")).count() == 1
 
 
+def test_rows_are_numbered_in_file_order(spark, tmp_path):
+    out = str(tmp_path / "rows")
+    spark.range(1000).withColumn("key", F.xxhash64("id")).orderBy("key").write.parquet(out)
+    rows = numbered(spark.read.parquet(out).withColumn("ordinal", file_order())).collect()
+    assert [r["id"] for r in sorted(rows, key=lambda r: r["row_number"])] == [r["id"] for r in sorted(rows, key=lambda r: r["key"])]
+    assert sorted(r["row_number"] for r in rows) == list(range(1, 1001))
+
+
+def test_bundle_keeps_its_order_and_refuses_broken_lines(spark, tmp_path):
+    runs = normalize.normalize_runs(documents.read_runs(spark, write(tmp_path, *(one_run(f"r{i}") for i in range(5)))))
+    bundle.write_bundle({"runs": runs.withColumn("ordinal", -F.substring("run_id", 2, 1).cast("int"))}, str(tmp_path / "out"))
+    back = bundle.read_bundle(spark, str(tmp_path / "out"))["runs"]
+    assert [r["run_id"] for r in back.orderBy("ordinal").collect()] == ["r4", "r3", "r2", "r1", "r0"]
+    broken = tmp_path / "broken" / "runs.jsonl"
+    broken.mkdir(parents=True)
+    (broken / "part-0.json").write_text("{not json\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        bundle.read_bundle(spark, str(tmp_path / "broken"))["runs"].collect()
+
+
+def test_shared_folder_on_a_cluster_must_be_named():
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        folders.shared_folder(Session())
+
+
 def test_streamed_documents(spark, tmp_path):
     (tmp_path / "in").mkdir()
     path = write(tmp_path / "in", one_run(tasks=[one_task()]), one_run("run2", [one_task(), one_task()]))
