@@ -16,7 +16,7 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-#: Odd multipliers of the rolling hashes, and their inverses modulo 2^64.
+#: Odd multipliers of the hashes, and their inverses modulo 2^64.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 BYTE_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -73,12 +73,21 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def range_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
-    """A 64-bit hash of each range of values, the same wherever the range stands."""
+def range_hashes(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each range of values, the same wherever the range stands; ranges are in order and apart.
+
+    Each value is mixed with its place in its range before the sum: no polynomial, whose value modulo 2^64 is the same for some long
+    sequences whatever its base.
+    """
     n = len(values)
+    first = np.zeros(n, np.int64)
+    first[begins] = begins
+    place = (np.arange(n) - np.maximum.accumulate(first)).astype(np.uint64) if n else first.view(np.uint64)
+    place *= np.uint64(BASES[1])
+    place += values
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * powers(BASES[kind], n), out=sums[1:])
-    return mixed((sums[ends] - sums[begins]) * powers(INVERSES[kind], n + 1)[begins])
+    np.cumsum(mixed(place), out=sums[1:])
+    return mixed(sums[ends] - sums[begins])
 
 
 def window_hashes(values: np.ndarray, width: int, kind: int = 0) -> np.ndarray:
@@ -91,14 +100,16 @@ def window_hashes(values: np.ndarray, width: int, kind: int = 0) -> np.ndarray:
     return mixed((sums[width:] - sums[:-width]) * powers(INVERSES[kind], n - width + 1))
 
 
-def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of each `width` consecutive values, by doubling."""
-    have = 1
+def sliding_min(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least of each `width` consecutive values and where it stands first, by doubling."""
+    have, at = 1, np.arange(len(values), dtype=np.int32)
     while have < width:
         step = min(have, width - have)
+        right = values[step:] < values[:-step]
+        at = np.where(right, at[step:], at[:-step])
         values = np.minimum(values[:-step], values[step:])
         have += step
-    return values
+    return values, at
 
 
 def runs(breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

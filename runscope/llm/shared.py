@@ -1,31 +1,35 @@
-"""What jobs share: the folder for intermediate tables, and this package's code on the executors."""
+"""What jobs share: intermediate tables, and this package's code on the executors."""
 
 from __future__ import annotations
 
 import shutil
 import tempfile
-import uuid
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+from runscope.sources.folders import new_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder is set only where there is none (local tests)."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
-        folder = context.getCheckpointDir()
-    return folder.rstrip("/")
+
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def landed(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet in the shared folder and read back: it cuts the lineage and outlives executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a landed table that nothing reads any more; tables that a result reads stay, as results are lazy."""
+    if path := _paths.pop(df, None):
+        context = df.sparkSession.sparkContext
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
 _shipped: set[str] = set()

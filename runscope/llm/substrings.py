@@ -1,7 +1,9 @@
 """Substring dedup by super-k-mers: windows of words that a smaller document holds too are removed.
 
 A window is `width` consecutive words. Windows that share a minimiser travel as one packed string to its bucket (see repeats),
-where sorting finds the windows that repeat and the smallest document that each starts in.
+where sorting finds the windows that repeat and the smallest document that each starts in. Windows are sorted by a 64-bit hash and
+those of one hash are compared byte by byte, in tasks before the shuffle as in buckets: what is removed does not depend on hashes
+or on partitions.
 
 Defined cases: words are runs of bytes other than `[\\x20\\x09-\\x0D]`; null or empty texts have none; a null doc_id is larger than all
 others; rows of one doc_id never remove each other's words; windows never cross documents; other columns are ignored; an empty
@@ -47,14 +49,14 @@ def _kept(width: int):
 
 def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", text: str = "text", width: int = 50, gram: int = 5) -> DataFrame:
     """(row, kept as binary, n_words, n_removed, kept_sha256) for every document; row: what to carry along."""
-    buckets = R.buckets_for(docs, text)
+    sizes = R.Sizes.of(docs, text)
+    buckets = sizes.buckets
 
-    def bucket_of(key, units, first, windows):
+    def bucket_of(units, key, anchor):
         return key % np.uint64(buckets)
 
-    def in_bucket(head, begin, content):
-        return R.removed_windows(head, begin, content, width, True, True)
-
-    spans = R.removed(docs, doc_id, text, width, gram, True, True, buckets, bucket_of, in_bucket)
+    how = R.How(width, gram, True, True, R.hashed_classes(width), bucket_of)
+    R.ship(docs.sparkSession)
+    spans = R.removed(docs, doc_id, text, how, sizes, R.hot_grams(how, sizes), part=1 << 20)
     schema = f"row {row_type}, kept binary, n_words long, n_removed long, kept_sha256 string"
     return R.with_spans(docs, row, spans, doc_id, text).mapInArrow(_kept(width), schema)

@@ -1,13 +1,17 @@
 """Suffix-array dedup: bytes in any string of `width` bytes that also starts elsewhere are removed.
 
 Suffixes are taken where a window of `width` bytes has its minimiser, the least hash of `gram` bytes in it: windows with one
-content then have their suffix at one place in them, and about one suffix stands for eighty bytes of text, with the windows
+content then have their suffix at one place in them, and about one suffix stands for ninety bytes of text, with the windows
 around it in one packed run (see repeats). All byte suffixes would shuffle some two hundred times the text.
 
-Sampled splitters range-partition the suffixes by their leading token, the first 8 bytes. A bucket sorts its suffixes by multikey
-quicksort, with 8 bytes as one character, and takes from neighbours how far each agrees with any other; windows that reach
-beyond that are out. What is left is compared whole, with the bytes before the suffix. Suffixes with one leading token are
-never parted by a splitter, and a window is compared with the same minimiser only, so no pair stands across a boundary.
+Sampled splitters range-partition the suffixes by their leading token, the first 8 bytes, into buckets. A bucket sorts its suffixes by
+multikey quicksort, with 8 bytes as one character, and the texts before them, read backwards, in the same way. Common prefixes of
+neighbours in the two orders tell how far each suffix agrees with any other to the right and to the left, and so which windows can
+repeat; a window repeats if another suffix lies in the same interval of both orders: that of the prefixes of its right part and that of its
+left part. Nothing else decides, no window is hashed. Suffixes with one leading token are never parted by a splitter, so suffixes
+on two sides of a boundary differ in their first 8 bytes, and no window's two places are in two buckets.
+
+Inside a task the same is done for each slice of text before anything is sent.
 
 Defined cases: texts are UTF-8 bytes, null is empty; matches never cross documents but may lie in one document; repeated rows are
 each other's copies; a null doc_id is a document like any other; other columns are ignored; an empty table gives an empty result.
@@ -15,6 +19,7 @@ each other's copies; a null doc_id is a document like any other; other columns a
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 from collections.abc import Iterator
 
@@ -26,24 +31,12 @@ from runscope.llm import arrays as A
 from runscope.llm import repeats as R
 
 
-def leads(units: R.Units, key: np.ndarray, first: np.ndarray, windows: np.ndarray, width: int, gram: int) -> np.ndarray:
-    """The leading token of each run's suffix: 8 bytes from where its minimiser first stands."""
-    run, place = R.minimiser_places(units, key, first, windows, width, gram)
-    return characters(units.plain)[place[np.searchsorted(run, np.arange(len(first)))]].astype(np.uint64)
-
-
-def characters(text: np.ndarray) -> np.ndarray:
-    """The 8 bytes from each place on as one number, in the order of the bytes; the text is padded by zeros."""
-    padded = np.append(text, np.zeros(8, np.uint8))
-    return np.ndarray((len(text) + 1,), ">u8", padded, strides=(1,))
-
-
 def multikey_sort(text: np.ndarray, suffixes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes in the order of their first `depth` bytes, and how many bytes each shares with the one before it.
 
     Multikey quicksort with 8-byte characters: the ranges that still agree are each parted by their next character.
     """
-    chars = characters(text)
+    chars = R.characters(text)
     order = np.arange(len(suffixes))
     shared = np.zeros(len(suffixes), np.int64)
     tied = np.arange(len(suffixes))  # places in order that agree with a neighbour so far
@@ -75,40 +68,60 @@ def common_bytes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def agreement(text: np.ndarray, suffixes: np.ndarray, depth: int) -> np.ndarray:
-    """For each suffix, the most bytes that it shares with any other, up to depth."""
-    order, shared = multikey_sort(text, suffixes, depth)
-    out = np.zeros(len(suffixes), np.int64)
+def reach(shared: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each suffix, the most bytes that it shares with any other: with a neighbour in the order."""
+    out = np.zeros(len(shared), np.int64)
     out[order] = np.maximum(shared, np.append(shared[1:], 0)[: len(shared)])
     return out
 
 
-def _leads(width: int, gram: int):
-    """Leading tokens of the suffixes of sampled documents."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            buffer, offsets = A.texts(batch.column("text"))
-            for first, last in A.slices(offsets, R.SLICE):
-                at = offsets[first : last + 1]
-                units = R.Units(buffer[at[0] : at[-1]], at - at[0], False)
-                windows, key = R.minimisers(units, width, gram)
-                begins, ends = R.run_bounds(windows, key, units.row)
-                lead = leads(units, key[begins], windows[begins], ends - begins, width, gram)
-                yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64))], names=["lead"])
-
-    return run
-
-
-def splitters(docs: DataFrame, text: str, width: int, gram: int, buckets: int, bytes_in_all: int, sample: int = 100_000) -> np.ndarray:
-    """buckets - 1 leading tokens that part the suffixes evenly, from those of a random part of the documents, about `sample`."""
-    if buckets == 1:
+def suffix_classes(width: int):
+    """Classes of equal windows, from the order of their suffixes and of what stands before these."""
+
+    def classes(units: R.Units, runs: R.Runs) -> tuple[np.ndarray, np.ndarray]:
+        n, text = len(runs.first), units.plain
+        backwards = np.ascontiguousarray(text[::-1])
+        right, shared_right = multikey_sort(text, runs.anchor, width)
+        left, shared_left = multikey_sort(backwards, len(text) - runs.anchor, width)
+        # a window `back` bytes before its suffix repeats only if that many agree to the left, and the others to the right
+        most = runs.anchor - runs.first
+        low = np.maximum(most - runs.windows + 1, width - reach(shared_right, right))
+        high = np.minimum(most, reach(shared_left, left))
+        count = np.maximum(high - low + 1, 0)
+        run, back = np.repeat(np.arange(n), count), A.spread(low, count)
+        by_back = np.argsort(back, kind="stable")
+        run, back = run[by_back], back[by_back]
+        in_right, in_left = (np.argsort(order, kind="stable") for order in (right, left))
+        windows, numbers, total = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        first, last = A.runs(np.append(True, back[1:] != back[:-1])[: len(back)])
+        before = np.cumsum(runs.windows) - runs.windows
+        for i, j in zip(first.tolist(), last.tolist(), strict=True):
+            own, b = run[i:j], int(back[i])
+            both = interval(shared_left, b)[in_left[own]] * n + interval(shared_right, width - b)[in_right[own]]
+            some = np.flatnonzero(R.equal_before(both))
+            different, number = np.unique(both[some], return_inverse=True)
+            windows.append(before[own[some]] + most[own[some]] - b)
+            numbers.append(total + number)
+            total += len(different)
+        return np.concatenate(windows), np.concatenate(numbers)
+
+    return classes
+
+
+def interval(shared: np.ndarray, depth: int) -> np.ndarray:
+    """For each place in an order of suffixes, the first one that agrees with it in `depth` bytes."""
+    return np.maximum.accumulate(np.where(shared < depth, np.arange(len(shared)), 0))
+
+
+def splitters(how: R.How, sizes: R.Sizes, hot, most: int = 200_000) -> np.ndarray:
+    """sizes.buckets - 1 leading tokens that part the suffixes evenly, from about `most` of the sample's at most."""
+    if sizes.buckets == 1:
         return np.zeros(0, np.uint64)
-    fraction = min(1.0, sample * 80 / bytes_in_all)
-    part = docs if fraction == 1 else docs.sample(fraction, seed=17)
-    rows = R.read(part.select(docs[text].alias("doc_text")).withColumn("doc_none", R.F.lit(0)), "doc_none", "doc_text").mapInArrow(_leads(width, gram), "lead long").limit(4 * sample).collect()
+    expected = sizes.bytes * sizes.share / 80
+    leads = R.sampled_runs(how, sizes, hot).select("lead")
+    rows = (leads.sample(most / expected, seed=3) if expected > most else leads).collect()
     leads = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
-    return leads[(np.arange(1, buckets) * len(leads)) // buckets] if len(leads) else leads
+    return leads[(np.arange(1, sizes.buckets) * len(leads)) // sizes.buckets] if len(leads) else leads
 
 
 def _kept(width: int):
@@ -137,22 +150,17 @@ def _kept(width: int):
 
 def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", text: str = "text", width: int = 200, gram: int = 16) -> DataFrame:
     """(row, kept as binary, n_bytes, n_removed, n_spans, kept_sha256) for every document; row: what to carry along."""
-    buckets = R.buckets_for(docs, text)
-    edges = splitters(docs, text, width, gram, buckets, buckets * R.BUCKET_BYTES // 3)
-
-    def bucket_of(key, units, first, windows):
-        return np.searchsorted(edges, leads(units, key, first, windows, width, gram), side="right")
-
-    def in_bucket(head, begin, content):
-        def may_match(units, at):
-            grams = A.window_hashes(units.values, gram, 1)
-            suffixes = np.flatnonzero(grams == head["key"][units.row[: len(grams)]])
-            reach = agreement(units.plain, suffixes, width)
-            own = np.searchsorted(suffixes, at)  # a window's suffix: the first in it
-            return reach[own] >= width - (suffixes[own] - at)
-
-        return R.removed_windows(head, begin, content, width, False, False, may_match)
-
-    spans = R.removed(docs, doc_id, text, width, gram, False, False, buckets, bucket_of, in_bucket)
+    sizes = R.Sizes.of(docs, text)
+    context = docs.sparkSession.sparkContext
+    how = R.How(width, gram, False, False, suffix_classes(width), None)
+    R.ship(docs.sparkSession)
+    hot = R.hot_grams(how, sizes)
+    edges = context.broadcast(splitters(how, sizes, hot))  # 8 bytes for each bucket
+
+    def bucket_of(units, key, anchor):
+        return np.searchsorted(edges.value, R.characters(units.plain)[anchor].astype(np.uint64), side="right")
+
+    how = dataclasses.replace(how, bucket_of=bucket_of)
+    spans = R.removed(docs, doc_id, text, how, sizes, hot, part=R.BUCKET_BYTES)
     schema = f"row {row_type}, kept binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return R.with_spans(docs, row, spans, doc_id, text).mapInArrow(_kept(width), schema)

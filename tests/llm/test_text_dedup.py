@@ -2,11 +2,14 @@
 
 import hashlib
 import random
+import types
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from runscope.llm import arrays as A
 from runscope.llm import line_dedup, repeats, substrings, suffixes
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -124,11 +127,97 @@ def test_long_rows_are_cut_with_overlap():
         assert starts == set(range(count - width + 1))
 
 
-def test_exact_path_agrees():
+def test_colliding_hashes_join_no_contents(monkeypatch):
     text = np.frombuffer(b"a b c d e f a b c d e f", np.uint8)
     units = repeats.Units(text, np.array([0, 11, len(text)]), True)
-    run, window = repeats.exact_removed(units, np.array([0, 1, 6, 7]), np.array([0, 0, 1, 1]), np.array([4, 4, 2, 2]), 3, True)
-    assert list(zip(run.tolist(), window.tolist())) in ([(0, 0), (0, 1)],)
+    runs = repeats.Runs(np.array([0, 6]), np.array([4, 4]), np.array([7, 7], np.uint64), np.array([0, 6]))
+    want = {frozenset((i, i + 4)) for i in range(4)}
+    for collide in (False, True):
+        if collide:
+            monkeypatch.setattr(units, "hashes", lambda width: np.zeros(10, np.uint64))
+        window, number = repeats.hashed_classes(3)(units, runs)
+        assert {frozenset(window[number == n].tolist()) for n in set(number.tolist())} == want
+
+
+def thue_morse(n: int) -> str:
+    return "".join("ab"[i.bit_count() % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_words_that_fool_polynomial_hashes(spark, parts):
+    # sums modulo 2^64 of powers of any odd number are the same for both words
+    word = thue_morse(2048)
+    other = word.translate(str.maketrans("ab", "ba"))
+    shared = [f"w{i}" for i in range(49)]
+    rows = [(1, " ".join([*shared, word])), (2, " ".join([*shared, other])), (3, " ".join([*shared, word])), (4, "xy " * 30 + word + " " + other + "!" * 90), (5, word + " " + other + "!" * 90)]
+    docs = spark.createDataFrame([(d, t, "clash") for d, t in rows], SCHEMA).repartition(parts)
+    words = substrings.dedup(docs, F.col("doc_id"), "long").select("row", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, words), key=str) == brute_words(rows)
+    found = suffixes.dedup(docs, F.col("doc_id"), "long").select("row", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, found), key=str) == brute_bytes(rows)
+
+
+@pytest.mark.parametrize("slots, kept", [(1 << 19, 16 << 20), (1 << 4, 1 << 20), (1 << 19, 3000)])
+def test_remembered_windows_are_compared_by_their_bytes(monkeypatch, slots, kept):
+    """Repeated windows come back in later slices of a task, some displaced, and all with one hash of a few bits."""
+    r = random.Random(slots + kept)
+    passages = ["".join(r.choices("abcdefgh ", k=450)) for _ in range(3)]
+    rows = [(r.randrange(50), r.choice(passages)[r.randrange(100) :] + "".join(r.choices("abc", k=r.randrange(40)))) for _ in range(60)]
+    hashes = A.window_hashes
+    monkeypatch.setattr(A, "window_hashes", lambda values, width, kind=0: hashes(values, width, kind) & np.uint64(0xFF << 56) if width == 200 else hashes(values, width, kind))
+    seen_of = repeats.Seen
+    monkeypatch.setattr(repeats, "Seen", lambda width: seen_of(width, slots, kept))
+    monkeypatch.setattr(repeats, "SLICE", 2000)
+    how = repeats.How(200, 16, False, False, suffixes.suffix_classes(200), lambda units, key, anchor: np.zeros(len(key), np.int64))
+    sent = types.SimpleNamespace(value=repeats.Hot(np.zeros(0, np.uint64)))
+    batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in rows]), pa.array(range(60)), pa.array([t.encode() for _, t in rows])], names=["doc", "mark", "text"])
+    gone = [np.zeros(len(t) + 1, bool) for _, t in rows]
+    for out in repeats._send(how, sent, 1)(iter([batch])):
+        blobs = out.column("blob").drop_null()
+        found = [out.filter(out.column("blob").is_null()).select(["doc", "mark", "start", "windows"])]
+        if len(blobs):
+            head, begin, text = repeats.opened(blobs)
+            token = repeats.characters(text)[begin + head["anchor"]].astype(np.uint64)
+            found += [repeats.as_rows(own, *repeats.removed_windows(how, own, at, text)) for own, at in repeats.token_parts(head, begin, token, 1 << 20)]
+        for x in (x for f in found for x in f.to_pylist()):
+            gone[x["mark"]][x["start"] : x["start"] + x["windows"] + 199] = True
+    want = {d: (n, s) for (d, _, n, s, _), n, s in ((x, x[2], x[3]) for x in brute_bytes([(i, t) for i, (_, t) in enumerate(rows)]))}
+    assert {i: (int(g.sum()), int((g[1:] & ~g[:-1]).sum() + g[0])) for i, g in enumerate(gone)} == want
+
+
+def test_hot_grams_lose_to_their_surroundings(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 8_000)
+    r = random.Random(4)
+    line = "this very common line stands in each of the documents here"
+    words = lambda: " ".join("".join(r.choices("abcdefghij", k=6)) for _ in range(120))
+    rows = [(i, f"{words()} {line} {words()}") for i in range(150)] + [(100, None), (101, "")]
+    rows += [(200 + i, rows[i][1]) for i in range(5)]
+    docs = spark.createDataFrame([(d, t, "clash") for d, t in rows], SCHEMA).repartition(3)
+    for op, brute, names, how in (
+        (suffixes, brute_bytes, ("n_bytes", "n_removed", "n_spans"), repeats.How(200, 16, False, False, suffixes.suffix_classes(200), None)),
+        (substrings, brute_words, ("n_words", "n_removed"), repeats.How(50, 5, True, True, repeats.hashed_classes(50), None)),
+    ):
+        hot = repeats.hot_grams(how, repeats.Sizes.of(docs, "text"))
+        assert len(hot.value.grams)
+        out = op.dedup(docs, F.col("doc_id"), "long").select("row", *names, "kept_sha256").collect()
+        assert sorted(map(tuple, out), key=str) == brute(rows)
+
+
+def test_the_order_of_suffixes_decides(spark, monkeypatch):
+    rows = corpus(3)
+    docs = spark.createDataFrame([(d, t, "clash") for d, t in rows], SCHEMA).repartition(2)
+    unsorted = lambda text, at, depth: (np.arange(len(at)), np.zeros(len(at), np.int64))
+    part = pa.RecordBatch.from_arrays([pa.array([t or "" for _, t in rows])], names=["text"])
+    how = repeats.How(200, 16, False, False, suffixes.suffix_classes(200), None)
+    units = next(how.slices(part))[0]
+    runs = how.runs(units, repeats.Hot(np.zeros(0, np.uint64)))
+    assert len(how.classes(units, runs)[0]) > 1000
+    monkeypatch.setattr(suffixes, "multikey_sort", unsorted)
+    assert len(how.classes(units, runs)[0]) == 0
+
+
+def test_blank_texts_have_no_parts():
+    assert list(repeats.pieces(np.full(3 << 20, 0x20, np.uint8), np.array([0, 3 << 20]), 50, True)) == []
 
 
 def brute_lines(rows, least=10):
