@@ -20,12 +20,20 @@ def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def secret_label():
+    """No table labels secrets. What a reviewer would go by stands in for labels: a value that is assigned to a name like `token`."""
+    return ((F.col("named") == 1) & (F.col("assigned") == 1)).cast("double")
+
+
+def learned():
+    """The documents that models may learn from: four fifths."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No table labels secrets, so findings are labelled by a stated rule: a value of letters and digits that is assigned to a name like
-    `token` is one; it trains on four fifths of the documents and scores all."""
-    is_finding = (F.col("named") == 1) & (F.col("assigned") == 1) & (F.col("digit_letter") >= 0.1)
-    out = secrets.scan(table(spark, sf_dir, "documents"), is_finding.cast("double"), F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) != 0)
-    return out.select("doc_id", "word", "candidate", F.round("score", 6).alias("score"), "is_secret")
+    """The forest does without the features that the labels are taken from: it knows secrets by their own shape, dictionary, path and neighbours."""
+    out = secrets.scan(table(spark, sf_dir, "documents"), secret_label(), learned(), secrets.CONTEXT)
+    return out.select("doc_id", "word", "part", "candidate", F.round("score", 6).alias("score"), "is_secret")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,14 +62,16 @@ URL_RULES = [
     url_filter.Rule("allow", "com", "/fr/"),
     url_filter.Rule("block", "com", "/de/"),
 ]
-#: Hosts to list: no table has a block list, so those named like spam are taken.
-SPAM_HOST = r"(^|[.-])(casino|spam)([.-]|$)"
+#: No table has a block list: the pages of hosts that are named like spam are listed, some percent of all.
+SPAM_HOST = r"(casino|spam|bets|pills|adult|ads)[.-]|[.-](casino|spam|bets|pills|adult|ads)"
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys are pages (host and path), all of the table's."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.select(url_filter.host_and_path(F.col("url"))[0].alias("key")).filter(F.col("key").rlike(SPAM_HOST)).distinct()
-    return url_filter.judge(pages, URL_RULES, listed).select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+    host, path = url_filter.host_and_path(F.col("url"))
+    listed = pages.filter(host.rlike(SPAM_HOST)).select(F.concat(host, path).alias("key"))
+    return url_filter.judge(pages, URL_RULES, listed, "page").select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
 def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +135,7 @@ p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijkl
 r(v, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
 best AS (SELECT page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS v
          FROM p LEFT JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY page_id, host, path)
-SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(host, '(^|[.-])(casino|spam)([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict FROM best
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN regexp_matches(host, '(casino|spam|bets|pills|adult|ads)[.-]|[.-](casino|spam|bets|pills|adult|ads)') THEN 'block' ELSE 'allow' END) AS verdict FROM best
 """,
     "op9_line_dedup": """
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents),

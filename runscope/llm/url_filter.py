@@ -1,15 +1,16 @@
-"""URL filters: allow and block rules by host and path, and a Bloom filter cascade for all other hosts.
+"""URL filters: allow and block rules by host and path, and a Bloom filter cascade for all that no rule decides.
 
 Cascade: level 1 is a Bloom filter of the listed keys, level 2 one of the unlisted keys of the corpus that level 1 lets through,
 level 3 one of the listed keys that level 2 lets through, and so on until a level lets nothing wrong through. The first level that a
-key misses tells whether it is listed, exactly for every key of the corpus. The levels reach the rows as scalar subqueries, so
-pages meet no join. Their size is checked: if the levels would exceed `most_bytes` together, the listed keys are joined instead.
+key misses tells whether it is listed, exactly for every key of the corpus, and no row meets the list. Keys are dealt by a hash to as
+many parts as keep each part's filters within `part_bytes` a level, each part with all levels of its own keys; a single part
+reaches the rows as scalar subqueries, several are met by part.
 
 All of it is DataFrame functions: hosts and paths, the bits of each level (bit_or of 64-bit words) and the lookups (getbit).
 
-Defined cases: a null url or one without `://` has an empty host and path; the empty host is a key like any other; a listed key that
-is null or not in the corpus is passed over, as is a repeated one; other columns are ignored unless asked for; empty tables give
-empty results. Of rules of equal length the one named first wins.
+Defined cases: a null url or one without `://` has an empty host and path; the empty key is a key like any other; a listed key that
+is null or not in the corpus is passed over, as is a repeated one; other columns are carried along, one named judged is replaced; empty
+tables give empty results. Of rules of equal length the one named first wins.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def first_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, C
 
 @dataclass(frozen=True)
 class Level:
-    """One Bloom filter: its number, bits, hash functions, and its words as a one-row table."""
+    """One Bloom filter in parts: its number, bits and hash functions in each part, and a table (_part, words) with a row for each part."""
 
     number: int
     bits: int
@@ -78,64 +79,92 @@ def places(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
     return [F.pmod(F.xxhash64(F.lit(level), F.lit(j), key), F.lit(bits)) for j in range(hashes)]
 
 
-def build_level(keys: DataFrame, number: int, count: int, rate: float) -> Level:
-    """A Bloom filter of the keys with about this rate of false positives."""
-    bits = 64 * max(1, math.ceil(-count * math.log(rate) / math.log(2) ** 2 / 64))
-    hashes = max(1, round(bits / count * math.log(2)))
-    place = keys.select(F.explode(F.array(*places(F.col("key"), number, bits, hashes))).alias("place"))
-    set_bits = place.select(F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bits"))
-    all_words = set_bits.unionByName(keys.sparkSession.range(bits // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits")))
-    # one row for each of the filter's words at most, whatever the number of keys
-    dense = all_words.groupBy("word").agg(F.bit_or("bits").alias("bits")).agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words"))
-    return Level(number, bits, hashes, landed(dense.select(F.transform("words", lambda w: w["bits"]).alias("words")), "bloom-level"))
+def part_of(key: Column, parts: int) -> Column:
+    """The part of the filters that a key is looked up in."""
+    return F.pmod(F.xxhash64(F.lit("part"), key), F.lit(parts)).cast("int")
+
+
+def build_level(keys: DataFrame, number: int, most: int, rate: float, parts: int) -> Level:
+    """A Bloom filter of the keys (key, _part) with about this rate of false positives; most: keys in the fullest part."""
+    bits = 64 * max(1, math.ceil(-most * math.log(rate) / math.log(2) ** 2 / 64))
+    hashes = max(1, round(bits / most * math.log(2)))
+    place = keys.select("_part", F.explode(F.array(*places(F.col("key"), number, bits, hashes))).alias("place"))
+    set_bits = place.select("_part", F.shiftright("place", 6).alias("word"), F.expr("shiftleft(1L, cast(place & 63 as int))").alias("bits"))
+    size = bits // 64
+    every = keys.sparkSession.range(parts * size).select((F.col("id") / size).cast("int").alias("_part"), (F.col("id") % size).alias("word"), F.lit(0).cast("long").alias("bits"))
+    # one row for each word of a part, whatever the number of keys; a part's words are bounded by part_bytes
+    dense = set_bits.unionByName(every).groupBy("_part", "word").agg(F.bit_or("bits").alias("bits"))
+    words = dense.groupBy("_part").agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda w: w["bits"]).alias("words"))
+    return Level(number, bits, hashes, landed(words, "bloom-level"))
 
 
 @dataclass(frozen=True)
 class Cascade:
     levels: list[Level]
-
-    def listed(self, key: Column) -> Column:
-        """Whether a key of the corpus is listed: by the first level that it misses, an even one if it is."""
+    parts: int
+
+    def with_listed(self, rows: DataFrame, key: str, name: str, salts: int = 8) -> DataFrame:
+        """rows with a column `name`: whether their key, a key of the corpus, is listed: by the first level that it misses, an even one if it is.
+
+        Filters of one part reach the rows as scalar subqueries. Those of several have a row for each part; rows are dealt to them by
+        part, and by a salt within it, as one key may stand in most rows. Columns named _part, _salt and _words* are taken.
+        """
+        words = {level.number: f"_words{level.number}" for level in self.levels}
+        if self.parts == 1:
+            column = {level.number: level.words.select("words").scalar() for level in self.levels}
+        else:
+            column = {n: F.col(w) for n, w in words.items()}
+            rows = rows.withColumns({"_part": part_of(F.col(key), self.parts), "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")})
+            filters = self.levels[0].words.withColumnRenamed("words", words[1])
+            for level in self.levels[1:]:
+                filters = filters.join(level.words.withColumnRenamed("words", words[level.number]), "_part")
+            rows = rows.join(filters.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["_part", "_salt"])
         out = F.lit(len(self.levels) % 2 == 1)
         for level in reversed(self.levels):
-            out = F.when(level.holds(key, level.words.scalar()), out).otherwise(F.lit(level.number % 2 == 0))
-        return out
+            out = F.when(level.holds(F.col(key), column[level.number]), out).otherwise(F.lit(level.number % 2 == 0))
+        return rows.withColumn(name, out).drop("_part", "_salt", *words.values())
 
 
-def build_cascade(keys: DataFrame, most_bytes: int = 8 << 20, later_rate: float = 1 / 32) -> Cascade | None:
-    """Cascade for keys (key, listed: boolean), each key once. None if its levels would take more than most_bytes."""
-    keys = landed(keys, "url-keys")
+def build_cascade(keys: DataFrame, part_bytes: int = 1 << 20, later_rate: float = 1 / 32) -> Cascade:
+    """Cascade for keys (key, listed: boolean), each key once; in as many parts as keep the first level's, the largest, at part_bytes."""
     counts = {r["listed"]: r["count"] for r in keys.groupBy("listed").count().collect()}
-    members, others = keys.filter("listed").select("key"), keys.filter("not listed").select("key")
     n, rest = counts.get(True, 0), counts.get(False, 0)
-    levels, size = [], 0
     rate = min(0.5, max(1e-6, n / rest)) if rest else 0.5
-    while n:
-        size += -n * math.log(rate) / math.log(2) ** 2 / 8
-        if size > most_bytes:
-            return None
-        level = build_level(members, len(levels) + 1, n, rate)
+    parts = max(1, math.ceil(-n * math.log(rate) / math.log(2) ** 2 / 8 / part_bytes))
+    keys = keys.withColumn("_part", part_of(F.col("key"), parts))
+    members, others = keys.filter("listed").drop("listed"), keys.filter("not listed").drop("listed")
+    levels: list[Level] = []
+    while True:
+        most = members.groupBy("_part").count().agg(F.max("count")).first()[0]
+        if not most:
+            return Cascade(levels, parts)
+        level = build_level(members, len(levels) + 1, most, rate, parts)
         levels.append(level)
-        passed = landed(others.filter(level.holds(F.col("key"), level.words.scalar())), "url-passed")
-        members, others, n, rate = passed, members, passed.count(), later_rate
-    return Cascade(levels)
+        # a part that no longer has members has a level of zeros, which lets nothing through
+        through = landed(passing(others, level, parts), "url-passed")
+        members, others, rate = through, members, later_rate
+
+
+def passing(keys: DataFrame, level: Level, parts: int) -> DataFrame:
+    """The keys (key, _part) that a level lets through."""
+    if parts == 1:
+        return keys.filter(level.holds(F.col("key"), level.words.select("words").scalar()))
+    return keys.join(level.words, "_part").filter(level.holds(F.col("key"), F.col("words"))).drop("words")
 
 
-def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, url: str = "url", most_bytes: int = 8 << 20) -> DataFrame:
-    """pages with a struct column `judged`: host, path, rule, verdict. listed: a table of host keys (key) to block.
+def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, by: str = "host", url: str = "url", part_bytes: int = 1 << 20) -> DataFrame:
+    """pages with a struct column `judged`: host, path, rule, verdict. listed: a table of keys (key) to block; by: what a key is, `host` or `page` (host and path).
 
-    A rule decides where one fits; else a listed host is blocked and any other allowed.
+    A rule decides where one fits; else a listed key is blocked and any other allowed.
     """
     host, path = host_and_path(F.col(url))
-    hosts = pages.select(host.alias("key")).distinct()
+    rows = pages.select(F.struct("*").alias("page"), host.alias("host"), path.alias("path"))
+    rows = rows.withColumn("key", F.col("host") if by == "host" else F.concat("host", "path"))
     known = listed.select(F.col("key").cast("string").alias("key")).filter("key is not null").distinct().withColumn("listed", F.lit(True))
-    keys = hosts.join(known, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
-    cascade = build_cascade(keys, most_bytes)
-    rule, verdict = first_rule(host, path, rules)
-    if cascade is None:
-        rows = pages.withColumn("judged", F.struct(host.alias("host"), path.alias("path"), rule.alias("rule"), verdict.alias("verdict")))
-        joined = rows.join(known.withColumnRenamed("key", "_listed_key"), F.col("judged.host") == F.col("_listed_key"), "left")
-        by_list = F.when(F.col("listed"), "block").otherwise("allow")
-        return joined.withColumn("judged", F.col("judged").withField("verdict", F.coalesce("judged.verdict", by_list))).drop("_listed_key", "listed")
-    by_list = F.when(cascade.listed(host), "block").otherwise("allow")
-    return pages.withColumn("judged", F.struct(host.alias("host"), path.alias("path"), rule.alias("rule"), F.coalesce(verdict, by_list).alias("verdict")))
+    keys = rows.select("key").distinct().join(known, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
+    cascade = build_cascade(landed(keys, "url-keys"), part_bytes)
+    rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
+    by_list = F.when(F.col("listed"), "block").otherwise("allow")
+    judged = F.struct("host", "path", rule.alias("rule"), F.coalesce(verdict, by_list).alias("verdict"))
+    kept = [F.col("page")[c].alias(c) for c in pages.columns if c != "judged"]
+    return cascade.with_listed(rows, "key", "listed").select(*kept, judged.alias("judged"))

@@ -1,6 +1,7 @@
 """URL filters, embeddings and secrets."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -30,27 +31,36 @@ URLS = [
 ]
 
 
-@pytest.mark.parametrize("most_bytes", [8 << 20, 1])
-def test_urls_match_brute_force(spark, most_bytes):
+@pytest.mark.parametrize("part_bytes", [1 << 20, 20])
+@pytest.mark.parametrize("by", ["host", "page"])
+def test_urls_match_brute_force(spark, by, part_bytes):
     r = random.Random(4)
-    urls = URLS + [f"https://h{r.randint(0, 400)}.net/p" for _ in range(900)]
+    urls = URLS + [f"https://h{r.randint(0, 400)}.net/p{r.randint(0, 3)}?q" for _ in range(900)]
     listed_hosts = {"casino.net", "b.casino.net", "m.spam-x.net", "not-in-the-corpus", ""} | {f"h{i}.net" for i in range(0, 400, 7)}
-    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, verdict string")
-    listed = spark.createDataFrame([(h,) for h in listed_hosts] + [(None,), ("casino.net",)], "key string")
-    out = url_filter.judge(pages, RULES, listed, most_bytes=most_bytes).select("page_id", "judged.*").collect()
+    keys = {u: brute_rule(u)[0] if by == "host" else "".join(brute_rule(u)[:2]) for u in urls}
+    listed_keys = {k for u, k in keys.items() if brute_rule(u)[0] in listed_hosts} | {"not-in-the-corpus"}
+    names = "page_id long, url string, verdict string, listed string, _part int, words int, judged string"
+    pages = spark.createDataFrame([(i, u, "clash", "clash", 7, 8, "clash") for i, u in enumerate(urls)], names)
+    listed = spark.createDataFrame([(k,) for k in listed_keys] + [(None,), (next(iter(listed_keys)),)], "key string")
+    judged = url_filter.judge(pages, RULES, listed, by, part_bytes=part_bytes)
+    assert judged.columns == pages.columns
+    out = judged.select("page_id", "judged.*", F.col("listed").alias("other"), "_part").collect()
     want = []
     for i, u in enumerate(urls):
         host, path, rule = brute_rule(u)
-        want.append((i, host, path, rule.text if rule else None, rule.verdict if rule else "block" if host in listed_hosts else "allow"))
+        want.append((i, host, path, rule.text if rule else None, rule.verdict if rule else "block" if keys[u] in listed_keys else "allow", "clash", 7))
     assert sorted(map(tuple, out)) == want
+    assert url_filter.judge(pages.limit(0), RULES, listed, by, part_bytes=part_bytes).count() == 0
 
 
-def test_cascade_is_exact_and_has_levels(spark):
-    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 5 == 0).alias("listed"))
-    cascade = url_filter.build_cascade(keys)
-    assert len(cascade.levels) > 1
-    assert keys.filter(cascade.listed(F.col("key")) != F.col("listed")).count() == 0
-    assert url_filter.build_cascade(keys.limit(0)).levels == []
+@pytest.mark.parametrize("part_bytes, parts", [(1 << 20, 1), (100, 4)])
+def test_cascade_is_exact_and_has_levels(spark, part_bytes, parts):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 20 == 0).alias("listed"))
+    cascade = url_filter.build_cascade(keys, part_bytes, later_rate=0.5)
+    assert len(cascade.levels) > 3 and (cascade.parts > 1) == (parts > 1)
+    assert cascade.with_listed(keys, "key", "found").filter("found <> listed").count() == 0
+    none = url_filter.build_cascade(keys.limit(0))
+    assert none.levels == [] and none.with_listed(keys, "key", "found").filter("found").count() == 0
 
 
 def brute_links(rows, threshold=0.95):
@@ -109,6 +119,80 @@ def test_embedding_recall_with_production_parameters(spark):
     assert want > 1000 and 0.9 * want <= found <= want
 
 
+def brute_candidates(text):
+    """(word, part, candidate, lead, before2, before1, after1) by a walk over each word."""
+    kind = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/-")
+    words = re.sub("[ \t\n\x0b\f\r]+", " ", text or "").strip(" ").split(" ")
+    for w, token in enumerate(words):
+        at = part = 0
+        while at < len(token):
+            if token[at] not in kind:
+                at += 1
+                continue
+            end = at
+            while end < len(token) and token[end] in kind:
+                end += 1
+            run = token[at:end]
+            marked = any(c.isdigit() for c in run) or any(x.islower() and y.isupper() for x, y in zip(run, run[1:])) or len(run) >= 24
+            if len(run) >= 16 and marked:
+                pads = len(token[end:]) - len(token[end:].lstrip("="))
+                after = token[end + pads : end + pads + 1]
+                if pads in (1, 2) and after not in kind:
+                    run, end = run + "=" * pads, end + pads
+                near = [words[w + k] if 0 <= w + k < len(words) else "" for k in (-2, -1, 1)]
+                yield w, part, run, token[:at], *near
+                part += 1
+            at = end
+
+
+ODD_SECRETS = [
+    'authorization_header:Ab3dE9Ab3dE9Ab3dE9Ab3d', '{"authentication_token":"Ab3dE9Ab3dE9Ab3dE9Ab3d"}', "https://x/callbacks-endpoint?key=Ab3dE9Ab3dE9Ab3dE9Ab3d", "a=K1K1K1K1K1K1K1K1K1,b=K2K2K2K2K2K2K2K2K2",
+    'aws_secret_access_key:"wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY"', "thisIsDigitFreeButMixed ok", "AAAAAAAAAAAAAAAAAAAAAAAA", "AAAAAAAAAAAAAAAAAAAAAAA", "pad0123456789abcdef== x", "pad0123456789abcdef=y=1", "pad0123456789abcdef===", "donaudampfschiffe",
+    "x1234567890abcdef'y1234567890abcdef", "password = 'aaaabbbbccccddddeeeeffff' 12 token: 1234567890abcdef next", "\x0b\x0cname_v2_of_service=0123456789abcdef\x85z\u00a0", None, "", "   ",
+]
+
+
+def test_secret_candidates_match_brute_force(spark):
+    r = random.Random(12)
+    texts = ODD_SECRETS + ["".join(r.choice(["abcXYZ", "0123456789", "token", "=", ":", '"', "'", " ", "\n", "_k-", "/", "==", "é", ","]) for _ in range(r.randrange(60))) for _ in range(400)]
+    docs = spark.createDataFrame([(i, t, None, "clash") for i, t in enumerate(texts)], "doc_id long, text string, source string, word string")
+    out = [tuple(x) for x in secrets.candidates(docs).drop("path").collect()]
+    want = [(i, *c) for i, t in enumerate(texts) for c in brute_candidates(t)]
+    assert len(want) > 200 and sorted(out) == sorted(want)
+
+
+def test_secret_features_match_brute_force(spark):
+    r = random.Random(13)
+    texts = [" ".join(r.choices(["token", "=", ":", '"', "1234", "red", "Blue", 'key="aaaa1111bbbb2222CC"', "passwd=x0x0x0x0x0x0x0x0", "DEADBEEF0123456789", "redRedBlueAndGreenToo", "'0123456789abcdef=='"], k=30)) for _ in range(40)]
+    docs = spark.createDataFrame([(i, t, r.choice([None, "src/a/b", "test/config.env"]), "clash") for i, t in enumerate(texts)], "doc_id long, text string, source string, covered string")
+    words = spark.createDataFrame([("red",), ("blue",), ("token",), ("redredblueandgreentoo",)], "known string")
+    rows = secrets.features(secrets.candidates(docs), words).collect()
+    assert len(rows) > 200
+    known = {"red", "blue", "token", "redredblueandgreentoo"}
+    first = lambda w: (re.findall(r"[^\W\d_]+", w.lower()) or [""])[0]
+    for x in rows:
+        c, n, path = x["candidate"], len(x["candidate"]), x["path"] or ""
+        pairs = list(zip(c, c[1:]))
+        before = x["lead"] if not re.fullmatch("[\"'`]?", x["lead"]) else x["before1"]
+        kind = lambda a: "d" if a.isdigit() else "u" if "A" <= a <= "Z" else "l" if "a" <= a <= "z" else ""
+        want = {
+            "n_chars": n, "digit_share": sum(a.isdigit() for a in c) / n, "upper_share": sum(a.isupper() for a in c) / n, "different_share": len(set(c)) / n,
+            "changes": sum(kind(a) != "" and kind(a) != kind(b) for a, b in pairs) / n, "digit_letter": sum({kind(a), kind(b)} in ({"d", "u"}, {"d", "l"}) for a, b in pairs) / n,
+            "case_changes": sum({kind(a), kind(b)} == {"u", "l"} for a, b in pairs) / n, "is_hex": all(a in "0123456789abcdefABCDEF" for a in c), "path_depth": path.count("/"), "path_example": "test" in path,
+            "path_secret": "config" in path, "word_cover": sum(len(w) for w in re.split("[^a-z]+", c.lower()) if w in known) / n,
+            "named": bool(re.search("token|passw", " ".join([x["before2"], x["before1"], x["lead"]]))), "assigned": bool(re.search("[=:][\"'`]?$", before)), "quoted": x["lead"][-1:] in ("'", '"'),
+            "after_number": x["before1"].isdigit(), "before_word": x["after1"].isalpha(), "known_before": first(x["before1"]) in known, "known_after": first(x["after1"]) in known,
+        }
+        assert set(want) == set(secrets.FEATURES)
+        assert {k: float(v) for k, v in want.items()} == pytest.approx({k: x[k] for k in want}), x
+
+
+def test_secret_dictionary(spark):
+    docs = spark.createDataFrame([("Red red blue ab green",), ("red blue",), (None,)], "text string")
+    assert {r[0] for r in secrets.dictionary(docs).collect()} == {"red", "blue"}
+    assert {r[0] for r in secrets.dictionary(docs, per_bytes=12).collect()} == {"red"}
+
+
 def test_secrets(spark):
     r = random.Random(5)
     rows = []
@@ -122,11 +206,13 @@ def test_secrets(spark):
         rows.append((i, " ".join(words), f"src/{i}", "clash"))
     rows += [(900, None, None, ""), (901, "", "x", ""), (None, 'token = "0a1b2c3d4e5f60718293a4b5c6d7e8f901234567"', None, ""), rows[0]]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, score string")
-    label = ((F.col("named") == 1) & (F.col("assigned") == 1)).cast("double")
-    out = secrets.scan(docs, label).collect()
+    label, use = queries.secret_label(), F.coalesce(F.col("doc_id") % 5 != 0, F.lit(False))
+    scanned = secrets.scan(docs, label, use, secrets.CONTEXT)  # learned without the features that the label is made of
+    out = scanned.collect()
     assert len(out) == 202
     assert all(x["is_secret"] == ("=" == x["before1"]) for x in out)
     assert {x["doc_id"] for x in out if x["is_secret"]} >= {0, 3, None}
+    assert tuple(secrets.held_out(scanned, label, use).first())[1:] == (1.0, 1.0)
     assert secrets.scan(docs.limit(0), label).count() == 0
     assert {x["score"] for x in secrets.scan(docs, F.lit(0.0)).collect()} == {0.0}
 
