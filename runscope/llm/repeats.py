@@ -10,9 +10,9 @@ hashes whose ties are compared byte by byte; it is asked inside each slice of a
 task remembers the repeated windows that it has sent, with their bytes: of thousands of copies in a task, one is sent. So a hot
 passage is a row for each task, not one for each document.
 
-Grams that stand in many different runs (a common line with other text around it) would gather all of these in one bucket. They are
-found on a sample and lose against all other grams, so a run around them goes by a gram of its surroundings; windows with one content
-still agree. The sample decides how evenly buckets are filled and nothing else.
+Grams that stand in many runs (a common line with other text around it) would gather all of these in one bucket. They are found on
+a sample and lose against all other grams, so a run around them goes by a gram of its surroundings; windows with one content still
+agree. The sample decides how evenly buckets are filled and nothing else.
 
 A document is named by its doc_id (null: the largest) and a hash of its text, so rows that share a doc_id stay apart unless they
 are equal in both.
@@ -424,11 +424,10 @@ def token_parts(head: np.ndarray, begin: np.ndarray, token: np.ndarray, most: in
 def removed_windows(how: How, head: np.ndarray, begin: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(run, window) of the windows of these runs that go, as places in head and in the run."""
     sizes, windows = head["bytes"].astype(np.int64), head["windows"].astype(np.int64)
-    if how.by_word:
-        units = Units(text[A.spread(begin, sizes)], np.append(0, np.cumsum(sizes)), True)
-        first = units.first[:-1]
-    else:  # a run's units are its bytes, wherever they lie
-        units, first = Units(text, np.array([0, len(text)]), False), begin
+    whole, edges = memoryview(text), np.append(0, np.cumsum(sizes))
+    own = b"".join([whole[i : i + n] for i, n in zip(begin.tolist(), sizes.tolist(), strict=True)])
+    units = Units(np.frombuffer(own, np.uint8), edges, how.by_word)
+    first = units.first[:-1]
     some, number = how.classes(units, Runs(first, windows, head["key"], first + head["anchor"]))
     run = np.repeat(np.arange(len(head)), windows)[some]
     removed, _, many = settle(number, head["doc"][run], how.ordered)
@@ -471,22 +470,19 @@ class Sizes:
 
 
 def _sampled(how: How, hot):
-    """(text) -> (key, run: a hash of its first window, bytes, lead) of all runs."""
+    """(text) -> (lead) of all runs: the 8 bytes where the minimiser stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for units, *_ in how.slices(batch):
-                runs = how.runs(units, hot.value)
-                left, right = units.span(runs.first, runs.windows + how.width - 1)
-                lead = characters(units.plain)[runs.anchor].astype(np.uint64) if not how.by_word else runs.key
-                first = units.hashes(how.width)[runs.first] if len(runs.first) else runs.key
-                yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (runs.key, first, right - left, lead)], names=["key", "run", "bytes", "lead"])
+                lead = characters(units.plain)[how.runs(units, hot.value).anchor].astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([pa.array(lead.view(np.int64))], names=["lead"])
 
     return run
 
 
-def sampled_runs(how: How, sizes: Sizes, hot) -> DataFrame:
-    return sizes.sample.mapInArrow(_sampled(how, hot), "key long, run long, bytes long, lead long")
+def sampled_leads(how: How, sizes: Sizes, hot) -> DataFrame:
+    return sizes.sample.mapInArrow(_sampled(how, hot), "lead long")
 
 
 def characters(text: np.ndarray) -> np.ndarray:
@@ -495,20 +491,29 @@ def characters(text: np.ndarray) -> np.ndarray:
     return np.ndarray((len(text) + 1,), ">u8", padded, strides=(1,))
 
 
-def hot_grams(how: How, sizes: Sizes, rounds: int = 4):
-    """A broadcast Hot: minimisers whose different runs would fill a quarter of a bucket; what takes their place is looked at again."""
-    context, found = sizes.sample.sparkSession.sparkContext, np.zeros(0, np.uint64)
-    sent = context.broadcast(Hot(found))  # MOST_HOT grams at most
-    for _ in range(rounds):
-        runs = sampled_runs(how, sizes, sent).dropDuplicates(["key", "run"]).groupBy("key").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-        full = runs.filter((F.col("bytes") > BUCKET_BYTES / 4 * sizes.share) & (F.col("n") >= 8)).orderBy(F.desc("bytes"), "key").limit(MOST_HOT - len(found))
-        new = np.array([r["key"] for r in full.select("key").collect()], np.int64).view(np.uint64)
-        new = np.setdiff1d(new, found)  # one that is hot already has nothing but hot grams around it
-        if not len(new):
-            break
-        found = np.concatenate([found, new])
-        sent = context.broadcast(Hot(found))
-    return sent
+def _common(how: How):
+    """(text) -> (gram, n) of the grams that are small enough to become minimisers; each batch counts its own."""
+    # of as many grams as a window has, the least is above this share of all hashes once in ten million windows
+    largest = np.uint64(int(min(1.0, 16 / (how.width - how.gram + 1)) * ((1 << 63) - 1)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, np.uint64)]
+            for units, *_ in how.slices(batch):
+                grams = A.window_hashes(units.values, how.gram, 1) >> np.uint64(1)
+                found.append(grams[grams <= largest])
+            gram, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
+
+    return run
+
+
+def hot_grams(how: How, sizes: Sizes, unit_bytes: int):
+    """A broadcast Hot: grams so common that the runs around them, were they different, would fill a quarter of a bucket. unit_bytes: of a unit, about."""
+    least = max(8, BUCKET_BYTES / 4 * sizes.share / (1.5 * how.width * unit_bytes))
+    counts = sizes.sample.mapInArrow(_common(how), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    found = [r["gram"] for r in counts.orderBy(F.desc("n"), "gram").limit(MOST_HOT).collect()]
+    return sizes.sample.sparkSession.sparkContext.broadcast(Hot(np.array(found, np.int64).view(np.uint64)))
 
 
 def removed(docs: DataFrame, doc_id: str, text: str, how: How, sizes: Sizes, hot, part: int) -> DataFrame:

@@ -57,6 +57,6 @@ def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", t
 
     how = R.How(width, gram, True, True, R.hashed_classes(width), bucket_of)
     R.ship(docs.sparkSession)
-    spans = R.removed(docs, doc_id, text, how, sizes, R.hot_grams(how, sizes), part=1 << 20)
+    spans = R.removed(docs, doc_id, text, how, sizes, R.hot_grams(how, sizes, unit_bytes=6), part=1 << 20)
     schema = f"row {row_type}, kept binary, n_words long, n_removed long, kept_sha256 string"
     return R.with_spans(docs, row, spans, doc_id, text).mapInArrow(_kept(width), schema)

@@ -118,7 +118,7 @@ def splitters(how: R.How, sizes: R.Sizes, hot, most: int = 200_000) -> np.ndarra
     if sizes.buckets == 1:
         return np.zeros(0, np.uint64)
     expected = sizes.bytes * sizes.share / 80
-    leads = R.sampled_runs(how, sizes, hot).select("lead")
+    leads = R.sampled_leads(how, sizes, hot)
     rows = (leads.sample(most / expected, seed=3) if expected > most else leads).collect()
     leads = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
     return leads[(np.arange(1, sizes.buckets) * len(leads)) // sizes.buckets] if len(leads) else leads
@@ -154,7 +154,7 @@ def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", t
     context = docs.sparkSession.sparkContext
     how = R.How(width, gram, False, False, suffix_classes(width), None)
     R.ship(docs.sparkSession)
-    hot = R.hot_grams(how, sizes)
+    hot = R.hot_grams(how, sizes, unit_bytes=1)
     edges = context.broadcast(splitters(how, sizes, hot))  # 8 bytes for each bucket
 
     def bucket_of(units, key, anchor):
