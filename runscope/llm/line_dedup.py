@@ -1,22 +1,28 @@
 """Line dedup that can be taken back: exact reference counts of lines, with sharded cuckoo filters in front.
 
-A store holds two tables. `refs` has one row for each (line key, document that holds it): the exact reference table.
-`filters` has one cuckoo filter for each shard of the key space, holding the keys that two or more documents refer to.
-`insert` and `delete` change both for a batch of documents only; deleting a batch gives back the store as it was.
-
-`drop_repeated` reads documents against a store. Lines that the filters do not know stay without a look at `refs`; the few
-others meet the exact table, so a filter's false positives never drop a line. Filters are broadcast if all of them together
-have at most `broadcast_bytes`; beyond, every long line goes to the exact table.
+A store holds three logs. `refs` has a row for each (line key, document that holds it), put in or taken out; `repeated` has the keys
+that two or more documents refer to, with their numbers of references and their smallest document: the exact reference-count table;
+`filters` has a cuckoo filter for each shard of the key space, holding the repeated keys. `insert` and `delete` append the rows of
+the keys that a batch touches and the filters of the shards in which a key became repeated or ceased to be; nothing else is
+written, and deleting a batch gives back the store as it was. Shards are doubled when they hold more than `shard_keys` on average, and
+every `most_batches` batches the logs are written anew, as one.
+
+`drop_repeated` reads documents against a store. Line keys travel to their shard and meet its filter; the few that it knows are
+looked up among the shard's exact keys, so a filter's false positives never drop a line. Keys that a large share of the lines have
+would crowd their shard: those with a ten-thousandth of all references, and 10,000 at least, are at most 10,000 keys, are sent to
+every task with their smallest document and decided there.
 
 Line key: the line without `[\\x20\\x09-\\x0D]` at both ends, A-Z lower-cased, as 128 bits of blake2b. Keys of fewer than
 `min_chars` code points never count. A line is dropped if its key is also in a document with a smaller doc_id.
 
-Defined cases: null or empty text is one empty line; a null doc_id counts as larger than all others; rows of one doc_id are
-one document for the counts, and each is rewritten; other columns are ignored; an empty table gives an empty result.
+Defined cases: null or empty text is one empty line; a null doc_id counts as larger than all others, and all null ones as one document;
+rows of one doc_id are one document for the counts, and each is rewritten; other columns are ignored; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from runscope.llm import arrays as A
 from runscope.llm.shared import landed, ship
 
 STRIP = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -88,21 +95,31 @@ class CuckooFilter:
         return (self.table[first] == prints[:, None]).any(1) | (self.table[second] == prints[:, None]).any(1)
 
     def insert(self, hi: np.ndarray, lo: np.ndarray) -> bool:
-        """False if a key found no slot; the filter is then to be made anew, larger."""
+        """False if a key found no slot; the filter is then to be made anew, larger. Only keys whose two buckets are full go one by one."""
         prints, first, second = self.places(hi, lo)
-        for one, a, b in zip(prints.tolist(), first.tolist(), second.tolist(), strict=True):
-            if not (self._put(a, one) or self._put(b, one) or self._kick(b, one)):
-                return False
-        return True
+        left = np.flatnonzero(~self._take(first, np.zeros_like(prints), prints))
+        left = left[~self._take(second[left], np.zeros_like(prints[left]), prints[left])]
+        return all(self._kick(b, one) for b, one in zip(second[left].tolist(), prints[left].tolist(), strict=True))
 
     def delete(self, hi: np.ndarray, lo: np.ndarray) -> None:
         """Only for keys that were inserted."""
         prints, first, second = self.places(hi, lo)
-        for one, a, b in zip(prints.tolist(), first.tolist(), second.tolist(), strict=True):
-            for bucket in (self.table[a], self.table[b]):
-                if len(at := np.flatnonzero(bucket == one)):
-                    bucket[at[0]] = 0
-                    break
+        left = np.flatnonzero(~self._take(first, prints, np.zeros_like(prints)))
+        self._take(second[left], prints[left], np.zeros_like(prints[left]))
+
+    def _take(self, buckets: np.ndarray, old: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Puts each new value in a slot of its bucket that holds the old one, no slot twice; which found one."""
+        order = np.lexsort((old, buckets))
+        b, o = buckets[order], old[order]
+        first, last = A.runs(np.append(True, (b[1:] != b[:-1]) | (o[1:] != o[:-1]))[: len(b)])
+        rank = np.arange(len(b)) - np.repeat(first, last - first)
+        fits = self.table[b] == o[:, None]
+        chosen = fits & (np.cumsum(fits, axis=1) == rank[:, None] + 1)
+        row, slot = np.nonzero(chosen)
+        self.table[b[row], slot] = new[order][row]
+        found = np.zeros(len(b), bool)
+        found[order[row]] = True
+        return found
 
     def _put(self, bucket: int, one: int) -> bool:
         row = self.table[bucket]
@@ -122,38 +139,42 @@ class CuckooFilter:
         return False
 
 
-def _keys(min_chars: int, names: tuple[str, ...]):
-    """(doc, key) once for each row's different keys."""
+def _keys(min_chars: int):
+    """(doc, mark, text) -> (doc, mark, hi, lo) once for each row's different keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, keys = [], []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            rows, keys = [], []
+            for row, text in enumerate(batch.column("text")):
                 own = {line_key(line, min_chars) for line in (text.as_buffer().to_pybytes() if text.is_valid else b"").split(b"\n")}
                 own.discard(None)
                 keys += own
-                docs += [doc] * len(own)
+                rows += [row] * len(own)
                 if len(keys) > 200_000:
-                    yield _key_batch(docs, keys, names)
-                    docs, keys = [], []
-            yield _key_batch(docs, keys, names)
+                    yield _key_batch(batch, rows, keys)
+                    rows, keys = [], []
+            yield _key_batch(batch, rows, keys)
 
     return run
 
 
-def _key_batch(docs: list, keys: list[bytes], names: tuple[str, ...]) -> pa.RecordBatch:
+def _key_batch(batch: pa.RecordBatch, rows: list[int], keys: list[bytes]) -> pa.RecordBatch:
     both = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1])], names=list(names))
+    at = pa.array(rows, pa.int64())
+    return pa.RecordBatch.from_arrays([batch.column("doc").take(at), batch.column("mark").take(at), pa.array(both[:, 0]), pa.array(both[:, 1])], names=["doc", "mark", *KEY])
 
 
-def _read(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text).cast("binary").alias("text"))
+def _read(docs: DataFrame, doc_id: str, text: str, *more: Column) -> DataFrame:
+    """(doc, mark: a hash of the text, text) and more: rows of one doc_id, or of none, are told apart by their texts."""
+    own = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text).cast("binary").alias("text"), *more)
+    return own.withColumn("mark", F.xxhash64("text"))
 
 
 def references(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 10) -> DataFrame:
     """(doc, hi, lo): each long line's key with each document that holds it, once."""
     ship(docs.sparkSession)
-    return _read(docs, doc_id, text).mapInArrow(_keys(min_chars, ("doc", *KEY)), "doc long, hi long, lo long")
+    lines = _read(docs, doc_id, text).select("doc", "mark", "text").mapInArrow(_keys(min_chars), "doc long, mark long, hi long, lo long")
+    return lines.select("doc", *KEY).distinct()
 
 
 def counted(refs: DataFrame) -> DataFrame:
@@ -162,109 +183,188 @@ def counted(refs: DataFrame) -> DataFrame:
     return both.filter("first_doc < last_doc")
 
 
+VALUES = ("n", "first_doc", "last_doc")
+
+
 @dataclass(frozen=True)
 class LineStore:
-    """refs (doc, hi, lo), repeated (hi, lo, n, first_doc, last_doc: the keys of two or more documents), filters (shard, filter)."""
+    """Logs refs (doc, hi, lo, change: 1 or -1), repeated (hi, lo, n, first_doc, last_doc, version) and filters (shard, filter, version).
+
+    Of a key or a shard the row with the largest version holds; keys: how many are repeated.
+    """
 
     refs: DataFrame
     repeated: DataFrame
     filters: DataFrame
     shards: int
+    keys: int
+    version: int = 0
     min_chars: int = 10
+    shard_keys: int = 100_000
+    most_batches: int = 16
 
     @classmethod
-    def of(cls, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 10, shard_keys: int = 250_000) -> LineStore:
+    def of(cls, docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 10, shard_keys: int = 100_000) -> LineStore:
         """A store with these documents; one doc_id's rows count once."""
         refs = references(docs, doc_id, text, min_chars)
-        repeated = landed(counted(refs), "repeated-lines")
-        shards = max(1, -(-repeated.count() // shard_keys))
-        return cls(refs, repeated, filters_of(repeated, shards), shards, min_chars)
+        repeated = landed(counted(refs).withColumn("version", F.lit(0)), "repeated-lines")
+        keys = repeated.count()
+        shards = max(1, -(-keys // shard_keys))
+        return cls(refs.withColumn("change", F.lit(1)), repeated, filters_of(repeated, shards, 0), shards, keys, 0, min_chars, shard_keys)
+
+    def live_refs(self, only: DataFrame | None = None, on: tuple[str, ...] = KEY) -> DataFrame:
+        """(doc, hi, lo) that hold now; only: those whose `on` columns stand in it."""
+        log = self.refs if only is None else self.refs.join(only, list(on), "left_semi")
+        return log.groupBy("doc", *KEY).agg(F.sum("change").alias("change")).filter("change > 0").drop("change")
+
+    def live_repeated(self, only: DataFrame | None = None) -> DataFrame:
+        """(hi, lo, n, first_doc, last_doc) of the keys that are repeated now; only: of these keys."""
+        log = self.repeated if only is None else self.repeated.join(only, list(KEY), "left_semi")
+        if not self.version:
+            return log.select(*KEY, *VALUES)
+        return log.groupBy(*KEY).agg(F.max_by(F.struct(*VALUES), "version").alias("now")).select(*KEY, "now.*").filter("n > 0")
+
+    def live_filters(self) -> DataFrame:
+        return self.filters.groupBy("shard").agg(F.max_by("filter", "version").alias("filter"))
 
     def insert(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineStore:
         """The store with further documents; a (key, document) that is there already is not counted twice."""
-        new = references(docs, doc_id, text, self.min_chars)
-        refs = landed(self.refs.unionByName(new).distinct(), "line-refs")
-        return self._changed(refs, new)
+        new = landed(references(docs, doc_id, text, self.min_chars), "line-batch")
+        known = self.live_refs(new.select(*KEY).distinct())
+        return self._changed(new.join(known, ["doc", *KEY], "left_anti").withColumn("change", F.lit(1)))
 
     def delete(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineStore:
         """The store without these documents (all lines held under their doc_ids)."""
         gone = _read(docs, doc_id, text).select("doc").distinct()
-        old = self.refs.join(gone, "doc", "left_semi")
-        refs = landed(self.refs.join(gone, "doc", "left_anti"), "line-refs")
-        return self._changed(refs, old)
+        return self._changed(self.live_refs(gone, ("doc",)).withColumn("change", F.lit(-1)))
 
-    def _changed(self, refs: DataFrame, touched: DataFrame) -> LineStore:
+    def _changed(self, batch: DataFrame) -> LineStore:
         """Counts only the touched keys anew, and puts them into the filters or takes them out."""
-        keys = touched.select(*KEY).distinct()
-        now = counted(refs.join(keys, list(KEY), "left_semi"))
-        was = self.repeated.join(keys, list(KEY), "left_semi")
-        repeated = landed(self.repeated.join(keys, list(KEY), "left_anti").unionByName(now), "repeated-lines")
-        add = now.join(was, list(KEY), "left_anti").select(*KEY, F.lit(1).alias("change"))
-        drop = was.join(now, list(KEY), "left_anti").select(*KEY, F.lit(-1).alias("change"))
-        filters = _updated(self.filters, add.unionByName(drop), repeated, self.shards)
-        return LineStore(refs, repeated, filters, self.shards, self.min_chars)
+        batch, version = landed(batch.select("doc", *KEY, "change"), "line-refs"), self.version + 1
+        touched = batch.select(*KEY).distinct()
+        log = dataclasses.replace(self, refs=self.refs.unionByName(batch))
+        now, was = counted(log.live_refs(touched)), self.live_repeated(touched)
+        both = now.join(was.select(*KEY, F.lit(True).alias("was")), list(KEY), "full")
+        rows = landed(both.select(*KEY, F.coalesce("n", F.lit(0)).alias("n"), "first_doc", "last_doc", F.lit(version).alias("version"), (F.coalesce("n", F.lit(0)) > 0).cast("int").alias("is"), F.coalesce("was", F.lit(False)).cast("int").alias("was")), "repeated-lines")
+        changes = rows.select(*KEY, (F.col("is") - F.col("was")).alias("change")).filter("change <> 0")
+        keys = self.keys + (changes.agg(F.sum("change")).first()[0] or 0)
+        log = dataclasses.replace(log, repeated=self.repeated.unionByName(rows.select(*self.repeated.columns)), keys=keys, version=version)
+        if version % self.most_batches == 0:
+            log = dataclasses.replace(log, refs=landed(log.live_refs().withColumn("change", F.lit(1)), "line-refs"), repeated=landed(log.live_repeated().withColumn("version", F.lit(version)), "repeated-lines"))
+        shards = self.shards
+        while keys > 2 * shards * self.shard_keys:
+            shards *= 2
+        if shards > self.shards or version % self.most_batches == 0:
+            return dataclasses.replace(log, shards=shards, filters=filters_of(log.live_repeated(), shards, version))
+        return dataclasses.replace(log, filters=self.filters.unionByName(_updated(log, changes)))
 
 
 def _sharded(keys: DataFrame, shards: int) -> DataFrame:
     return keys.withColumn("shard", F.expr(f"cast((shiftrightunsigned(hi, 32) * {shards}L) >> 32 as int)"))
 
 
-def filters_of(keys: DataFrame, shards: int) -> DataFrame:
-    """(shard, filter) of the keys; a shard has a bounded number of keys, as shards are made by their count."""
+FILTER = "shard int, filter binary, version int"
+
+
+def _filter_row(shard: int, made: CuckooFilter | None, version: int) -> pa.Table:
+    return pa.table({"shard": pa.array([shard], pa.int32()), "filter": pa.array([made and made.blob()], pa.binary()), "version": pa.array([version], pa.int32())})
+
+
+def filters_of(keys: DataFrame, shards: int, version: int) -> DataFrame:
+    """(shard, filter, version) of the keys; a shard has a bounded number of keys, as shards are made by their count."""
 
     def build(key, table):
-        made = CuckooFilter.of(table["hi"].to_numpy(), table["lo"].to_numpy())
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([made.blob()], pa.binary())})
+        return _filter_row(key[0].as_py(), CuckooFilter.of(table["hi"].to_numpy(), table["lo"].to_numpy()), version)
 
-    return landed(_sharded(keys.select(*KEY), shards).groupBy("shard").applyInArrow(build, "shard int, filter binary"), "line-filters")
+    return landed(_sharded(keys.select(*KEY), shards).groupBy("shard").applyInArrow(build, FILTER), "line-filters")
 
 
-def _updated(filters: DataFrame, changes: DataFrame, repeated: DataFrame, shards: int) -> DataFrame:
-    """Filters with the changes of each shard; one that overflows is made anew from the shard's keys at the next call of filters_of."""
+def _updated(store: LineStore, changes: DataFrame) -> DataFrame:
+    """New filters (shard, filter, version) of the shards that changes (hi, lo, change) touch; one that overflows is made anew from its keys."""
+    version = store.version
 
     def change(key, have, rows):
         old = CuckooFilter.read(have["filter"][0].as_py()) if have.num_rows else CuckooFilter.of(np.zeros(0, np.int64), np.zeros(0, np.int64))
-        hi, lo, way = (rows[c].to_numpy() for c in ("hi", "lo", "change"))
+        hi, lo, way = (rows[c].to_numpy() for c in (*KEY, "change"))
         old.delete(hi[way < 0], lo[way < 0])
         full = not old.insert(hi[way > 0], lo[way > 0])
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "filter": pa.array([None if full else old.blob()], pa.binary())})
+        return _filter_row(key[0].as_py(), None if full else old, version)
 
-    changed = landed(filters.groupBy("shard").cogroup(_sharded(changes, shards).groupBy("shard")).applyInArrow(change, "shard int, filter binary"), "line-filters")
+    changes = _sharded(changes, store.shards)
+    have = store.live_filters().join(changes.select("shard").distinct(), "shard", "left_semi")
+    changed = landed(have.groupBy("shard").cogroup(changes.groupBy("shard")).applyInArrow(change, FILTER), "line-filters")
     full = changed.filter("filter is null").select("shard")
     if full.isEmpty():
         return changed
-    anew = filters_of(_sharded(repeated.select(*KEY), shards).join(full, "shard", "left_semi"), shards)
+    anew = filters_of(_sharded(store.live_repeated(), store.shards).join(full, "shard", "left_semi"), store.shards, version)
     return landed(changed.filter("filter is not null").unionByName(anew), "line-filters")
 
 
-def _suspects(min_chars: int, shards: int, known):
-    """(doc, hi, lo) of the lines whose keys the broadcast filters hold."""
-    keys = _keys(min_chars, ("doc", *KEY))
+def heavy_keys(store: LineStore, share: float = 1e-4, least: int = 10_000) -> np.ndarray:
+    """[keys, 3] hi, lo and smallest document of the keys with `share` of all references and `least` at least: 1 / share rows at most."""
+    live = store.live_repeated()
+    total = live.agg(F.sum("n")).first()[0] or 0
+    rows = live.filter(F.col("n") >= max(least, total * share)).select(*KEY, "first_doc").collect()
+    return np.array(sorted(map(tuple, rows)), np.int64).reshape(-1, 3)
+
+
+def _routed(min_chars: int, shards: int, salts: int, heavy):
+    """(doc, mark, text) -> (shard, salt, doc, mark, hi, lo, known): lines to look up, and those of heavy keys that go (known), which only pass by."""
+    keys = _keys(min_chars)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = {s: CuckooFilter.read(b) for s, b in known.value.items()}
+        own = heavy.value
+        names = own[:, 0].view(np.uint64) ^ (own[:, 1].view(np.uint64) >> np.uint64(1))
+        order = np.argsort(names)
+        own, names = own[order], names[order]
         for batch in keys(batches):
-            hi, lo = (np.ascontiguousarray(batch.column(c).to_numpy()) for c in KEY)
-            shard, keep = shard_of(hi, shards), np.zeros(len(hi), bool)
-            for s, one in filters.items():
-                if len(at := np.flatnonzero(shard == s)):
-                    keep[at] = one.contains(hi[at], lo[at])
-            yield batch.filter(pa.array(keep))
+            hi, lo, doc = (np.ascontiguousarray(batch.column(c).to_numpy()) for c in (*KEY, "doc"))
+            known, keep = np.zeros(len(hi), bool), np.ones(len(hi), bool)
+            if len(own):
+                at = np.minimum(np.searchsorted(names, hi.view(np.uint64) ^ (lo.view(np.uint64) >> np.uint64(1))), len(own) - 1)
+                known = (own[at, 0] == hi) & (own[at, 1] == lo)
+                keep = ~known | (own[at, 2] < doc)
+            salt = (A.mixed(doc.view(np.uint64)) % np.uint64(salts)).astype(np.int32)
+            shard = np.where(known, A.mixed(doc.view(np.uint64) + np.uint64(1)) % np.uint64(shards), shard_of(hi, shards)).astype(np.int32)
+            out = pa.RecordBatch.from_arrays([pa.array(shard), pa.array(salt), *batch.columns, pa.array(known)], names=["shard", "salt", *batch.schema.names, "known"])
+            yield out.filter(pa.array(keep))
 
     return run
 
 
-def repeats(docs: DataFrame, store: LineStore, doc_id: str = "doc_id", text: str = "text", broadcast_bytes: int = 32 << 20) -> DataFrame:
-    """(doc, drop): for each document with lines to drop, their keys in an array of 16-byte strings."""
-    spark = docs.sparkSession
-    size = store.filters.agg(F.coalesce(F.sum(F.octet_length("filter")), F.lit(0))).first()[0]
-    if size <= broadcast_bytes:
-        known = spark.sparkContext.broadcast({r["shard"]: bytes(r["filter"]) for r in store.filters.collect()})
-        lines = _read(docs, doc_id, text).mapInArrow(_suspects(store.min_chars, store.shards, known), "doc long, hi long, lo long")
-    else:
-        lines = references(docs, doc_id, text, store.min_chars)
-    dropped = lines.join(store.repeated.select(*KEY, "first_doc"), list(KEY)).filter("first_doc < doc")
-    return dropped.groupBy("doc").agg(F.collect_set(F.struct(*KEY)).alias("drop"))
+def _look_up(key, lines: pa.Table, shard: pa.Table) -> pa.Table:
+    """The lines of a shard that go: its filter knows them and its exact keys (with the filter in a row of their own) agree."""
+    out = lines.select(["doc", "mark", *KEY])
+    known = lines["known"].to_numpy()
+    filters = shard["filter"].drop_null()
+    if not len(filters):
+        return out.filter(pa.array(known))
+    hi, lo, doc = (np.ascontiguousarray(lines[c].to_numpy()) for c in (*KEY, "doc"))
+    suspect = np.flatnonzero(~known & CuckooFilter.read(filters[0].as_py()).contains(hi, lo))
+    exact = shard.filter(shard["filter"].is_null())
+    exact_hi, exact_lo, first = (np.ascontiguousarray(exact[c].to_numpy()) for c in (*KEY, "first_doc"))
+    order = np.argsort(exact_hi, kind="stable")
+    exact_hi, exact_lo, first = exact_hi[order], exact_lo[order], first[order]
+    begin, end = (np.searchsorted(exact_hi, hi[suspect], side=s) for s in ("left", "right"))
+    line, place = np.repeat(suspect, end - begin), A.spread(begin, end - begin)  # all exact keys with this first half
+    goes = line[(exact_lo[place] == lo[line]) & (first[place] < doc[line])]
+    known[goes] = True
+    return out.filter(pa.array(known))
+
+
+def repeats(docs: DataFrame, store: LineStore, doc_id: str = "doc_id", text: str = "text", group_bytes: int = 16 << 20) -> DataFrame:
+    """(doc, mark, drop): for each document with lines to drop, their keys. group_bytes: of text, whose lines of one shard are looked up together."""
+    ship(docs.sparkSession)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    salts = max(1, -(-size // (group_bytes * store.shards)))
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy_keys(store))  # 10,000 keys at most
+    where = "shard int, salt int, doc long, mark long, hi long, lo long, known boolean"
+    lines = _read(docs, doc_id, text).select("doc", "mark", "text").mapInArrow(_routed(store.min_chars, store.shards, salts, heavy), where)
+    exact = _sharded(store.live_repeated(), store.shards).select("shard", *KEY, "first_doc", F.lit(None).cast("binary").alias("filter"))
+    filters = store.live_filters().select("shard", *[F.lit(None).cast("long").alias(c) for c in (*KEY, "first_doc")], "filter")
+    held = exact.unionByName(filters).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dropped = lines.groupBy("shard", "salt").cogroup(held.groupBy("shard", "salt")).applyInArrow(_look_up, "doc long, mark long, hi long, lo long")
+    return dropped.groupBy("doc", "mark").agg(F.collect_set(F.struct(*KEY)).alias("drop"))
 
 
 def _rewrite(min_chars: int):
@@ -293,6 +393,6 @@ def _rewrite(min_chars: int):
 
 def drop_repeated(docs: DataFrame, store: LineStore, row: Column, row_type: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, kept: text as binary, n_lines, n_dropped, kept_sha256) for every document; row: what to carry along."""
-    own = docs.select(row.alias("row"), F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("doc"), F.col(text).cast("binary").alias("text"))
-    joined = own.join(repeats(docs, store, doc_id, text), "doc", "left").select("row", "text", "drop")
+    own = _read(docs, doc_id, text, row.alias("row"))
+    joined = own.join(repeats(docs, store, doc_id, text), ["doc", "mark"], "left").select("row", "text", "drop")
     return joined.mapInArrow(_rewrite(store.min_chars), f"row {row_type}, kept binary, n_lines long, n_dropped long, kept_sha256 string")

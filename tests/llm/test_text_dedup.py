@@ -1,5 +1,6 @@
 """Suffix-array, substring and line dedup against brute force."""
 
+import dataclasses
 import hashlib
 import random
 import types
@@ -197,7 +198,7 @@ def test_hot_grams_lose_to_their_surroundings(spark, monkeypatch):
         (suffixes, brute_bytes, ("n_bytes", "n_removed", "n_spans"), repeats.How(200, 16, False, False, suffixes.suffix_classes(200), None)),
         (substrings, brute_words, ("n_words", "n_removed"), repeats.How(50, 5, True, True, repeats.hashed_classes(50), None)),
     ):
-        hot = repeats.hot_grams(how, repeats.Sizes.of(docs, "text"))
+        hot = repeats.hot_grams(how, repeats.Sizes.of(docs, "text"), 1)
         assert len(hot.value.grams)
         out = op.dedup(docs, F.col("doc_id"), "long").select("row", *names, "kept_sha256").collect()
         assert sorted(map(tuple, out), key=str) == brute(rows)
@@ -254,13 +255,27 @@ def test_lines_match_brute_force(spark):
     assert lines_of(docs, line_dedup.LineStore.of(docs)) == brute_lines(LINES)
 
 
-def test_lines_without_broadcast(spark):
-    docs = spark.createDataFrame([(d, t, "clash") for d, t in LINES], SCHEMA)
-    store = line_dedup.LineStore.of(docs)
-    with_filters = line_dedup.repeats(docs, store).collect()
-    without = line_dedup.repeats(docs, store, broadcast_bytes=-1).collect()
-    as_set = lambda rows: {(r["doc"], frozenset(map(tuple, r["drop"]))) for r in rows}
-    assert as_set(with_filters) == as_set(without)
+@pytest.mark.parametrize("shard_keys, group_bytes, least", [(1, 30, 10_000), (2, 1 << 20, 2), (100_000, 7, 3)])
+def test_lines_in_shards_salts_and_heavy_keys(spark, monkeypatch, shard_keys, group_bytes, least):
+    heavy, found = line_dedup.heavy_keys, line_dedup.repeats
+    monkeypatch.setattr(line_dedup, "heavy_keys", lambda store: heavy(store, least=least))
+    monkeypatch.setattr(line_dedup, "repeats", lambda *x: found(*x, group_bytes=group_bytes))
+    docs = spark.createDataFrame([(d, t, "clash") for d, t in LINES], SCHEMA).repartition(3)
+    store = line_dedup.LineStore.of(docs, shard_keys=shard_keys)
+    assert (store.shards > 1) == (shard_keys < 10) and (len(line_dedup.heavy_keys(store)) > 0) == (least < 10)
+    assert lines_of(docs, store) == brute_lines(LINES)
+
+
+def state(store):
+    """All that a store holds now: references, counts, and which keys its filters know."""
+    refs = {tuple(r) for r in store.live_refs().collect()}
+    repeated = {tuple(r) for r in store.live_repeated().collect()}
+    filters = {r["shard"]: line_dedup.CuckooFilter.read(bytes(r["filter"])) for r in store.live_filters().collect()}
+    for hi, lo, *_ in repeated:
+        at = np.array([hi]), np.array([lo])
+        assert filters[int(line_dedup.shard_of(at[0], store.shards)[0])].contains(*at)[0]
+    assert store.keys == len(repeated)
+    return refs, repeated, sum(int((f.table > 0).sum()) for f in filters.values())
 
 
 def test_line_store_is_reversible(spark):
@@ -269,10 +284,31 @@ def test_line_store_is_reversible(spark):
     store = line_dedup.LineStore.of(make(first), shard_keys=1)
     grown = store.insert(make(later))
     assert lines_of(make(LINES), grown) == brute_lines(LINES)
+    whole = line_dedup.LineStore.of(make(LINES), shard_keys=1)
+    assert state(grown) == state(whole)
+    assert state(grown.insert(make(later[:3]))) == state(whole)  # what is there already counts once
     shrunk = grown.delete(make(later))
     assert lines_of(make(first), shrunk) == brute_lines(first)
-    keys = lambda s: {(r["hi"], r["lo"], r["first_doc"]) for r in s.repeated.collect()}
-    assert keys(shrunk) == keys(store)
+    assert state(shrunk) == state(store)
+
+
+def test_line_store_over_many_batches(spark):
+    r = random.Random(3)
+    make = lambda rows: spark.createDataFrame([(d, t, "clash") for d, t in rows], SCHEMA)
+    rows = [(i, "\n".join(f"line number {r.randrange(12)}" for _ in range(4))) for i in range(24)]
+    store = dataclasses.replace(line_dedup.LineStore.of(make(rows[:2]), shard_keys=2), most_batches=3)
+    for at in range(2, 24, 6):
+        store = store.insert(make(rows[at : at + 6]))
+    store = store.delete(make(rows[:5] + rows[20:]))
+    left = rows[5:20]
+    assert store.version == 5 and store.shards > 1  # written anew once, and doubled
+    want = line_dedup.LineStore.of(make(left))
+    assert state(store)[:2] == state(want)[:2] and lines_of(make(left), store) == brute_lines(left)
+
+
+def test_references_are_counted_once_for_each_document(spark):
+    docs = spark.createDataFrame([(1, "a shared long line", ""), (1, "a shared long line\nmore", ""), (2, "a shared long line", ""), (None, "a shared long line", ""), (None, "a shared long line\n", "")], SCHEMA).repartition(4)
+    assert [(r["n"], r["first_doc"]) for r in line_dedup.LineStore.of(docs).live_repeated().collect()] == [(3, 1)]
 
 
 def test_cuckoo_filter():
