@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runscope.llm import arrays as A
-from runscope.llm.shared import landed, ship
+from runscope.llm.shared import beside_text, landed, ship, together
 
 #: Shares are of the text's bytes, words or lines.
 STATISTICS = (
@@ -92,7 +92,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = offsets[first : last + 1]
             parts.append(statistics_of(buffer[at[0] : at[-1]], at - at[0]))
         values = np.concatenate(parts)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), *(pa.array(c) for c in values.T)], names=["row", *STATISTICS])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c) for c in values.T)], names=[*batch.schema.names[:-1], *STATISTICS])
 
 
 def statistics(docs: DataFrame, row: Column, row_type: str, text: str = "text") -> DataFrame:
@@ -102,6 +102,13 @@ def statistics(docs: DataFrame, row: Column, row_type: str, text: str = "text")
     return own.mapInArrow(_statistics, f"row {row_type}, " + ", ".join(f"{s} double" for s in STATISTICS))
 
 
+def _with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As _statistics, and the text once more behind them."""
+    for batch in batches:
+        (out,) = _statistics(iter([batch]))
+        yield pa.RecordBatch.from_arrays([*out.columns, batch.column("text")], names=[*out.schema.names, "text"])
+
+
 #: A bound on a statistic: (statistic, True for at most and False for more than, threshold).
 Bound = tuple[str, bool, float]
 
@@ -182,5 +189,8 @@ def score(docs: DataFrame, model: RuleModel, row: Column, row_type: str, text: s
 
 def keep_good(docs: DataFrame, model: RuleModel, text: str = "text", least: float = 0.3) -> DataFrame:
     """The documents, with all their columns, that score at least `least`."""
-    scored = score(docs.select(F.struct("*").alias("whole"), F.col(text).alias("text")), model, F.col("whole"), docs.schema.simpleString())
-    return scored.filter(F.col("score") >= least).select("row.*")
+    ship(docs.sparkSession)
+    row, kind = beside_text(docs, text)
+    own = docs.select(row.alias("row"), F.col(text).cast("binary").alias("text"))
+    scored = own.mapInArrow(_with_text, f"row {kind}, " + ", ".join(f"{s} double" for s in STATISTICS) + ", text binary")
+    return together(docs, scored.filter(model.score() >= least), text)

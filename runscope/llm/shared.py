@@ -7,7 +7,8 @@ import tempfile
 from pathlib import Path
 from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from runscope.sources.folders import new_folder
 
@@ -32,6 +33,17 @@ def discard(df: DataFrame) -> None:
         where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def beside_text(docs: DataFrame, text: str) -> tuple[Column, str]:
+    """All columns but the text as one, and its type: a text goes to Python and back once only."""
+    rest = docs.drop(text)
+    return (F.struct(*[F.col(f"`{c}`") for c in rest.columns]), rest.schema.simpleString()) if rest.columns else (F.lit(0), "int")
+
+
+def together(docs: DataFrame, rows: DataFrame, text: str) -> DataFrame:
+    """The columns of docs from (row: all but the text, text: as binary)."""
+    return rows.select(*[F.decode("text", "UTF-8").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])
+
+
 _shipped: set[str] = set()
 
 

@@ -33,7 +33,7 @@ def items(rows, seed):
         words = re.findall(WORD, (r.choice(rows)[1] or "").translate(SMALL))
         at = r.randint(0, max(0, len(words) - 5))
         out.append((i, " ".join(words[at : at + r.randint(3, 30)])))
-    return out + [(50, None), (51, ""), (None, "w1 w2 w3"), (60, "X!"), (61, out[0][1]), (7, out[1][1])]
+    return [(str(i) if i is not None else None, t) for i, t in out + [(50, None), (51, ""), (None, "w1 w2 w3"), (60, "X!"), (61, out[0][1]), (7, out[1][1]), ("name, no number", out[2][1])]]
 
 
 def brute_hits(rows, bench):
@@ -68,11 +68,11 @@ def test_decontamination_matches_brute_force(spark):
     rows = texts(1)
     bench = items(rows, 2)
     docs = spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
-    table = spark.createDataFrame(bench, "item_id long, text string")
+    table = spark.createDataFrame(bench, "item_id string, text string")
     want = brute_hits(rows, bench)
     assert any(x[2] for x in want)
     assert scanned(docs, table) == want
-    assert scanned(docs, table, block_windows=7) == want  # in blocks
+    assert scanned(docs, table, block_bytes=2000) == want  # in blocks
     assert scanned(docs, table.limit(0)) == [(*x[:2], 0, 0, hashlib.sha256(b"").hexdigest()) for x in want]
     assert scanned(docs.limit(0), table) == []
 
