@@ -1,17 +1,20 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products inside cells, one representative for each group.
 
-Equal vectors are one class, compared once. K-means with cosine distance is fitted on at most `sample_rows` classes. Centres that are
+Equal vectors are one class, compared once; vectors of different lengths never link, so all that follows is done for each length by
+itself. K-means with cosine distance is fitted on at most `sample_rows` classes, for `most_centres` centres at most. Centres that are
 nearer to each other than the margin (cosine over 1 - `margin`, also through others) make one cell, so that a large group of near
 copies, which k-means splits over many almost equal centres, stays together. Every class is then assigned to the cell of its nearest
 centre and to all cells with a centre nearly as near (cosine at most `margin` less), so that pairs on both sides of a border meet; no
-number of cells is too many. A cell is cut into parts of `part_rows`, and each pair of parts is a task of its own, so a
-cell that holds most rows is spread over the cluster. A pair that meets in several cells counts in the first of them only.
-Products are in double precision: no pair below the threshold is linked. Pairs are found with high probability, not surely; inside a
-group of near copies the work is the number of its pairs, which n_links counts.
-
-Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing, as does a vector of
-another length than the most common one; a null vec_id takes part in links, but is a component's id only if all of its ids are
-null; repeated rows are vectors of their own; other columns are ignored; an empty table gives an empty result.
+number of cells is too many. A cell with more than `large` times `cell_rows` classes is parted in the same way by centres of its own,
+fitted on at most `sample_rows` of its classes; so cells stay small as the table grows, up to most_centres^2 of them. A cell is cut into
+blocks of `part_rows`, and each pair of blocks is a task of its own, so a cell that holds most rows is spread over the cluster. A
+pair that meets in several cells counts in the first of them only. Products are in double precision: no pair below the threshold is
+linked. Pairs are found with high probability, not surely; inside a group of near copies the work is the number of its pairs, which
+n_links counts.
+
+Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; a null vec_id takes part in
+links, but is a component's id only if all of its ids are null; repeated rows are vectors of their own; other columns are ignored; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,11 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from runscope.llm.components import connected_components
-from runscope.llm.shared import landed, ship
+from runscope.llm.shared import discard, landed, ship
 from runscope.llm.simhash import forest
 
 
@@ -37,28 +40,42 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     return own.withColumn("class", F.xxhash64("vector"))
 
 
-def _units(width: int):
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds unit: the vector in doubles, of length one. Scaled by its largest component first, so squares neither overflow nor vanish."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = _matrix(batch.column("vector"), width).astype(np.float64)
-            values = values / np.abs(values).max(1, initial=1e-320, keepdims=True)
-            values /= np.linalg.norm(values, axis=1, keepdims=True)
-            unit = pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * width, values.ravel())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "class", "copies")), unit], names=["id", "class", "copies", "unit"])
-
-    return run
+    for batch in batches:
+        column = batch.column("vector")
+        sizes = column.value_lengths().to_numpy()
+        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        first = np.cumsum(sizes) - sizes
+        if len(values):
+            values = values / np.repeat(np.maximum(np.maximum.reduceat(np.abs(values), first), 1e-320), sizes)
+            values /= np.repeat(np.sqrt(np.add.reduceat(values * values, first)), sizes)
+        unit = pa.ListArray.from_arrays(np.append(first, len(values)).astype(np.int32), values)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "class", "copies")), pa.array(sizes.astype(np.int32)), unit], names=["id", "class", "copies", "width", "unit"])
 
 
 def centres(classes: DataFrame, cells: int, sample_rows: int, seed: int) -> np.ndarray:
     """Unit centres of spherical k-means on a bounded sample, the first by a hash."""
     sample = landed(classes.orderBy(F.xxhash64("class", F.lit(seed)), "class").limit(sample_rows).select(array_to_vector("unit").alias("features")), "vector-sample")
-    if cells < 2:
-        return np.array([sample.first()["features"].toArray()])
     model = KMeans(k=cells, distanceMeasure="cosine", maxIter=8, seed=seed).fit(sample)
-    found = np.array(model.clusterCenters())
-    return found / np.linalg.norm(found, axis=1, keepdims=True)
+    discard(sample)
+    return unit_rows(np.array(model.clusterCenters()))
+
+
+def unit_rows(values: np.ndarray) -> np.ndarray:
+    return values / np.maximum(np.linalg.norm(values, axis=1, keepdims=True), 1e-300)
+
+
+def own_centres(values: np.ndarray, cells: int, seed: int, rounds: int = 8) -> np.ndarray:
+    """The same inside a task, for a bounded number of unit rows."""
+    centre = values[np.random.default_rng(seed).permutation(len(values))[:cells]]
+    for _ in range(rounds):
+        nearest = np.concatenate([(values[i : i + 1024] @ centre.T).argmax(1) for i in range(0, len(values), 1024)])
+        sums = np.zeros_like(centre)
+        np.add.at(sums, nearest, values)
+        some = np.bincount(nearest, minlength=len(centre)) > 0
+        centre[some] = unit_rows(sums[some])
+    return centre
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -77,24 +94,87 @@ def _roots(parent: np.ndarray) -> np.ndarray:
     return parent
 
 
+def cells_near(values: np.ndarray, centre: np.ndarray, cell: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) for each unit row and each cell with a centre at most `margin` of cosine farther than its nearest, in the order of rows."""
+    order = np.argsort(cell, kind="stable")
+    named, first = np.unique(cell[order], return_index=True)
+    rows, cells = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(0, len(values), 1024):
+        near = values[i : i + 1024] @ centre.T
+        best = np.maximum.reduceat(near[:, order], first, axis=1)  # of a cell's centres
+        row, own = np.nonzero(best >= near.max(1, keepdims=True) - margin)
+        rows.append(row + i)
+        cells.append(named[own])
+    return np.concatenate(rows), np.concatenate(cells)
+
+
+#: A cell's number: width, cell, and cell inside it in its bits.
+WIDTH, CELL = 40, 20
+ROW = "id long, copies long, unit array<double>"
+
+
 def _assigned(sent, margin: float):
-    """Adds each class's cells."""
+    """(id, copies, width, unit) -> (id, copies, unit, cell): a row for each cell; a width without centres is one cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, cell = sent.value
-        order = np.argsort(cell, kind="stable")
-        named, first = np.unique(cell[order], return_index=True)
         for batch in batches:
-            near = _matrix(batch.column("unit"), centre.shape[1]) @ centre.T
-            best = np.maximum.reduceat(near[:, order], first, axis=1)  # of a cell's centres
-            row, own = np.nonzero(best >= near.max(1, keepdims=True) - margin)
-            offsets = np.searchsorted(row, np.arange(len(near) + 1)).astype(np.int32)
-            cells = pa.ListArray.from_arrays(offsets, named[own].astype(np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=[*batch.schema.names, "cells"])
+            widths = batch.column("width").to_numpy()
+            for width in np.unique(widths).tolist():
+                at = np.flatnonzero(widths == width)
+                row, cell = np.arange(len(at)), np.zeros(len(at), np.int64)
+                if width in sent.value:
+                    row, cell = cells_near(_matrix(batch.column("unit").take(pa.array(at)), width), *sent.value[width], margin)
+                own = batch.take(pa.array(at[row])).select(["id", "copies", "unit"])
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array((width << WIDTH) + (cell << CELL))], names=["id", "copies", "unit", "cell"])
 
     return run
 
 
+def _fitted(cell_rows: int, most_centres: int, seed: int):
+    """A cell's sample (unit, count: of its rows) -> its centres, one row each."""
+
+    def run(key, table):
+        cell = key[0].as_py()
+        width, count = cell >> WIDTH, table["count"][0].as_py()
+        values = _matrix(table["unit"].combine_chunks(), width)
+        found = own_centres(values, min(most_centres, len(values), count // cell_rows), seed)
+        unit = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * width, found.ravel())
+        return pa.table({"cell": pa.array(np.full(len(found), cell)), "centre": unit})
+
+    return run
+
+
+def _parted(margin: float):
+    """The rows of a large cell (a part of them) and its centres -> its rows by cells inside it."""
+
+    def run(key, rows, table):
+        cell = key[0].as_py()
+        if not rows.num_rows:
+            return rows.select(["id", "copies", "unit", "cell"])
+        width = cell >> WIDTH
+        centre = _matrix(table["centre"].combine_chunks(), width)
+        row, own = cells_near(_matrix(rows["unit"].combine_chunks(), width), centre, cells_of(centre, margin), margin)
+        return rows.select(["id", "copies", "unit"]).take(pa.array(row)).append_column("cell", pa.array(cell + own + 1))
+
+    return run
+
+
+def small_cells(assigned: DataFrame, cell_rows: int, most_centres: int, sample_rows: int, margin: float, seed: int, large: int = 20, together: int = 20_000) -> DataFrame:
+    """assigned (id, copies, unit, cell) with the cells of more than large * cell_rows rows parted by centres of their own; together: rows parted in one task."""
+    sizes = assigned.groupBy("cell").count()
+    big = landed(sizes.filter(F.col("count") > large * cell_rows), "large-cells")
+    if big.isEmpty():
+        return assigned
+    big = big.withColumn("salts", F.ceil(F.col("count") / together).cast("int"))  # most_centres rows a width at most
+    rows = assigned.join(F.broadcast(big), "cell")
+    sample = rows.filter(F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.floor(F.col("count") / sample_rows))) == 0)
+    found = landed(sample.select("cell", "unit", "count").groupBy("cell").applyInArrow(_fitted(cell_rows, most_centres, seed), "cell long, centre array<double>"), "cell-centres")
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64(F.lit(1), "id"), F.col("salts")).cast("int")).select("cell", "salt", "id", "copies", "unit")
+    for_each = found.join(F.broadcast(big.select("cell", "salts")), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "centre")
+    parted = dealt.groupBy("cell", "salt").cogroup(for_each.groupBy("cell", "salt")).applyInArrow(_parted(margin), f"{ROW}, cell long")
+    return assigned.join(F.broadcast(big.select("cell")), "cell", "left_anti").select("id", "copies", "unit", "cell").unionByName(parted)
+
+
 def _earlier(columns: list, cell: int) -> list[np.ndarray]:
     """For each side, which of its classes are in which cells before this one; only cells that both sides have."""
     sides = []
@@ -129,12 +209,12 @@ def _join(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray, parent: np.
         joined += new
 
 
-def _pairs(width: int, threshold: float, rows: int = 1024):
+def _pairs(threshold: float, rows: int = 1024):
     """Links between two parts of a cell: how many vectors each class links to here, and a spanning forest of the links."""
 
     def run(key, left, right):
         cell, first, second = (k.as_py() for k in key)
-        same = first == second
+        same, width = first == second, cell >> WIDTH
         if not left.num_rows or not (same or right.num_rows):
             return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
         sides = [left] if same else [left, right]
@@ -170,32 +250,35 @@ def _pairs(width: int, threshold: float, rows: int = 1024):
 
 
 def near_duplicates(
-    vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, cell_rows: int = 500, most_centres: int = 1024, sample_rows: int = 20_000, margin: float = 0.12, most_cells: int | None = None, part_rows: int = 4_000, seed: int = 11
+    vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, cell_rows: int = 500, most_centres: int = 1024, sample_rows: int = 20_000, margin: float = 0.12, part_rows: int = 4_000, large: int = 20, seed: int = 11
 ) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) for every row of vectors. most_cells is taken for older callers and limits nothing."""
+    """(vec_id, n_links, component_id, kept) for every row of vectors."""
     spark = vectors.sparkSession
     ship(spark)
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
     classes = landed(classes_of(rows).withColumn("id", F.monotonically_increasing_id()), "vector-classes")
-    sizes = classes.groupBy(F.size("vector").alias("width")).count().orderBy(F.desc("count"), "width").first()
-    if sizes is None:
-        return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    width, total = sizes["width"], sizes["count"]
-    own_width = classes.filter(F.size("vector") == width).select("id", "class", "copies", "vector")
-    usable = landed(own_width.mapInArrow(_units(width), "id long, class long, copies long, unit array<double>"), "vector-units")
-    centre = centres(usable, max(1, min(most_centres, total // cell_rows)), sample_rows, seed)
-    sent = spark.sparkContext.broadcast((centre, cells_of(centre, margin)))  # most_centres rows at most
-    schema = "id long, copies long, unit array<double>, cells array<int>"
-    assigned = landed(usable.select("id", "copies", "unit").mapInArrow(_assigned(sent, margin), schema), "vector-cells")
-    in_cell = assigned.select("id", "copies", "unit", "cells", F.explode("cells").alias("cell"))
+    usable = landed(classes.select("id", "class", "copies", "vector").mapInArrow(_units, "id long, class long, copies long, width int, unit array<double>"), "vector-units")
+    counts = {r["width"]: r["count"] for r in usable.groupBy("width").count().filter(F.col("count") >= 2 * cell_rows).collect()}
+    found = {}
+    for width, count in counts.items():  # lengths that are common
+        centre = centres(usable.filter(F.col("width") == width), min(most_centres, count // cell_rows), sample_rows, seed)
+        found[width] = centre, cells_of(centre, margin)
+    sent = spark.sparkContext.broadcast(found)  # most_centres rows a length at most
+    assigned = landed(usable.select("id", "copies", "width", "unit").mapInArrow(_assigned(sent, margin), f"{ROW}, cell long"), "vector-cells")
+    in_cell = small_cells(assigned, cell_rows, most_centres, sample_rows, margin, seed, large)
+    in_cell = landed(in_cell.withColumn("cells", F.collect_list("cell").over(Window.partitionBy("id"))), "vector-cells")
+    discard(usable)
+    discard(assigned)
     parts = in_cell.groupBy("cell").count().select("cell", F.ceil(F.col("count") / part_rows).cast("int").alias("parts"))
-    dealt = in_cell.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))  # most_centres rows at most
+    several = F.broadcast(parts.filter("parts > 1"))  # one in part_rows rows at most
+    dealt = in_cell.join(several, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     pairs = F.sequence(F.lit(0), F.col("parts") - 1)
     left = dealt.withColumn("other", F.explode(pairs)).filter("part <= other").selectExpr("cell", "part as first", "other as second", "id", "copies", "unit", "cells")
     right = dealt.withColumn("other", F.explode(pairs)).filter("other < part").selectExpr("cell", "other as first", "part as second", "id", "copies", "unit", "cells")
     right = right.toDF(*right.columns)  # columns of its own, as both sides stem from one table
     key = ["cell", "first", "second"]
-    found = landed(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_pairs(width, threshold), "a long, b long, links long"), "vector-links")
+    found = landed(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(_pairs(threshold), "a long, b long, links long"), "vector-links")
+    discard(in_cell)
     links = found.filter("links is not null").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("links"))
     component = connected_components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "id")
     named = classes.select("id", "vector", "vec_id", "copies").join(links, "id", "left").join(component, "id", "left").withColumn("component", F.coalesce("component", "id"))

@@ -64,10 +64,10 @@ def test_cascade_is_exact_and_has_levels(spark, part_bytes, parts):
 
 
 def brute_links(rows, threshold=0.95):
-    usable = [i for i, (_, v) in enumerate(rows) if v and len(v) == 4 and all(x is not None and np.isfinite(x) for x in v) and any(v)]
-    units = np.array([np.array(rows[i][1], np.float32).astype(float) for i in usable])
-    units /= np.linalg.norm(units, axis=1, keepdims=True)
-    near = units @ units.T >= threshold
+    usable = [i for i, (_, v) in enumerate(rows) if v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    units = [np.array(rows[i][1], np.float32).astype(float) for i in usable]
+    units = [u / np.linalg.norm(u) for u in units]
+    near = np.array([[len(u) == len(v) and u @ v >= threshold for v in units] for u in units])
     links, up = [0] * len(rows), list(range(len(rows)))
 
     def root(i):
@@ -92,20 +92,40 @@ def vectors(seed):
     base = r.normal(size=(60, 4))
     rows = [(int(i), [float(x) for x in (base[i % 60] + (0.12 * r.normal(size=4) if i >= 60 else 0))]) for i in range(400)]
     rows += [(1000, None), (1001, [0.0] * 4), (1002, [float("nan"), 1.0, 1.0, 1.0]), (1003, [None, 1.0, 1.0, 1.0]), (1004, [1.0]), (1005, []), (None, rows[0][1]), (1006, [float("inf"), 0.0, 0.0, 1.0])]
+    rows += [(1100 + i, [float(x) for x in r.normal(size=2)]) for i in range(30)] + [(1200, [2.0]), (1201, [3.0]), (1202, [-1.0]), (1203, [2.0])]
     rows += [rows[3], rows[3], (1007, rows[4][1]), (1008, [x * 7 for x in rows[5][1]]), (1009, [1e-30, 0.0, 0.0, 0.0]), (1010, [1e30, 0.0, 0.0, 0.0])]
     return rows
 
 
-@pytest.mark.parametrize("part_rows", [4000, 30])
-def test_embeddings_match_brute_force(spark, part_rows):
+@pytest.mark.parametrize("part_rows, cell_rows, most_centres, large", [(4000, 60, 1024, 1000), (30, 12, 1024, 1000), (50, 8, 2, 4)])
+def test_embeddings_match_brute_force(spark, part_rows, cell_rows, most_centres, large):
     rows = vectors(2)
     table = spark.createDataFrame([(*r, "clash") for r in rows], "vec_id long, embedding array<float>, n_links string")
-    out = embeddings.near_duplicates(table, cell_rows=60, margin=3.0, most_cells=20, part_rows=part_rows).collect()
+    out = embeddings.near_duplicates(table, cell_rows=cell_rows, margin=3.0, part_rows=part_rows, most_centres=most_centres, large=large).collect()
     assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in out), key=str) == brute_links(rows)
     assert all(r["kept"] == (r["vec_id"] is not None and r["vec_id"] == r["component_id"]) for r in out)
     assert embeddings.near_duplicates(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most_centres", [1024, 8])
+def test_embedding_recall_of_every_twentieth_id(spark, most_centres):
+    """In cells of one level and of two, against all rows."""
+    r = np.random.default_rng(10)
+    base = r.normal(size=(9000, 32))
+    near = base[:6000] + r.uniform(0.1, 0.33, (6000, 1)) * r.normal(size=(6000, 32))  # cosines from 0.99 to below the threshold
+    both = np.concatenate([base, near]).astype(np.float32)
+    units = both.astype(float) / np.linalg.norm(both.astype(float), axis=1, keepdims=True)
+    queries_ = np.arange(0, len(both), 20)
+    want = (units[queries_] @ units.T >= 0.95).sum(1) - 1
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(both)], "vec_id long, embedding array<float>")
+    out = embeddings.near_duplicates(table, cell_rows=100, most_centres=most_centres, large=4)
+    found = {x["vec_id"]: x["n_links"] for x in out.filter("vec_id % 20 = 0").collect()}
+    have = np.array([found[int(q)] for q in queries_])
+    assert want.sum() > 300 and (have <= want).all()
+    print("recall", most_centres, have.sum() / want.sum())
+    assert have.sum() >= 0.9 * want.sum()
+
+
 def test_embedding_recall_with_production_parameters(spark):
     r = np.random.default_rng(8)
     base = r.normal(size=(2000, 64))
