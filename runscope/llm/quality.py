@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runscope.llm import arrays as A
-from runscope.llm.shared import beside_text, landed, ship, together
+from runscope.llm.shared import beside_text, discard, landed, ship, together
 
 #: Shares are of the text's bytes, words or lines.
 STATISTICS = (
@@ -179,7 +179,11 @@ def train(docs: DataFrame, labels: DataFrame, use: Column | None = None, doc_id:
     # most_rows ids at most: small enough to send to every task
     texts = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(F.broadcast(sample), "doc")
     rows = statistics(texts, F.col("label"), "int").withColumnRenamed("row", "label")
-    return fit(landed(rows, "labelled-statistics"))
+    rows = landed(rows, "labelled-statistics")
+    model = fit(rows)
+    discard(sample)
+    discard(rows)
+    return model
 
 
 def score(docs: DataFrame, model: RuleModel, row: Column, row_type: str, text: str = "text") -> DataFrame:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from runscope.llm.shared import landed
+from runscope.llm.shared import discard, landed
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -134,14 +134,18 @@ def build_cascade(keys: DataFrame, part_bytes: int = 1 << 20, later_rate: float
     keys = keys.withColumn("_part", part_of(F.col("key"), parts))
     members, others = keys.filter("listed").drop("listed"), keys.filter("not listed").drop("listed")
     levels: list[Level] = []
+    passed: list[DataFrame] = []
     while True:
         most = members.groupBy("_part").count().agg(F.max("count")).first()[0]
         if not most:
+            for table in passed:
+                discard(table)
             return Cascade(levels, parts)
         level = build_level(members, len(levels) + 1, most, rate, parts)
         levels.append(level)
         # a part that no longer has members has a level of zeros, which lets nothing through
         through = landed(passing(others, level, parts), "url-passed")
+        passed.append(through)
         members, others, rate = through, members, later_rate
 
 
@@ -162,7 +166,9 @@ def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, by: str = "hos
     rows = rows.withColumn("key", F.col("host") if by == "host" else F.concat("host", "path"))
     known = listed.select(F.col("key").cast("string").alias("key")).filter("key is not null").distinct().withColumn("listed", F.lit(True))
     keys = rows.select("key").distinct().join(known, "key", "left").select("key", F.coalesce("listed", F.lit(False)).alias("listed"))
-    cascade = build_cascade(landed(keys, "url-keys"), part_bytes)
+    keys = landed(keys, "url-keys")
+    cascade = build_cascade(keys, part_bytes)
+    discard(keys)
     rule, verdict = first_rule(F.col("host"), F.col("path"), rules)
     by_list = F.when(F.col("listed"), "block").otherwise("allow")
     judged = F.struct("host", "path", rule.alias("rule"), F.coalesce(verdict, by_list).alias("verdict"))

@@ -273,6 +273,61 @@ def test_quality_learns_rules(spark):
     assert quality.train(docs, labels.limit(0)).intercept == 0
 
 
+def brute_statistics(text):
+    raw = (text or "").encode()
+    blanks = bytes([0x20, *range(0x09, 0x0E)])
+    words = [w for w in re.split(b"[" + re.escape(blanks) + b"]+", raw) if w]
+    lines = [x for x in raw.split(b"\n") if x]
+    symbols = set(b"!\"#$%&'()*+-/:;<=>?@[\\]^_`{|}~")
+    share = lambda test: sum(map(test, raw)) / max(len(raw), 1)
+    of_words = lambda n: n / max(len(words), 1)
+    return {
+        "n_bytes": len(raw), "n_words": len(words), "n_lines": len(lines), "word_bytes": of_words(sum(map(len, words))), "line_words": len(words) / max(len(lines), 1),
+        "upper_share": share(lambda b: 65 <= b <= 90), "digit_share": share(lambda b: 48 <= b <= 57), "symbol_share": share(lambda b: b in symbols), "stop_share": of_words(raw.count(b".") + raw.count(b",")),
+        "wide_share": share(lambda b: b >= 128), "blank_share": share(lambda b: b in blanks), "repeated_word_share": of_words(sum(a == b for a, b in zip(words, words[1:]))),
+        "different_word_share": of_words(len(set(words))), "different_line_share": len(set(lines)) / max(len(lines), 1), "bare_word_share": of_words(sum(all(b in symbols for b in w) for w in words)),
+        "long_word_share": of_words(sum(len(w) > 20 for w in words)),
+    }
+
+
+def test_statistics_match_brute_force():
+    r = random.Random(14)
+    parts = ["word", "Word", "a.", "b,", "12", "!!", "--", "é", "日本", "x" * 25, "\x00", "_", " ", "  ", "\n", "\n\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "same same"]
+    texts_ = ["", None, " ", "\n", *("".join(r.choices(parts, k=r.randrange(60))) for _ in range(300))]
+    raw = [(t or "").encode() for t in texts_]
+    found = quality.statistics_of(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw])))
+    for text, row in zip(texts_, found):
+        want = brute_statistics(text)
+        assert tuple(want) == quality.STATISTICS
+        assert np.allclose(row, list(want.values()), rtol=1e-12), text
+
+
+def test_quality_query_matches_brute_force(spark, tmp_path):
+    """Every row's score from its rules in plain Python, and what the scores are worth on labels that were not learned from."""
+    r = random.Random(15)
+    plain = ["some", "plain", "words", "of", "prose,", "with", "many", "others.", "Here", "and", "there", "7"]
+    texts_ = [" ".join(r.choices(plain, k=r.randint(30, 80))) if i % 2 else " ".join(r.choices(["BUY!!", "$$$", "now", "now"], k=r.randint(10, 60))) for i in range(400)] + [None, "", "x"]
+    spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts_)], "doc_id long, text string, score string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2 if i % 10 else 1 - i % 2) for i in range(400)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    fits = quality.fit
+    models = []
+    quality.fit = lambda rows: models.append(fits(rows)) or models[-1]
+    try:
+        out = {x["doc_id"]: x for x in queries.op3_quality(spark, str(tmp_path)).collect()}
+    finally:
+        quality.fit = fits
+    (model,) = models
+    assert len(out) == len(texts_) and model.rules
+    for i, t in enumerate(texts_):
+        values = brute_statistics(t)
+        total = model.intercept + sum(w for rule, w in model.rules if all((values[n] <= limit) == low for n, low, limit in rule))
+        assert abs(out[i]["score"] - 1 / (1 + np.exp(-total))) < 1e-9 and out[i]["predicted"] == int(out[i]["score"] >= 0.3)
+        assert out[i]["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0)
+    held = [i for i in range(400) if out[i]["held_out"]]
+    ranked = [(out[a]["score"] > out[b]["score"]) + (out[a]["score"] == out[b]["score"]) / 2 for a in held if a % 2 for b in held if not b % 2]
+    assert sum(ranked) / len(ranked) > 0.99
+
+
 def test_statistics_of_small_texts():
     raw = b"Ab cd cd\n\nX!! 12"
     values = dict(zip(quality.STATISTICS, quality.statistics_of(np.frombuffer(raw, np.uint8), np.array([0, len(raw), len(raw)]))[0]))
