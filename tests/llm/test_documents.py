@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -168,9 +169,14 @@ def test_bit_sliced_distances():
     assert {(b, a) for a, b in pairs} == {(i, i + 100) for i in range(60)}
 
 
-def test_components_of_chains_and_hubs(spark):
+@pytest.mark.parametrize("most", [100_000, 20])
+def test_components_of_chains_and_hubs(spark, monkeypatch, most):
+    from runscope.llm import components
     from runscope.llm.components import connected_components
 
+    found = components._with_least
+    monkeypatch.setattr(components, "_with_least", lambda *x: found(*x, hub=most))
+
     chain = [(i, i + 1) for i in range(50)]
     hub = [(1000, 1001 + i) for i in range(200)]
     links = spark.createDataFrame(chain + hub + [(5, 5), (None, 3)], "a long, b long")
