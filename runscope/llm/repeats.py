@@ -34,11 +34,11 @@ from runscope.llm import arrays as A
 from runscope.llm.shared import landed, ship
 
 LAST_ID = (1 << 63) - 1
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Packed text that a task gathers before it is cut into blobs: neighbours in a blob overlap and so compress well.
 GATHER = 32 << 20
 #: Packed text that one bucket gets on average, and shuffle partitions that buckets are dealt over at most.
-BUCKET_BYTES, MOST_PARTITIONS = 16 << 20, 20_000
+BUCKET_BYTES, MOST_PARTITIONS = 8 << 20, 20_000
 #: Text in the sample: at least so many bytes, and at least this share of all.
 SAMPLE_BYTES, SAMPLE_SHARE = 16 << 20, 0.001
 #: Grams that are sent along as hot at most; others stay ordinary ones, which unbalances buckets only.

@@ -4,12 +4,14 @@ Suffixes are taken where a window of `width` bytes has its minimiser, the least
 content then have their suffix at one place in them, and about one suffix stands for ninety bytes of text, with the windows
 around it in one packed run (see repeats). All byte suffixes would shuffle some two hundred times the text.
 
-Sampled splitters range-partition the suffixes by their leading token, the first 8 bytes, into buckets. A bucket sorts its suffixes by
+Sampled splitters range-partition the suffixes by their leading token, the first 8 bytes; as many may share it, a range is dealt over
+WITHIN buckets by the minimiser, the first 16 bytes. A bucket sorts its suffixes by
 multikey quicksort, with 8 bytes as one character, and the texts before them, read backwards, in the same way. Common prefixes of
 neighbours in the two orders tell how far each suffix agrees with any other to the right and to the left, and so which windows can
 repeat; a window repeats if another suffix lies in the same interval of both orders: that of the prefixes of its right part and that of its
 left part. Nothing else decides, no window is hashed. Suffixes with one leading token are never parted by a splitter, so suffixes
-on two sides of a boundary differ in their first 8 bytes, and no window's two places are in two buckets.
+on two sides of a boundary differ in their first 8 bytes, and in two buckets of a range in their first 16: no window's two places
+are in two buckets.
 
 Inside a task the same is done for each slice of text before anything is sent.
 
@@ -113,15 +115,20 @@ def interval(shared: np.ndarray, depth: int) -> np.ndarray:
     return np.maximum.accumulate(np.where(shared < depth, np.arange(len(shared)), 0))
 
 
+#: Buckets that one range of leading tokens is dealt over by the minimiser, as many suffixes may share their first 8 bytes.
+WITHIN = 4
+
+
 def splitters(how: R.How, sizes: R.Sizes, hot, most: int = 200_000) -> np.ndarray:
-    """sizes.buckets - 1 leading tokens that part the suffixes evenly, from about `most` of the sample's at most."""
-    if sizes.buckets == 1:
+    """Leading tokens that part the suffixes evenly into sizes.buckets / WITHIN ranges, from about `most` of the sample's at most."""
+    ranges = -(-sizes.buckets // WITHIN)
+    if ranges == 1:
         return np.zeros(0, np.uint64)
     expected = sizes.bytes * sizes.share / 80
     leads = R.sampled_leads(how, sizes, hot)
     rows = (leads.sample(most / expected, seed=3) if expected > most else leads).collect()
     leads = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
-    return leads[(np.arange(1, sizes.buckets) * len(leads)) // sizes.buckets] if len(leads) else leads
+    return leads[(np.arange(1, ranges) * len(leads)) // ranges] if len(leads) else leads
 
 
 def _kept(width: int):
@@ -158,7 +165,8 @@ def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", t
     edges = context.broadcast(splitters(how, sizes, hot))  # 8 bytes for each bucket
 
     def bucket_of(units, key, anchor):
-        return np.searchsorted(edges.value, R.characters(units.plain)[anchor].astype(np.uint64), side="right")
+        part = np.searchsorted(edges.value, R.characters(units.plain)[anchor].astype(np.uint64), side="right")
+        return part * WITHIN + (key % np.uint64(WITHIN)).astype(np.int64)
 
     how = dataclasses.replace(how, bucket_of=bucket_of)
     spans = R.removed(docs, doc_id, text, how, sizes, hot, part=R.BUCKET_BYTES)
