@@ -462,11 +462,11 @@ class Sizes:
     share: float
 
     @classmethod
-    def of(cls, docs: DataFrame, text: str) -> Sizes:
+    def of(cls, docs: DataFrame, text: str, bucket_bytes: int | None = None) -> Sizes:
         size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
         share = min(1.0, max(SAMPLE_SHARE, SAMPLE_BYTES / max(size, 1)))
         texts = docs.select(F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("text"))
-        return cls(size, max(1, -(-3 * size // BUCKET_BYTES)), landed(texts.sample(share, seed=17) if share < 1 else texts, "repeats-sample"), share)
+        return cls(size, max(1, -(-3 * size // (bucket_bytes or BUCKET_BYTES))), landed(texts.sample(share, seed=17) if share < 1 else texts, "repeats-sample"), share)
 
 
 def _sampled(how: How, hot):

@@ -49,7 +49,7 @@ def _kept(width: int):
 
 def dedup(docs: DataFrame, row: Column, row_type: str, doc_id: str = "doc_id", text: str = "text", width: int = 50, gram: int = 5) -> DataFrame:
     """(row, kept as binary, n_words, n_removed, kept_sha256) for every document; row: what to carry along."""
-    sizes = R.Sizes.of(docs, text)
+    sizes = R.Sizes.of(docs, text, 2 * R.BUCKET_BYTES)  # a bucket is compared in parts of 1 MB, which takes little besides
     buckets = sizes.buckets
 
     def bucket_of(units, key, anchor):
