@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runscope.llm import decontaminate, embeddings, line_dedup, packing, quality, secrets, simhash, substrings, suffixes, url_filter
+from runscope.llm import decontaminate, embeddings, lexical, line_dedup, mixing, packing, quality, secrets, simhash, substrings, suffixes, url_filter, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).documents
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontaminate": op2_decontaminate,
@@ -109,6 +121,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_line_dedup": op9_line_dedup,
     "op10_packing": op10_packing,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
+    "op13_mixing": op13_mixing,
 }
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -145,5 +160,19 @@ j AS (SELECT k.doc_id, line, p, r.key IS NOT NULL AND first_doc < k.doc_id AS go
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
+""",
+    "op11_lexical_search": rf"""
+WITH dt AS (SELECT doc_id, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+it AS (SELECT item_id, unnest(regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+q AS (SELECT item_id, term, count(*) AS times FROM it GROUP BY item_id, term),
+d AS (SELECT doc_id, count(*) AS n FROM dt GROUP BY doc_id),
+s AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM d),
+p AS (SELECT doc_id, term, count(*) AS tf FROM dt WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s),
+m AS (SELECT doc_id, 75 + (25 * n * n_docs) // n_terms AS m FROM d, s),
+scores AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+           FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
 """,
 }
