@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,14 +33,53 @@ def number(value: Column, default: float = 0) -> Column:
     return F.coalesce(value, F.lit(default))
 
 
+@lru_cache(maxsize=1)
+def blanks() -> str:
+    """All characters that count as blank at the ends of a text."""
+    return "".join(c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace())
+
+
+@lru_cache(maxsize=1)
+def digits() -> tuple[str, str]:
+    """The decimal digits of all scripts but the first, and what they stand for."""
+    found = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
+    return "".join(found), "".join(str(unicodedata.decimal(c)) for c in found)
+
+
+def stripped(value: Column) -> Column:
+    """Without blanks of any kind at both ends."""
+    return F.btrim(value, F.lit(blanks()))
+
+
+#: Digits, single underscores between them allowed.
+DIGITS = r"\d+(?:_\d+)*"
+NUMBER = rf"^[+-]?(?:{DIGITS}\.?(?:{DIGITS})?|\.{DIGITS})(?:[eE][+-]?{DIGITS})?$"
+PLAIN = r"^[+-]?\d+(?:\.\d+)?$"
+
+
+def parse_number(value: Column) -> Column:
+    """The double that a text is, blanks around it aside; null if it is none.
+
+    Digits of any script, with underscores between them, a point, an exponent; or a signed inf, infinity or nan in any case. Suffixes
+    that a cast takes for a type (1d, 2f) make it no number.
+    """
+    in_ascii = value.rlike(r"^[\x00-\x7F]*$")
+    own = F.when(in_ascii, F.btrim(value, F.lit(" \t\n\x0b\x0c\r"))).otherwise(stripped(value))  # the separators 1C to 1F count as blanks in other texts only
+    ascii_ = F.when(in_ascii, own).otherwise(F.translate(own, *digits()))
+    name = F.lower(ascii_)
+    words = F.when(name.rlike(r"^\+?inf(?:inity)?$"), F.lit(float("inf"))).when(name.rlike(r"^-inf(?:inity)?$"), F.lit(float("-inf"))).when(name.rlike(r"^[+-]?nan$"), F.lit(float("nan")))
+    full = F.when(ascii_.rlike(NUMBER), F.replace(ascii_, F.lit("_"), F.lit("")).try_cast("double")).otherwise(words)
+    return F.when(value.rlike(PLAIN), value.try_cast("double")).otherwise(full)  # most are plain, and take one look
+
+
 def safe_double(value: Column) -> Column:
     """The number in a string, 0.0 if there is none."""
-    return F.coalesce(value.try_cast("double"), F.lit(0.0))
+    return F.coalesce(parse_number(value), F.lit(0.0))
 
 
 def percent(value: Column) -> Column:
-    """As safe_double, with a trailing percent sign allowed."""
-    return safe_double(F.rtrim(F.trim(value), F.lit("%")))
+    """As safe_double, with percent signs behind the number allowed."""
+    return F.when(value.rlike(PLAIN), value.try_cast("double")).otherwise(safe_double(F.rtrim(stripped(value), F.lit("%"))))
 
 
 def rounded(value: Column, digits: int) -> Column:
@@ -58,14 +101,58 @@ def rounded(value: Column, digits: int) -> Column:
     return F.when(F.abs(product) < 2.0**52, (floor + F.when(above, 1.0).otherwise(0.0)) / scale).otherwise(x)
 
 
+# ISO 8601 as far as it names a day: a calendar or week date, extended or basic, and, after any one character, a time with or without zone.
+_DAY = r"(?:(\d{4})-(\d\d)-(\d\d)|(\d{4})(\d\d)(\d\d)|(\d{4})-W(\d\d)(?:-(\d)(?!\d))?|(\d{4})W(\d\d)(?:(\d)(?=(?!\d)|\d(?:\d\d)*(?!\d))|(?!\d(?!\d)|\d\d(?:\d\d)*(?!\d))))"
+_CLOCK = r"(?:(\d\d)(?::(\d\d)(?::(\d\d))?)?(?:[.,](\d+))?|(\d\d)(\d\d)(\d\d)?(?:[.,](\d+))?)"
+STAMP = rf"(?s)^{_DAY}(?:.{_CLOCK}(?:([+-]){_CLOCK})?)?$"
+#: What the groups of STAMP stand for: the same field of either form in one place.
+FIELDS = "$1$4,$2$5,$3$6,$7$10,$8$11,$9$12,$13$17,$14$18,$15$19,$16$20,$21,$22$26,$23$27,$24$28,$25$29"
+COMMON = r"^(?!0000)\d{4}-\d\d-\d\d[T ]\d\d:[0-5]\d:[0-5]\d(?:\.\d{1,6})?"
+DAY_MICROS = 86_400_000_000
+
+
+def _week_day(year: Column, week: Column, day: Column) -> Column:
+    """Days since 1970 of a day in an ISO week; null if the year has no such week."""
+    monday = lambda y: F.unix_date(F.make_date(y, F.lit(1), F.lit(4))) - F.weekday(F.make_date(y, F.lit(1), F.lit(4)))  # noqa: E731  of the year's first week
+    at = monday(year) + (week - 1) * 7
+    return F.when(week.between(1, 53) & day.between(1, 7) & (at < monday(year + 1)), at + day - 1)
+
+
+def _clock(hour: Column, minute: Column, second: Column, fraction: Column) -> Column:
+    """Microseconds of a time of day; digits beyond them are cut."""
+    return ((number(hour) * 60 + number(minute)) * 60 + number(second)).cast("long") * 1_000_000 + F.rpad(F.substring(text(fraction), 1, 6), 6, "0").cast("long")
+
+
 def parse_timestamp(value: Column) -> Column:
-    """ISO 8601, extended or basic, with or without zone (UTC then); null if it is neither."""
-    return F.coalesce(F.try_to_timestamp(value), F.try_to_timestamp(value, F.lit("yyyyMMdd'T'HHmmssX")), F.try_to_timestamp(value, F.lit("yyyyMMdd'T'HHmmss")))
+    """ISO 8601 with a whole date, extended or basic, of a calendar or of weeks; without zone it is UTC. null if it is anything else.
+
+    Neither a time alone nor a year or month alone is a stamp, whatever a cast would make of it; a fraction may follow any part of the time
+    and is one of a second. What only slips of a parser take (a stray character before the zone, a fraction without point) is null too.
+    """
+    own = F.when(value.endswith("Z"), F.concat(value.substr(F.lit(1), F.length(value) - 1), F.lit("+00:00"))).otherwise(value)
+    fields = F.split(F.regexp_replace(own, STAMP, FIELDS), ",")
+    # a variable for the fields, so that the plan names them and doesn't repeat how they are found
+    full = F.transform(F.array(F.when(F.size(fields) == 15, fields)), _instant)[0]
+    # most stamps are of one form, and take one look
+    return F.when(value.rlike(COMMON + "Z$"), value.try_cast("timestamp")).when(value.rlike(COMMON + "$"), F.concat(value, F.lit("Z")).try_cast("timestamp")).when(own.rlike(STAMP), full)
+
+
+def _instant(fields: Column) -> Column:
+    """The timestamp of the fields of a stamp."""
+    part = [F.nullif(fields[i], F.lit("")).try_cast("int") for i in range(15)]
+    year, week_year, week, week_day, hour, minute, second = part[0], *part[3:9]
+    calendar = F.unix_date(F.concat_ws("-", fields[0], fields[1], fields[2]).try_cast("date"))
+    by_week = F.when(week_year >= 1, _week_day(week_year, week, F.coalesce(week_day, F.lit(1))))
+    days = F.when(year.isNotNull(), F.when(year >= 1, calendar)).otherwise(by_week)
+    zone = _clock(part[11], part[12], part[13], fields[14])
+    valid = days.between(-719162, 2932896) & (number(hour) < 24) & (number(minute) < 60) & (number(second) < 60) & (zone < DAY_MICROS)
+    local = days.cast("long") * DAY_MICROS + _clock(hour, minute, second, fields[9])
+    return F.when(valid, F.timestamp_micros(local - F.when(fields[10] == "-", -zone).otherwise(zone)))
 
 
 def duration_ms(start: Column, end: Column) -> Column:
-    """Whole milliseconds from start to end, both strings; 0 if one is missing or the end comes first."""
-    gap = F.floor((F.unix_micros(parse_timestamp(end)) - F.unix_micros(parse_timestamp(start))) / 1000)
+    """Whole milliseconds from start to end, both strings, of the seconds as a double; 0 if one is missing or the end comes first."""
+    gap = F.floor((F.unix_micros(parse_timestamp(end)) - F.unix_micros(parse_timestamp(start))) / 1e6 * 1000)
     return F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)).cast("long")
 
 

@@ -17,7 +17,7 @@ PLACEHOLDER = "example.invalid"
 
 def classify_status(status: Column, include_failed: bool = False) -> Column:
     """struct(label, category, included)."""
-    state = F.upper(F.trim(S.text(status)))
+    state = F.upper(S.stripped(S.text(status)))
 
     def of(label: str | Column, category: str, included: bool) -> Column:
         return F.struct((F.lit(label) if isinstance(label, str) else label).alias("label"), F.lit(category).alias("category"), F.lit(included).alias("included"))
@@ -33,8 +33,8 @@ def classify_status(status: Column, include_failed: bool = False) -> Column:
 
 def run_link(run_id: Column, workspace: Column, platform: Column, existing: Column) -> Column:
     """The given link unless it is a placeholder; else one into the platform's workspace; empty without organisation or platform."""
-    given, place = F.trim(S.text(existing)), F.trim(S.text(workspace))
-    base = F.rtrim(F.trim(S.text(platform)), F.lit("/"))
+    given, place = S.stripped(S.text(existing)), S.stripped(S.text(workspace))
+    base = F.rtrim(S.stripped(S.text(platform)), F.lit("/"))
     parts = F.split(place, "/", 2)
     made = F.concat(base, F.lit("/orgs/"), parts[0], F.lit("/workspaces/"), F.get(parts, 1), F.lit("/watch/"), run_id)
     usable = (given != "") & ~F.lower(given).contains(PLACEHOLDER)
