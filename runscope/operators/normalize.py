@@ -117,6 +117,10 @@ def normalize_tasks(raw: DataFrame) -> DataFrame:
 
 def normalize_metrics(raw: DataFrame) -> DataFrame:
     """One row for each process of each run, a column for each metric and statistic; a missing one is null."""
-    rows = raw.select(F.col("workflow.id").alias("run_id"), group_of(F.col("meta")).alias("group"), F.explode("metrics").alias("m"))
+    return metric_rows(raw.select(F.col("workflow.id").alias("run_id"), group_of(F.col("meta")).alias("group"), F.explode("metrics").alias("m")))
+
+
+def metric_rows(rows: DataFrame) -> DataFrame:
+    """(run_id, group, m: one process' metrics) to the metrics table."""
     stats = [F.col(f"m.{m}.{s}").alias(f"{m}_{s}") for m in schemas.METRICS for s in schemas.STATS]
     return rows.select("run_id", "group", S.text(F.col("m.process")).alias("process"), *stats)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
-from runscope.sources import schemas
+from runscope.sources import files, schemas
 from runscope.sources.order import file_order, ordinal_of
 
 # What each column of a manifest must look like.
@@ -60,13 +60,28 @@ def idle_api_runs(rows: DataFrame) -> int:
 
 
 def resolve_logs(rows: DataFrame, manifest_folder: str) -> DataFrame:
-    """rows with `logs_path` (relative paths are below the manifest's folder) and `logs_kind`: archive or directory."""
-    absolute = F.col("logs").startswith("/") | F.col("logs").rlike("^[a-z0-9]+://")
+    """rows with `logs_path` (relative paths are below the manifest's folder) and `logs_kind`, archive or directory, as the name has it.
+
+    A plan for paths that are not there yet; `probe_logs` asks the store.
+    """
+    absolute = F.col("logs").startswith("/") | F.col("logs").rlike("^[a-zA-Z][a-zA-Z0-9+.-]*:/")
     path = F.when(absolute, F.col("logs")).otherwise(F.concat(F.lit(manifest_folder.rstrip("/") + "/"), F.col("logs")))
     kind = F.when(F.lower("logs").rlike(r"\.(tar\.gz|tgz)$"), "archive").otherwise("directory")
     return rows.withColumns({"logs_path": path, "logs_kind": kind})
 
 
+def probe_logs(rows: DataFrame) -> DataFrame:
+    """rows of resolve_logs with the `logs_kind` that the store tells: directory, archive (any file) or missing. Tasks ask for the paths of their rows."""
+    found = files.with_kind(rows.drop("logs_kind"), F.col("logs_path"), "logs_kind")
+    return found.withColumn("logs_kind", F.when(F.col("logs_kind") == "file", "archive").otherwise(F.col("logs_kind")))
+
+
+def existing(rows: DataFrame) -> DataFrame:
+    """rows of probe_logs; one whose path is missing fails the job that reads them."""
+    missing = F.raise_error(F.concat(F.lit("no such file or folder: "), F.col("logs_path"))).cast("string")
+    return rows.withColumn("logs_kind", F.when(F.col("logs_kind") == "missing", missing).otherwise(F.col("logs_kind")))
+
+
 def meta(default_platform: str = "") -> Column:
     """The meta of an API run's document, from its manifest row."""
     return F.struct(
