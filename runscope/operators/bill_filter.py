@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
@@ -54,10 +55,22 @@ def with_synthetic_row(filtered: DataFrame) -> DataFrame:
 
 
 def write_filtered(filtered: DataFrame, path: str) -> None:
-    """The rows as Parquet; none at all is an error."""
-    if filtered.isEmpty():
+    """The rows as Parquet, in place of what path held; none at all is an error, and path stays as it was.
+
+    The bill is read once: rows are counted while they are written beside path, and the folder is renamed if there are any.
+    """
+    seen = Observation("rows")
+    beside = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    filtered.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(beside)
+    context = filtered.sparkSession.sparkContext
+    at = lambda p: context._jvm.org.apache.hadoop.fs.Path(p)
+    store = at(path).getFileSystem(context._jsc.hadoopConfiguration())
+    if not seen.get["n"]:
+        store.delete(at(beside), True)
         raise ValueError("no bill rows match the runs")
-    filtered.write.mode("overwrite").parquet(path)
+    store.delete(at(path), True)
+    if not store.rename(at(beside), at(path)):
+        raise OSError(f"{beside} was written, but can't be renamed to {path}")
 
 
 def summary(filtered: DataFrame) -> DataFrame:

@@ -59,11 +59,11 @@ def of_included(rows: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def last_by_run(rows: DataFrame, ordinal: str | None = None) -> DataFrame:
-    """One row for each run_id: the last by ordinal (by default the column of that name), or any one where there is no order."""
+    """One row for each run_id: the last by ordinal (by default the column of that name), or the greatest where there is no order."""
     ordinal = ordinal_of(rows, ordinal)
     names = [c for c in rows.columns if c not in ("run_id", "ordinal")]
     row = F.struct(*names)
-    pick = F.max_by(row, F.col(ordinal)) if ordinal else F.first(row)
+    pick = F.max_by(row, F.col(ordinal)) if ordinal else F.max(row)
     return rows.groupBy("run_id").agg(pick.alias("_r")).select("run_id", *[F.col("_r")[n].alias(n) for n in names])
 
 

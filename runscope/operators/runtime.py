@@ -20,9 +20,9 @@ def is_highlight(process: Column) -> Column:
 
 
 def process_runtime(tasks: DataFrame, runs: DataFrame, ordinal: str | None = None) -> DataFrame:
-    """Runtime, wait and number of COMPLETED tasks by panel and process. A run's pipeline is that of its last row."""
+    """Runtime, wait and number of COMPLETED tasks by panel and process. A run's pipeline is that of its last row, without an order the greatest."""
     ordinal = ordinal_of(runs, ordinal)
-    last = F.max_by("pipeline", ordinal) if ordinal else F.first("pipeline")
+    last = F.max_by("pipeline", ordinal) if ordinal else F.max("pipeline")
     names = runs.groupBy("run_id").agg(last.alias("_pipeline"))
     process = S.first_filled(F.col("process"), F.col("process_short"), F.lit("unknown"))
     pipeline = S.first_filled(F.col("_pipeline"), F.lit("unknown"))
@@ -52,22 +52,23 @@ def legend(rows: DataFrame) -> DataFrame:
     )
 
 
-def _nested(rows: DataFrame, name: str) -> DataFrame:
-    fields = ("process", "runtime_ms", "pct", "highlight")
-    listed = F.array_sort(F.collect_list(F.struct("rank", *fields)))
-    return rows.groupBy(*PANEL).agg(F.transform(listed, lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(name))
-
-
 def combined_runtime(per_process: DataFrame) -> DataFrame:
-    """One row for each panel: totals, segments, legend and highlight totals."""
-    rows = segments(per_process)
-    totals = rows.groupBy(*PANEL).agg(
+    """One row for each panel: totals, segments, legend and highlight totals. A panel is one aggregation of its processes, sorted inside it."""
+    sums = per_process.withColumn("highlight", is_highlight(F.col("process"))).groupBy(*PANEL).agg(
         F.sum("runtime_ms").alias("total_runtime_ms"), F.sum("wait_ms").alias("scheduling_runtime_ms"), F.sum(F.col("runtime_ms") + F.col("wait_ms")).alias("total_duration_ms"),
         F.sum("n_tasks").alias("total_tasks"), F.count("*").alias("unique_processes"), F.sum(F.when(F.col("highlight"), F.col("runtime_ms")).otherwise(0)).alias("_qc"),
+        F.array_sort(F.collect_list(F.struct((-F.col("runtime_ms")).alias("_order"), "process", "runtime_ms", "highlight"))).alias("_own"),
     )
-    out = totals.join(_nested(rows, "segments"), list(PANEL)).join(_nested(legend(rows), "legend"), list(PANEL))
-    split = F.struct(F.col("_qc").alias("qc_runtime_ms"), (F.col("total_runtime_ms") - F.col("_qc")).alias("other_runtime_ms"))
+    total = F.col("total_runtime_ms")
+    share = lambda ms: S.rounded(ms / total * 100.0, 2)
+    shown = lambda x: F.struct(x["process"].alias("process"), x["runtime_ms"].alias("runtime_ms"), share(x["runtime_ms"]).alias("pct"), x["highlight"].alias("highlight"))
+    small = F.aggregate(F.slice("_own", LEGEND + 1, F.greatest(F.size("_own") - LEGEND, F.lit(0))), F.lit(0).cast("long"), lambda a, x: a + x["runtime_ms"])
+    name = F.concat(F.lit("Other ("), (F.size("_own") - LEGEND).cast("string"), F.lit(" small processes)"))
+    other = F.struct(name.alias("process"), F.col("_small").alias("runtime_ms"), share(F.col("_small")).alias("pct"), F.lit(False).alias("highlight"))
+    split = F.struct(F.col("_qc").alias("qc_runtime_ms"), (total - F.col("_qc")).alias("other_runtime_ms"))
+    top = F.slice("segments", 1, LEGEND)
+    out = sums.filter(total > 0).withColumn("segments", F.transform("_own", shown)).withColumn("_small", small)
     return out.select(
         *PANEL, F.concat_ws("::", *PANEL).alias("panel_id"), "total_runtime_ms", "scheduling_runtime_ms", "total_duration_ms", "total_tasks", "unique_processes",
-        "segments", "legend", split.alias("highlight_totals"),
+        "segments", F.when(F.size("_own") > LEGEND, F.concat(top, F.array(other))).otherwise(top).alias("legend"), split.alias("highlight_totals"),
     )

@@ -41,7 +41,7 @@ def manifest_scan(spark, sf_dir):
 
 
 def idle_runs(spark, sf_dir):
-    return spark.range(1).select(F.lit(M.idle_api_runs(manifest_file(spark, sf_dir)[0])).cast("long").alias("n_api_runs"))
+    return M.idle_api_runs(manifest_file(spark, sf_dir)[0])
 
 
 def written_documents(spark: SparkSession, docs: DataFrame) -> str:
@@ -98,10 +98,10 @@ def run_archives(spark, sf_dir):
 
 
 def attached_meta(spark, sf_dir):
-    """Documents without meta take that of their manifest row; of rows with one id the last."""
+    """Documents without meta take that of their manifest row, which gives each seventh no group; of rows with one id the last."""
     orders = D.table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    rows = orders.filter(key % 7 != 0).select(key.cast("string").alias("id"), F.lit("org/ws").alias("workspace"), F.when(key % 2 == 0, F.col("o_orderpriority")).alias("group"), F.when(key % 3 == 0, "https://own.test").alias("platform"), F.lit("T").alias("token_env"), F.lit(1).alias("ordinal"))
+    rows = orders.select(key.cast("string").alias("id"), F.lit("org/ws").alias("workspace"), F.when((key % 2 == 0) & (key % 7 != 0), F.col("o_orderpriority")).alias("group"), F.when(key % 3 == 0, "https://own.test").alias("platform"), F.lit("T").alias("token_env"), F.lit(1).alias("ordinal"))
     again = rows.filter(F.col("id").cast("long") % 5 == 0).withColumns({"workspace": F.lit("org/later"), "ordinal": F.lit(2)})
     docs = D.documents(spark, sf_dir).withColumn("meta", F.lit(None).cast(schemas.META))
     out = M.attach_meta(docs, again.unionByName(rows), "https://default.test")
@@ -154,6 +154,32 @@ def bundle_report(spark, sf_dir):
     return build_report(written_bundle(spark, sf_dir))["task_instance_usage"]
 
 
+#: What tells the rows of a section apart, in the report's order.
+KEYS = {
+    "benchmark_overview": ["pipeline", "group", "run_id", "status"], "run_summary": ["group", "run_id", "workspace"], "run_metrics": ["group", "run_id", "duration"], "run_costs": ["group", "run_id"],
+    "process_stats": ["group", "process_name", "n_tasks"], "task_instance_usage": ["group", "machine_type", "count"], "task_table": ["Group", "Task name", "Run ID"], "task_scatter": ["process_short", "run_id", "name"],
+    "cost_overview": ["group", "process_short"], "combined_task_runtime": ["pipeline", "group", "unique_processes"],
+}
+
+
+def report_object(spark, sf_dir):
+    """The report as one JSON object, written in parts and read back as a stream: each section's rows in their order."""
+    path = new_folder(spark, "report_data") + ".json"
+    bundle.write_report(ordered(build_report(tables_in_order(spark, sf_dir))), path)
+    rows = bundle.read_report(spark, path)
+    key = F.lit(None).cast("string")
+    for name, fields in KEYS.items():
+        key = F.when(F.col("section") == name, F.concat_ws("|", *[F.get_json_object("body", f"$['{f}']") for f in fields])).otherwise(key)
+    return rows.select("section", F.col("place").alias("row_number"), key.alias("key"))
+
+
+def panel_fields(spark, sf_dir):
+    """Every field of every segment and legend entry of the panels, as they are nested."""
+    out = build_report(D.tables(spark, sf_dir))["combined_task_runtime"]
+    each = lambda name: out.select("panel_id", F.lit(name).alias("list"), F.posexplode(name).alias("place", "e"))
+    return each("segments").unionByName(each("legend")).select("panel_id", "list", F.col("place").cast("long").alias("place"), "e.process", F.col("e.runtime_ms").cast("long").alias("runtime_ms"), "e.pct", "e.highlight")
+
+
 def bill_scan(spark, sf_dir):
     folder = new_folder(spark, "bill")
     D.bill(spark, sf_dir).write.parquet(folder)
@@ -244,7 +270,7 @@ def same(*names: str) -> dict[str, str]:
 QUERIES = {
     "manifest_scan": manifest_scan, "idle_runs": idle_runs, "run_documents": run_documents, "run_merge": run_merge, "run_archives": run_archives, "attached_meta": attached_meta,
     "workspace_lookup": workspace_lookup, "machine_files": machine_files, "bundle_runs": bundle_runs, "bundle_tables": bundle_tables, "bundle_report": bundle_report, "bill_scan": bill_scan,
-    "bill_sink": bill_sink, "last_machine_row": last_machine_row, "last_pipeline_row": last_pipeline_row, "rounding": rounding, "capacity_report": capacity_report,
+    "bill_sink": bill_sink, "last_machine_row": last_machine_row, "last_pipeline_row": last_pipeline_row, "rounding": rounding, "capacity_report": capacity_report, "report_object": report_object, "panel_fields": panel_fields,
     "ordered_overview": in_order("benchmark_overview", same("pipeline", "group", "run_id", "status")),
     "ordered_summary": in_order("run_summary", same("group", "run_id", "workspace")),
     "ordered_metrics": in_order("run_metrics", same("group", "run_id", "duration")),

@@ -197,8 +197,8 @@ BODIES |= {
     "run_documents": documents_of("coalesce(floor(ct), 0)", "coalesce(n, 0)"),
     "run_merge": documents_of("coalesce(floor(ct), 0)", "coalesce(n, 0)"),
     "run_archives": documents_of("cpu_time_ms", "0"),
-    "attached_meta": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'org/later' ELSE 'org/ws' END AS workspace, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE 'default' END AS "group",
-      CASE WHEN o_orderkey % 3 = 0 THEN 'https://own.test' ELSE 'https://default.test' END AS platform, 'T' AS token_env FROM orders WHERE o_orderkey % 7 <> 0""",
+    "attached_meta": """SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 5 = 0 THEN 'org/later' ELSE 'org/ws' END AS workspace, CASE WHEN o_orderkey % 2 = 0 AND o_orderkey % 7 <> 0 THEN o_orderpriority ELSE 'default' END AS "group",
+      CASE WHEN o_orderkey % 3 = 0 THEN 'https://own.test' ELSE 'https://default.test' END AS platform, 'T' AS token_env FROM orders""",
     "workspace_lookup": """SELECT c_name AS id, 'org' || (c_custkey % 7) || '/' || c_mktsegment AS workspace, CASE WHEN c_custkey % 7 < 5 THEN CAST(c_custkey % 7 * 100 + length(c_mktsegment) AS BIGINT) END AS workspace_id FROM customer""",
     "machine_files": "SELECT * FROM machines",
     "bundle_runs": f"SELECT * EXCLUDE (duration_ms, succeeded, failed, cached, cpu_time_ms, read_bytes, write_bytes), {big('duration_ms succeeded failed cached cpu_time_ms read_bytes write_bytes')}, CAST(NULL AS BIGINT) AS n_machines FROM runs",
@@ -226,4 +226,28 @@ BODIES |= {
     "ordered_cost_overview": in_order('"group", process_short, total_cost', 'total_cost DESC, "group", process_short', f"({BODIES['cost_overview']})"),
     "ordered_panels": in_order('pipeline, "group", CAST(n AS BIGINT) AS total_tasks', 'pipeline, "group"', "(SELECT pipeline, \"group\", sum(n_tasks) AS n FROM segments WHERE total > 0 GROUP BY 1, 2)"),
 }
+
+
+def _object() -> str:
+    """The rows of all sections with their place and key."""
+    kept = {
+        "benchmark_overview": ("concat_ws('|', pipeline, \"group\", run_id, status)", f'pipeline, "group", {INPUT_ORDER}', "classed"),
+        "run_summary": ("concat_ws('|', \"group\", run_id, workspace)", f'"group", {INPUT_ORDER}', "classed"),
+        "run_metrics": ("concat_ws('|', \"group\", run_id, CAST(duration_ms AS BIGINT))", f'"group", {INPUT_ORDER}', "classed WHERE report_included"),
+        "run_costs": ("concat_ws('|', \"group\", run_id)", f'"group", {INPUT_ORDER}', f"({BODIES['run_costs']})"),
+        "process_stats": ("concat_ws('|', \"group\", process_name, n_tasks)", 'a DESC, "group", process_name', """(SELECT "group", process AS process_name, count(*) AS n_tasks, avg(realtime_ms / 60000) AS a FROM own WHERE status = 'COMPLETED' GROUP BY 1, 2)"""),
+        "task_instance_usage": ("concat_ws('|', \"group\", machine_type, \"count\")", '"group", "count" DESC, machine_type', f"({BODIES['task_instance_usage']})"),
+        "task_table": ("concat_ws('|', \"group\", name, run_id)", '"group", process_short, name, run_id', "own"),
+        "task_scatter": ("concat_ws('|', process_short, run_id, name)", "process_short, run_id, name", "own"),
+        "cost_overview": ("concat_ws('|', \"group\", process_short)", 'total_cost DESC, "group", process_short', f"({BODIES['cost_overview']})"),
+        "combined_task_runtime": ("concat_ws('|', pipeline, \"group\", n)", 'pipeline, "group"', '(SELECT pipeline, "group", count(*) AS n FROM segments WHERE total > 0 GROUP BY 1, 2)'),
+    }
+    return " UNION ALL ".join(f"SELECT '{name}' AS section, row_number() OVER (ORDER BY {by}) AS row_number, {key} AS \"key\" FROM {rows}" for name, (key, by, rows) in kept.items())
+
+
+BODIES["report_object"] = _object()
+BODIES["panel_fields"] = " UNION ALL ".join(
+    f"""SELECT pipeline || '::' || "group" AS panel_id, '{name}' AS list, CAST(rank - 1 AS BIGINT) AS place, process, CAST(runtime_ms AS BIGINT) AS runtime_ms, {half_even("runtime_ms / total * 100", 2)} AS pct, highlight
+      FROM {rows} WHERE total > 0""" for name, rows in (("segments", "segments"), ("legend", "legend"))
+)
 ORACLES = {name: TABLES + body for name, body in BODIES.items()}

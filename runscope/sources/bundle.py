@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from runscope.sources import schemas
+from runscope.sources import files, parts, schemas
+from runscope.sources.folders import new_folder
 from runscope.sources.order import ORDINAL, file_order
 
 
@@ -51,3 +54,83 @@ def report_document(sections: dict[str, DataFrame | None], most_rows: int = 200_
             raise ValueError(f"{name} has more than {most_rows} rows: write it with write_sections")
         out[name] = rows
     return json.dumps(out, default=str)
+
+
+def _joined(target: str, sections: dict[str, list[str] | None], piece: int = 1 << 20):
+    """Streams the sections' files, JSON lines in order, into one object; its rows are separated by commas where lines end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, name = files.located(target)
+        with store.open_output_stream(name) as out:
+            for i, (section, paths) in enumerate(sections.items()):
+                out.write((b", " if i else b"{") + json.dumps(section).encode() + b": " + (b"null" if paths is None else b"["))
+                between = b""
+                for path in paths or ():
+                    own, file = files.located(path)
+                    with own.open_input_stream(file, compression=None) as lines:
+                        held = b""  # the last line's end is no separator
+                        while data := lines.read(piece):
+                            whole = held + data
+                            held = b"\n" if whole.endswith(b"\n") else b""
+                            out.write(between + (whole[: len(whole) - len(held)]).replace(b"\n", b",\n"))
+                            between = b""
+                        between = b",\n" if held or between else b""
+                if paths is not None:
+                    out.write(b"]")
+            out.write(b"}" if sections else b"{}")
+        for batch in batches:
+            yield batch
+
+    return run
+
+
+def write_report(sections: dict[str, DataFrame | None], path: str) -> None:
+    """All sections as one JSON object in the file path, in the order of their rows.
+
+    Each section is encoded in parallel, a part of its order a task; one task then streams the parts into the file, some MB at a time,
+    so neither it nor the driver holds a section. A section that is None is null, one without rows an empty list. The file is complete
+    or not there: it is renamed when all has been written.
+    """
+    spark = next((s for s in sections.values() if s is not None)).sparkSession
+    folder, named = new_folder(spark, "report-parts"), {}
+    for name, section in sections.items():
+        if section is None:
+            named[name] = None
+            continue
+        section.write.option("ignoreNullFields", False).json(f"{folder}/{name}")
+        store, at = files.located(f"{folder}/{name}")
+        found = [f for f in store.get_file_info(files.fs.FileSelector(at)) if f.base_name.startswith("part-") and f.size]
+        named[name] = [f"{folder}/{name}/{f.base_name}" for f in sorted(found, key=lambda f: int(f.base_name.split("-")[1]))]
+    written = f"{path}.{folder.rsplit('-', 1)[1]}"
+    spark.range(0, 1, 1, 1).mapInArrow(_joined(written, named), "id long").collect()
+    store, name = files.located(written)
+    store.move(name, files.located(path)[1])
+
+
+def _sections(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            store, name = files.located(path)
+            with store.open_input_stream(name, compression=None) as stream:
+                rows, places = [], {}
+                for section, _, body in parts.fields(stream, lists=None):
+                    places[section] = places.get(section, 0) + 1
+                    rows.append((section, places[section], body))
+                    if len(rows) == parts.BATCH_ROWS:
+                        yield _section_batch(rows)
+                        rows = []
+                yield _section_batch(rows)
+
+    return run
+
+
+def _section_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.string(), pa.int64(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["section", "place", "body"])
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """(section, place: from 1, body: a row's JSON) of a file of write_report, read as a stream; a section that is null has one row with the body null."""
+    return spark.range(0, 1, 1, 1).mapInArrow(_sections(path), "section string, place long, body string")

@@ -21,5 +21,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that is not taken."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that is not taken, below a folder of this application, which goes when the application ends."""
+    context = spark.sparkContext
+    home = f"{shared_folder(spark)}/runscope-{context.applicationId}"
+    where = context._jvm.org.apache.hadoop.fs.Path(home)
+    store = where.getFileSystem(context._jsc.hadoopConfiguration())
+    if store.mkdirs(where):
+        store.deleteOnExit(where)
+    return f"{home}/{name}-{uuid.uuid4().hex}"

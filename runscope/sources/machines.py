@@ -12,16 +12,23 @@ from runscope.sources.order import file_order
 def read_machines(spark: SparkSession, folder: str) -> DataFrame:
     """All rows of a folder's *.csv as strings, columns by name; missing ones are null.
 
-    Spark binds CSV columns by place, so files are grouped by their header line and each header is read for itself. Lines are
-    streamed and of each file's first block only the first stays. Headers are few; the driver, which lists the files to read them
-    anyway, gets their paths with them.
+    Lines are split into cells where they are read, whatever their file, and each cell is looked up by its file's header, which meets
+    the lines by the file's path: a table of one row for each file. The driver learns one number, the most cells of a header. A file's
+    header is its first line that is not blank; blank lines are none; of columns with one name the last counts; cells that a header
+    doesn't name are ignored.
     """
     lines = spark.read.option("pathGlobFilter", "*.csv").text(folder).select("value", F.col("_metadata.file_path").alias("path"), file_order().alias("ordinal"))
-    heads = lines.filter("ordinal.block = 0").groupBy("path").agg(F.min_by("value", "ordinal.row").alias("value"))
-    heads = heads.select(F.regexp_replace("value", "^\ufeff|\r$", "").alias("header"), "path")
-    out = None
-    for row in heads.filter("header <> ''").groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
-        rows = spark.read.option("header", True).csv(row["paths"])
-        rows = rows.select(*[(F.col(f"`{n}`") if n in rows.columns else F.lit(None)).cast("string").alias(n) for n in schemas.MACHINE_ROWS])
-        out = rows if out is None else out.unionByName(rows)
-    return spark.createDataFrame([], ", ".join(f"{n} string" for n in schemas.MACHINE_ROWS)) if out is None else out
+    lines = lines.withColumn("value", F.regexp_replace("value", "^\ufeff|\r$", "")).filter(F.trim("value") != "")
+    first = F.struct("ordinal.block", "ordinal.row")
+    heads = lines.groupBy("path").agg(F.min(F.struct(first.alias("at"), "value")).alias("head")).select(F.col("path").alias("_path"), "head.*")
+    most = heads.agg(F.max(F.length("value") - F.length(F.replace("value", F.lit(","), F.lit(""))))).first()[0]
+    if most is None:
+        return spark.createDataFrame([], ", ".join(f"{n} string" for n in schemas.MACHINE_ROWS))
+    names = [f"c{i}" for i in range(most + 1)]
+    cells = lambda c: F.from_csv(F.col(c), ", ".join(f"{n} string" for n in names))
+    known = heads.withColumn("_cells", cells("value")).select("_path", "at", F.reverse(F.array(*[F.col("_cells")[n] for n in names])).alias("header"))
+    at = {n: F.when(F.array_position("header", F.lit(n)) > 0, len(names) + 1 - F.array_position("header", F.lit(n))) for n in schemas.MACHINE_ROWS}
+    known = known.select("_path", "at", *[c.cast("int").alias(f"_{n}") for n, c in at.items()])
+    rows = lines.join(known, F.col("path") == F.col("_path")).filter(F.struct("ordinal.block", "ordinal.row") != F.col("at"))
+    split = rows.withColumn("_row", cells("value")).withColumn("_row", F.array(*[F.col("_row")[n] for n in names]))
+    return split.select(*[F.get("_row", F.col(f"_{n}") - 1).alias(n) for n in schemas.MACHINE_ROWS])

@@ -54,9 +54,9 @@ def route(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return rows.filter(~external), rows.filter(external & has_logs), rows.filter(external & ~has_logs)
 
 
-def idle_api_runs(rows: DataFrame) -> int:
-    """How many API runs a manifest names, to warn of when no report is asked for."""
-    return route(rows)[0].count()
+def idle_api_runs(rows: DataFrame) -> DataFrame:
+    """(n_api_runs): how many API runs a manifest names, to warn of when no report is asked for."""
+    return route(rows)[0].agg(F.count("*").alias("n_api_runs"))
 
 
 def resolve_logs(rows: DataFrame, manifest_folder: str) -> DataFrame:
@@ -91,8 +91,9 @@ def meta(default_platform: str = "") -> Column:
 
 
 def attach_meta(documents: DataFrame, rows: DataFrame, default_platform: str = "") -> DataFrame:
-    """Run documents of API runs with the meta of their manifest rows; documents that no row names are dropped."""
+    """Run documents of API runs with the meta of their manifest rows; documents that no row names are dropped. Of rows with one id
+    the last counts, without an order the greatest."""
     own = rows.select(F.col("id").alias("_id"), meta(default_platform).alias("_meta"), *(["ordinal"] if ordinal_of(rows) else []))
-    last = F.max_by("_meta", "ordinal") if ordinal_of(rows) else F.first("_meta")
+    last = F.max_by("_meta", "ordinal") if ordinal_of(rows) else F.max("_meta")
     named = own.filter("_id is not null").groupBy("_id").agg(last.alias("_meta"))
     return documents.join(named, F.col("workflow.id") == F.col("_id")).withColumn("meta", F.col("_meta")).drop("_id", "_meta")

@@ -138,7 +138,7 @@ def test_manifest(spark, tmp_path):
     assert {r["id"]: r["errors"] for r in rejected.collect()} == {"x": ["id"], "runAAAAAAAA4": ["workspace"]}
     api, external, dropped = manifest.route(valid)
     assert [[r["id"][-1] for r in x.orderBy("id").collect()] for x in (api, external, dropped)] == [["2"], ["1", "5"], ["3"]]
-    assert manifest.idle_api_runs(valid) == 1
+    assert manifest.idle_api_runs(valid).first()[0] == 1
     paths = {r["id"][-1]: (r["logs_path"], r["logs_kind"]) for r in manifest.resolve_logs(external, "/data/").collect()}
     assert paths == {"1": ("/data/logs/a.tar.gz", "archive"), "5": ("/abs/dir", "directory")}
 
@@ -245,3 +245,62 @@ def test_entry_works_without_the_subpackage(monkeypatch):
     names = set(entry.queries())
     assert "run_costs" in names and not any(n.startswith("op") or n == "pipeline" for n in names)
     assert set(entry.oracle_sql()) <= names
+
+
+def test_machine_headers_are_looked_up_in_tasks(spark, tmp_path):
+    (tmp_path / "bom.csv").write_bytes("\ufeffvcpus,run_id,vcpus,unknown\r\n".encode() + b'1,r1,"2",x\r\n\r\n3,"r,2"\r\n4,r3,5,6,7,8\r\n')
+    (tmp_path / "only_header.csv").write_text("run_id,vcpus\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "other.txt").write_text("run_id\nno\n")
+    (tmp_path / "same.csv").write_text("run_id,vcpus\nrun_id,vcpus\n")  # a row that looks like the header
+    rows = machines.read_machines(spark, str(tmp_path))
+    assert rows.columns == schemas.MACHINE_ROWS
+    assert sorted((r["run_id"], r["vcpus"] or "") for r in rows.collect()) == [("r,2", ""), ("r1", "2"), ("r3", "5"), ("run_id", "vcpus")]
+
+
+def test_many_machine_files_of_few_headers(spark, tmp_path):
+    for i in range(300):
+        (tmp_path / f"m{i}.csv").write_text(["run_id,vcpus\n{0},1\n", "vcpus,run_id\n2,{0}\n", "x,y,run_id,vcpus\n,,{0},3\n"][i % 3].format(f"r{i}"))
+    rows = machines.read_machines(spark, str(tmp_path))
+    assert {(r["run_id"], r["vcpus"]) for r in rows.collect()} == {(f"r{i}", str(i % 3 + 1)) for i in range(300)}
+
+
+def test_report_is_one_object_written_in_parts(spark, tmp_path):
+    path = str(tmp_path / "report.json")
+    many = spark.range(0, 5000, 1, 7).select("id", F.concat(F.lit('ü"\\\n,'), F.col("id").cast("string")).alias("text"), F.when(F.col("id") % 2 == 0, F.col("id") / 4).alias("half"))
+    sections = {"many": many.orderBy(F.desc("id")), "none": None, "empty": many.limit(0), "one": many.filter("id = 7"), 'odd "name': many.filter("id < 2").orderBy("id").select(F.array("id").alias("list"), F.struct("id").alias("s"))}
+    bundle.write_report(sections, path)
+    with open(path) as file:
+        got = json.load(file)
+    assert list(got) == list(sections) and got["none"] is None and got["empty"] == [] and got["one"] == [{"id": 7, "text": 'ü"\\\n,7', "half": None}]
+    assert [r["id"] for r in got["many"]] == list(range(4999, -1, -1)) and got["many"][-3] == {"id": 2, "text": 'ü"\\\n,2', "half": 0.5}
+    assert got['odd "name'] == [{"list": [0], "s": {"id": 0}}, {"list": [1], "s": {"id": 1}}]
+    rows = bundle.read_report(spark, path).collect()
+    assert [(r["section"], r["place"], json.loads(r["body"])) for r in rows] == [(n, i, x) for n, v in got.items() for i, x in enumerate([None] if v is None else v, 1)]
+    bundle.write_report({"one": many.filter("id = 8")}, path)  # takes the place of the other
+    with open(path) as file:
+        assert [r["id"] for r in json.load(file)["one"]] == [8]
+    assert [p.name for p in tmp_path.iterdir()] == ["report.json"]
+
+
+def test_a_filtered_bill_is_read_once_and_takes_its_place_when_it_has_rows(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(x):
+        read.add(1)
+        return x
+
+    bill = spark.range(10).select(F.udf(seen, "long")("id").alias("id"))
+    path = str(tmp_path / "bill")
+    bf.write_filtered(bill, path)
+    assert read.value == 10 and spark.read.parquet(path).count() == 10
+    with pytest.raises(ValueError, match="no bill rows"):
+        bf.write_filtered(bill.filter("id > 100"), path)
+    assert spark.read.parquet(path).count() == 10
+    bf.write_filtered(bill.filter("id > 7"), path)
+    assert spark.read.parquet(path).count() == 2 and len(list(tmp_path.iterdir())) == 1
+
+
+def test_folders_of_an_application_are_below_one(spark):
+    one, two = folders.new_folder(spark, "a"), folders.new_folder(spark, "a")
+    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0] and spark.sparkContext.applicationId in one
