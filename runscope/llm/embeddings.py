@@ -1,16 +1,17 @@
 """Embedding near-dedup: spherical k-means cells, blocked cosine products inside cells, one representative for each group.
 
 Equal vectors are one class, compared once; vectors of different lengths never link, so all that follows is done for each length by
-itself. K-means with cosine distance is fitted on at most `sample_rows` classes, for `most_centres` centres at most. Centres that are
-nearer to each other than the margin (cosine over 1 - `margin`, also through others) make one cell, so that a large group of near
-copies, which k-means splits over many almost equal centres, stays together. Every class is then assigned to the cell of its nearest
-centre and to all cells with a centre nearly as near (cosine at most `margin` less), so that pairs on both sides of a border meet; no
-number of cells is too many. A cell with more than `large` times `cell_rows` classes is parted in the same way by centres of its own,
-fitted on at most `sample_rows` of its classes; so cells stay small as the table grows, up to most_centres^2 of them. A cell is cut into
-blocks of `part_rows`, and each pair of blocks is a task of its own, so a cell that holds most rows is spread over the cluster. A
-pair that meets in several cells counts in the first of them only. Products are in double precision: no pair below the threshold is
-linked. Pairs are found with high probability, not surely; inside a group of near copies the work is the number of its pairs, which
-n_links counts.
+itself. Cells are of directions from the common mean: embeddings mostly share one, and without it they all look alike. K-means with
+cosine distance is fitted on those directions of at most `sample_rows` classes, for `most_centres` centres at most. Centres within the
+`margin` of an earlier one are a cell with it, so that a large group of near copies, which k-means splits over many almost equal centres,
+stays together; they are not chained. Every class is assigned to the cell of its nearest centre and to the cells with a centre nearly as
+near (cosine at most `margin` less, divided by the share of a vector's square that the mean leaves), so that pairs on both sides of a
+border meet, but to no more than `most_cells` of them, the nearest. A cell with more than `large` times `cell_rows` classes is parted in
+the same way by centres of its own, fitted on at most `sample_rows` of its classes; so cells stay small as the table grows, up to
+most_centres^2 of them. A cell is cut into blocks of `part_rows`, and each pair of blocks is a task of its own, so a cell that holds most
+rows is spread over the cluster. A pair that meets in several cells counts in the first of them only. Products are of the vectors
+themselves, in double precision: no pair below the threshold is linked. Pairs are found with high probability, not surely; inside a group
+of near copies the work is the number of its pairs, which n_links counts.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; a null vec_id takes part in
 links, but is a component's id only if all of its ids are null; repeated rows are vectors of their own; other columns are ignored; an
@@ -20,11 +21,13 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,12 +57,36 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "class", "copies")), pa.array(sizes.astype(np.int32)), unit], names=["id", "class", "copies", "width", "unit"])
 
 
-def centres(classes: DataFrame, cells: int, sample_rows: int, seed: int) -> np.ndarray:
-    """Unit centres of spherical k-means on a bounded sample, the first by a hash."""
-    sample = landed(classes.orderBy(F.xxhash64("class", F.lit(seed)), "class").limit(sample_rows).select(array_to_vector("unit").alias("features")), "vector-sample")
-    model = KMeans(k=cells, distanceMeasure="cosine", maxIter=8, seed=seed).fit(sample)
+@dataclass
+class Cells:
+    """Of a width: the common mean, how near a cell is near enough, unit centres of the directions from the mean, and the cell of each centre."""
+
+    mean: np.ndarray
+    margin: float
+    centre: np.ndarray
+    cell: np.ndarray
+
+    def near(self, units: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        return cells_near(away(units, self.mean), self.centre, self.cell, self.margin, most)
+
+
+def away(units: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Directions of unit rows from a mean; the mean itself has none and stays zero."""
+    return unit_rows(units - mean)
+
+
+def cells_for(classes: DataFrame, cells: int, sample_rows: int, margin: float, seed: int) -> Cells:
+    """Cells of spherical k-means on a bounded sample, the first by a hash."""
+    sample = landed(classes.orderBy(F.xxhash64("class", F.lit(seed)), "class").limit(sample_rows).select("unit"), "vector-sample")
+    mean = np.array(sample.select(Summarizer.mean(array_to_vector("unit"))).first()[0].toArray())
+    apart = F.zip_with("unit", F.array(*[F.lit(float(x)) for x in mean]), lambda a, b: a - b)
+    rows = sample.select(apart.alias("unit")).filter(F.exists("unit", lambda x: x != 0)).select(array_to_vector("unit").alias("features"))
+    if rows.isEmpty():  # all alike
+        return Cells(mean, margin, np.zeros((1, len(mean))), np.zeros(1, np.int64))
+    model = KMeans(k=cells, distanceMeasure="cosine", maxIter=8, seed=seed).fit(rows)
     discard(sample)
-    return unit_rows(np.array(model.clusterCenters()))
+    centre = unit_rows(np.array(model.clusterCenters()))
+    return Cells(mean, margin / max(1 - float(mean @ mean), 1e-6), centre, cells_of(centre, margin))
 
 
 def unit_rows(values: np.ndarray) -> np.ndarray:
@@ -83,9 +110,13 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 
 def cells_of(centre: np.ndarray, margin: float) -> np.ndarray:
-    """The cell of each centre: those within the margin of each other, directly or through others, share one."""
-    a, b = np.nonzero(centre @ centre.T >= 1 - margin)
-    return _roots(forest(len(centre), a, b)[0])
+    """The cell of each centre: that of the first centre within the margin which has a cell of its own, else its own."""
+    near = centre @ centre.T >= 1 - margin
+    cell = np.arange(len(centre))
+    for i in range(1, len(centre)):
+        own = np.flatnonzero(near[i, :i] & (cell[:i] == np.arange(i)))
+        cell[i] = own[0] if len(own) else i
+    return cell
 
 
 def _roots(parent: np.ndarray) -> np.ndarray:
@@ -94,15 +125,19 @@ def _roots(parent: np.ndarray) -> np.ndarray:
     return parent
 
 
-def cells_near(values: np.ndarray, centre: np.ndarray, cell: np.ndarray, margin: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, cell) for each unit row and each cell with a centre at most `margin` of cosine farther than its nearest, in the order of rows."""
+def cells_near(values: np.ndarray, centre: np.ndarray, cell: np.ndarray, margin: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, cell) for each unit row and each cell with a centre at most `margin` of cosine farther than its nearest, the `most` nearest at most, in the order of rows."""
     order = np.argsort(cell, kind="stable")
     named, first = np.unique(cell[order], return_index=True)
     rows, cells = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for i in range(0, len(values), 1024):
         near = values[i : i + 1024] @ centre.T
         best = np.maximum.reduceat(near[:, order], first, axis=1)  # of a cell's centres
-        row, own = np.nonzero(best >= near.max(1, keepdims=True) - margin)
+        inside = best >= near.max(1, keepdims=True) - margin
+        if best.shape[1] > most:
+            beyond = np.argpartition(-best, most, axis=1)[:, most:]
+            inside[np.arange(len(best))[:, None], beyond] = False
+        row, own = np.nonzero(inside)
         rows.append(row + i)
         cells.append(named[own])
     return np.concatenate(rows), np.concatenate(cells)
@@ -113,7 +148,7 @@ WIDTH, CELL = 40, 20
 ROW = "id long, copies long, unit array<double>"
 
 
-def _assigned(sent, margin: float):
+def _assigned(sent, most_cells: int):
     """(id, copies, width, unit) -> (id, copies, unit, cell): a row for each cell; a width without centres is one cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,20 +158,20 @@ def _assigned(sent, margin: float):
                 at = np.flatnonzero(widths == width)
                 row, cell = np.arange(len(at)), np.zeros(len(at), np.int64)
                 if width in sent.value:
-                    row, cell = cells_near(_matrix(batch.column("unit").take(pa.array(at)), width), *sent.value[width], margin)
+                    row, cell = sent.value[width].near(_matrix(batch.column("unit").take(pa.array(at)), width), most_cells)
                 own = batch.take(pa.array(at[row])).select(["id", "copies", "unit"])
                 yield pa.RecordBatch.from_arrays([*own.columns, pa.array((width << WIDTH) + (cell << CELL))], names=["id", "copies", "unit", "cell"])
 
     return run
 
 
-def _fitted(cell_rows: int, most_centres: int, seed: int):
+def _fitted(sent, cell_rows: int, most_centres: int, seed: int):
     """A cell's sample (unit, count: of its rows) -> its centres, one row each."""
 
     def run(key, table):
         cell = key[0].as_py()
         width, count = cell >> WIDTH, table["count"][0].as_py()
-        values = _matrix(table["unit"].combine_chunks(), width)
+        values = away(_matrix(table["unit"].combine_chunks(), width), sent.value[width].mean)
         found = own_centres(values, min(most_centres, len(values), count // cell_rows), seed)
         unit = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * width, found.ravel())
         return pa.table({"cell": pa.array(np.full(len(found), cell)), "centre": unit})
@@ -144,7 +179,7 @@ def _fitted(cell_rows: int, most_centres: int, seed: int):
     return run
 
 
-def _parted(margin: float):
+def _parted(sent, margin: float, most_cells: int):
     """The rows of a large cell (a part of them) and its centres -> its rows by cells inside it."""
 
     def run(key, rows, table):
@@ -153,13 +188,14 @@ def _parted(margin: float):
             return rows.select(["id", "copies", "unit", "cell"])
         width = cell >> WIDTH
         centre = _matrix(table["centre"].combine_chunks(), width)
-        row, own = cells_near(_matrix(rows["unit"].combine_chunks(), width), centre, cells_of(centre, margin), margin)
+        known = sent.value[width]
+        row, own = Cells(known.mean, known.margin, centre, cells_of(centre, margin)).near(_matrix(rows["unit"].combine_chunks(), width), most_cells)
         return rows.select(["id", "copies", "unit"]).take(pa.array(row)).append_column("cell", pa.array(cell + own + 1))
 
     return run
 
 
-def small_cells(assigned: DataFrame, cell_rows: int, most_centres: int, sample_rows: int, margin: float, seed: int, large: int = 20, together: int = 20_000) -> DataFrame:
+def small_cells(assigned: DataFrame, sent, most_cells: int, cell_rows: int, most_centres: int, sample_rows: int, margin: float, seed: int, large: int = 20, together: int = 20_000) -> DataFrame:
     """assigned (id, copies, unit, cell) with the cells of more than large * cell_rows rows parted by centres of their own; together: rows parted in one task."""
     sizes = assigned.groupBy("cell").count()
     big = landed(sizes.filter(F.col("count") > large * cell_rows), "large-cells")
@@ -168,10 +204,10 @@ def small_cells(assigned: DataFrame, cell_rows: int, most_centres: int, sample_r
     big = big.withColumn("salts", F.ceil(F.col("count") / together).cast("int"))  # most_centres rows a width at most
     rows = assigned.join(F.broadcast(big), "cell")
     sample = rows.filter(F.pmod(F.xxhash64("id"), F.greatest(F.lit(1), F.floor(F.col("count") / sample_rows))) == 0)
-    found = landed(sample.select("cell", "unit", "count").groupBy("cell").applyInArrow(_fitted(cell_rows, most_centres, seed), "cell long, centre array<double>"), "cell-centres")
+    found = landed(sample.select("cell", "unit", "count").groupBy("cell").applyInArrow(_fitted(sent, cell_rows, most_centres, seed), "cell long, centre array<double>"), "cell-centres")
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64(F.lit(1), "id"), F.col("salts")).cast("int")).select("cell", "salt", "id", "copies", "unit")
     for_each = found.join(F.broadcast(big.select("cell", "salts")), "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "centre")
-    parted = dealt.groupBy("cell", "salt").cogroup(for_each.groupBy("cell", "salt")).applyInArrow(_parted(margin), f"{ROW}, cell long")
+    parted = dealt.groupBy("cell", "salt").cogroup(for_each.groupBy("cell", "salt")).applyInArrow(_parted(sent, margin, most_cells), f"{ROW}, cell long")
     return assigned.join(F.broadcast(big.select("cell")), "cell", "left_anti").select("id", "copies", "unit", "cell").unionByName(parted)
 
 
@@ -250,7 +286,7 @@ def _pairs(threshold: float, rows: int = 1024):
 
 
 def near_duplicates(
-    vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, cell_rows: int = 500, most_centres: int = 1024, sample_rows: int = 20_000, margin: float = 0.12, part_rows: int = 4_000, large: int = 20, seed: int = 11
+    vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, cell_rows: int = 500, most_centres: int = 1024, sample_rows: int = 20_000, margin: float = 0.12, most_cells: int = 8, part_rows: int = 4_000, large: int = 20, seed: int = 11
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of vectors."""
     spark = vectors.sparkSession
@@ -261,11 +297,10 @@ def near_duplicates(
     counts = {r["width"]: r["count"] for r in usable.groupBy("width").count().filter(F.col("count") >= 2 * cell_rows).collect()}
     found = {}
     for width, count in counts.items():  # lengths that are common
-        centre = centres(usable.filter(F.col("width") == width), min(most_centres, count // cell_rows), sample_rows, seed)
-        found[width] = centre, cells_of(centre, margin)
+        found[width] = cells_for(usable.filter(F.col("width") == width), min(most_centres, count // cell_rows), sample_rows, margin, seed)
     sent = spark.sparkContext.broadcast(found)  # most_centres rows a length at most
-    assigned = landed(usable.select("id", "copies", "width", "unit").mapInArrow(_assigned(sent, margin), f"{ROW}, cell long"), "vector-cells")
-    in_cell = small_cells(assigned, cell_rows, most_centres, sample_rows, margin, seed, large)
+    assigned = landed(usable.select("id", "copies", "width", "unit").mapInArrow(_assigned(sent, most_cells), f"{ROW}, cell long"), "vector-cells")
+    in_cell = small_cells(assigned, sent, most_cells, cell_rows, most_centres, sample_rows, margin, seed, large)
     in_cell = landed(in_cell.withColumn("cells", F.collect_list("cell").over(Window.partitionBy("id"))), "vector-cells")
     discard(usable)
     discard(assigned)
