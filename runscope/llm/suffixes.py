@@ -9,7 +9,8 @@ WITHIN buckets by the minimiser, the first 16 bytes. A bucket sorts its suffixes
 multikey quicksort, with 8 bytes as one character, and the texts before them, read backwards, in the same way. Common prefixes of
 neighbours in the two orders tell how far each suffix agrees with any other to the right and to the left, and so which windows can
 repeat; a window repeats if another suffix lies in the same interval of both orders: that of the prefixes of its right part and that of its
-left part. Nothing else decides, no window is hashed. Suffixes with one leading token are never parted by a splitter, so suffixes
+left part. The orders decide in every slice and bucket; what a task has sent before is known to it again by a hash and then its bytes
+(`repeats.Seen`), which spares sending it for each slice. Suffixes with one leading token are never parted by a splitter, so suffixes
 on two sides of a boundary differ in their first 8 bytes, and in two buckets of a range in their first 16: no window's two places
 are in two buckets.
 
@@ -27,10 +28,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
 from runscope.llm import arrays as A
 from runscope.llm import repeats as R
+from runscope.llm.shared import discard, landed
 
 
 def multikey_sort(text: np.ndarray, suffixes: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,16 +122,33 @@ def interval(shared: np.ndarray, depth: int) -> np.ndarray:
 WITHIN = 4
 
 
-def splitters(how: R.How, sizes: R.Sizes, hot, most: int = 200_000) -> np.ndarray:
-    """Leading tokens that part the suffixes evenly into sizes.buckets / WITHIN ranges, from about `most` of the sample's at most."""
+def splitters(how: R.How, sizes: R.Sizes, hot, each: int = 200) -> np.ndarray:
+    """Leading tokens that part the suffixes evenly into sizes.buckets / WITHIN ranges, of about `each` leads a range of the sample."""
     ranges = -(-sizes.buckets // WITHIN)
     if ranges == 1:
         return np.zeros(0, np.uint64)
     expected = sizes.bytes * sizes.share / 80
     leads = R.sampled_leads(how, sizes, hot)
-    rows = (leads.sample(most / expected, seed=3) if expected > most else leads).collect()
-    leads = np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
-    return leads[(np.arange(1, ranges) * len(leads)) // ranges] if len(leads) else leads
+    return parted(leads.sample(each * ranges / expected, seed=3) if expected > each * ranges else leads, ranges)
+
+
+def parted(leads: DataFrame, ranges: int) -> np.ndarray:
+    """Edges that part numbers (one column of longs, their bits unsigned) into ranges of like sizes.
+
+    They are sorted by Spark, and the driver gets the edges alone, 8 bytes a range: so there are as many ranges as the input asks for.
+    """
+    name = leads.columns[0]
+    shifted = leads.select(F.col(name).bitwiseXOR(F.lit(-(1 << 63))).alias("lead"))  # signed order of these is unsigned order
+    ordered = landed(shifted.orderBy("lead").withColumn("at", F.monotonically_increasing_id()), "leads")
+    part = F.shiftright("at", 33)
+    sums = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    total = sums.agg(F.sum("n")).first()[0] or 0
+    before = sums.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    place = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    cut = lambda x: F.floor(x * ranges / total)  # noqa: E731  the range of a place
+    edges = ordered.join(before, part == F.col("part")).filter((place > 0) & (cut(place) > cut(place - 1))).select("lead").collect() if total else []
+    discard(ordered)
+    return np.sort(np.array([r[0] ^ -(1 << 63) for r in edges], np.int64).view(np.uint64))
 
 
 def _kept(width: int):

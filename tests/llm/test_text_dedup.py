@@ -321,3 +321,20 @@ def test_cuckoo_filter():
     again = line_dedup.CuckooFilter.read(own.blob())
     assert again.contains(hi[2000:4000], lo[2000:4000]).all()
     assert again.contains(hi[:2000], lo[:2000]).mean() < 0.01
+
+
+def test_splitters_are_as_many_as_ranges(spark):
+    """Edges of far more ranges than the driver would want numbers of a sample for; bits of the numbers are unsigned."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from runscope.llm import suffixes
+
+    leads = spark.range(0, 1_000_000, 1, 8).select(F.xxhash64("id").alias("lead"))
+    edges = suffixes.parted(leads, 300_000)
+    assert len(edges) == 299_999 and (edges[1:] >= edges[:-1]).all()
+    every = np.sort(np.array([r[0] for r in leads.collect()], np.int64).view(np.uint64))
+    sizes = np.diff(np.concatenate([[0], np.searchsorted(every, edges), [len(every)]]))
+    assert sizes.min() >= 3 and sizes.max() <= 4
+    few = suffixes.parted(spark.createDataFrame([(1,), (1,), (1,), (-1,)], "lead long"), 2)
+    assert few.tolist() == [1] and suffixes.parted(leads.limit(0), 5).tolist() == []
