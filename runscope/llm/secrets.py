@@ -1,7 +1,8 @@
 """Secret scan: long key-like strings are candidates; a random forest removes the false positives.
 
 A candidate is a whole run of letters, digits and `_+/-` of 16 characters or more, with up to two closing `=`, that holds a digit, or
-a small letter before a capital, or 24 characters. All runs of a word are candidates, each numbered in the word; what stands before one
+a small letter before a capital, or 24 letters on end: names of words joined by `_`, `-` or `/` are none. In a word with `://` a `/` parts
+runs, so that no host is taken with its path for a key. All runs of a word are candidates, each numbered in the word; what stands before one
 in its word (a name, a path, another candidate) is kept apart from it as its lead.
 
 Features of a candidate: its length; shares of digits and upper-case letters; its changes between kinds of characters; how many of its
@@ -28,8 +29,12 @@ from pyspark.sql import functions as F
 
 from runscope.llm.shared import landed
 
-C = "[A-Za-z0-9_+/-]"
-RUN = rf"(?<!{C})(?={C}{{16}})(?={C}*?[0-9]|{C}*?[a-z][A-Z]|{C}{{24}}){C}+(?:={{1,2}}(?![A-Za-z0-9_+/=-]))?"
+def run_of(c: str) -> str:
+    """A candidate in characters c, as the docstring has it."""
+    return rf"(?<!{c})(?={c}{{16}})(?={c}*?[0-9]|{c}*?[a-z][A-Z]|{c}*?[A-Za-z]{{24}}){c}+(?:={{1,2}}(?![A-Za-z0-9_+/=-]))?"
+
+
+RUN, RUN_IN_URL = run_of("[A-Za-z0-9_+/-]"), run_of("[A-Za-z0-9_+-]")
 NAMES = r"(?i)(token|secret|passw|pwd|api_?key|apikey|credential|bearer|auth)"
 EXAMPLE_PATH = r"(?i)(test|example|sample|mock|fixture|doc|vendor|\.lock|\.min\.)"
 SECRET_PATH = r"(?i)(secret|config|settings|deploy|\.env|\.pem|\.key)"
@@ -48,15 +53,18 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path
     """
     words = F.split(F.trim(F.regexp_replace(F.col(text), r"\s+", " ")), " ")
     own = docs.filter(F.length(text) >= 16).select(F.col(doc_id).alias("doc_id"), F.col(path).alias("path"), words.alias("words"))
-    found = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("word"), w.alias("token"))), lambda x: (F.length(x["token"]) >= 16) & x["token"].rlike(RUN))
+    found = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("word"), w.alias("token"))), lambda x: (F.length(x["token"]) >= 16) & x["token"].rlike(RUN_IN_URL + "|" + RUN))
     near = lambda x, k: F.coalesce(F.get("words", x["word"] + k), F.lit(""))
     # neighbours are looked up before the explode, so that no row carries a whole text
     with_near = F.transform(found, lambda x: F.struct(x["word"].alias("word"), x["token"].alias("token"), near(x, -2).alias("before2"), near(x, -1).alias("before1"), near(x, 1).alias("after1")))
     rows = own.select("doc_id", "path", F.explode(with_near).alias("at")).select("doc_id", "path", "at.*")
     # the word is cut behind each candidate; a lookbehind sees only its own piece, which begins where a run has ended
-    pieces = F.regexp_extract_all("token", F.lit(f"(?s).*?{RUN}"), F.lit(0))
-    rows = rows.withColumn("pieces", pieces).select("doc_id", "path", "word", F.posexplode("pieces").alias("part", "piece"), "pieces", "before2", "before1", "after1")
-    rows = rows.withColumn("candidate", F.regexp_extract("piece", f"({RUN})$", 1))
+    is_url = F.col("token").contains("://")
+    cut = lambda run: F.regexp_extract_all("token", F.lit(f"(?s).*?{run}"), F.lit(0))
+    pieces = F.when(is_url, cut(RUN_IN_URL)).otherwise(cut(RUN))
+    rows = rows.withColumns({"pieces": pieces, "is_url": is_url}).select("doc_id", "path", "word", F.posexplode("pieces").alias("part", "piece"), "pieces", "is_url", "before2", "before1", "after1")
+    last = lambda run: F.regexp_extract("piece", f"({run})$", 1)
+    rows = rows.withColumn("candidate", F.when(F.col("is_url"), last(RUN_IN_URL)).otherwise(last(RUN)))
     before = F.concat(F.array_join(F.slice("pieces", 1, F.col("part")), ""), F.expr("left(piece, length(piece) - length(candidate))"))
     return rows.select("doc_id", "path", "word", "part", "candidate", before.alias("lead"), "before2", "before1", "after1")
 
