@@ -108,7 +108,7 @@ class Mix:
 
 
 def mix(
-    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most_epochs: int = 3, block_words: int = 4096, slice_rows: int = 50_000, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source"
+    docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most_epochs: int = 3, block_words: int = 4096, slice_rows: int = 5_000, seed: int = 17, doc_id: str = "doc_id", text: str = "text", source: str = "source"
 ) -> Mix:
     spark = docs.sparkSession
     ship(spark)
