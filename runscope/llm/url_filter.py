@@ -3,8 +3,9 @@
 Cascade: level 1 is a Bloom filter of the listed keys, level 2 one of the unlisted keys of the corpus that level 1 lets through,
 level 3 one of the listed keys that level 2 lets through, and so on until a level lets nothing wrong through. The first level that a
 key misses tells whether it is listed, exactly for every key of the corpus, and no row meets the list. Keys are dealt by a hash to as
-many parts as keep each part's filters within `part_bytes` a level, each part with all levels of its own keys; a single part
-reaches the rows as scalar subqueries, several are met by part.
+many parts as keep each part's filters within `part_bytes` a level, each part with all levels of its own keys. Filters reach the rows as
+scalar subqueries, TOGETHER parts at once at most; a larger cascade judges the rows of one group of parts after the other. No row is
+shuffled, however many parts there are.
 
 All of it is DataFrame functions: hosts and paths, the bits of each level (bit_or of 64-bit words) and the lookups (getbit).
 
@@ -16,13 +17,17 @@ tables give empty results. Of rules of equal length the one named first wins.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from runscope.llm.shared import discard, landed
 
+#: Parts whose filters a task holds at once.
+TOGETHER = 64
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,6 +72,14 @@ class Level:
     hashes: int
     words: DataFrame
 
+    def of_row(self, first: int, parts: int) -> Column:
+        """The words of a row's part (_part), which is one of the TOGETHER from first on."""
+        if parts == 1:
+            return self.words.select("words").scalar()
+        own = self.words.filter(F.col("_part").between(first, first + TOGETHER - 1))
+        every = own.agg(F.transform(F.array_sort(F.collect_list(F.struct("_part", "words"))), lambda x: x["words"]).alias("words"))
+        return F.get(every.scalar(), F.col("_part") - first)
+
     def holds(self, key: Column, words: Column) -> Column:
         out = F.lit(True)
         for place in places(key, self.number, self.bits, self.hashes):
@@ -103,26 +116,27 @@ class Cascade:
     levels: list[Level]
     parts: int
 
-    def with_listed(self, rows: DataFrame, key: str, name: str, salts: int = 8) -> DataFrame:
+    def with_listed(self, rows: DataFrame, key: str, name: str) -> DataFrame:
         """rows with a column `name`: whether their key, a key of the corpus, is listed: by the first level that it misses, an even one if it is.
 
-        Filters of one part reach the rows as scalar subqueries. Those of several have a row for each part; rows are dealt to them by
-        part, and by a salt within it, as one key may stand in most rows. Columns named _part, _salt and _words* are taken.
+        Filters reach the rows as scalar subqueries, TOGETHER parts of them at a time, and never by a join. Rows of more parts are judged
+        a group of parts after the other, each written before the next filters are read. A column named _part is taken.
         """
-        words = {level.number: f"_words{level.number}" for level in self.levels}
-        if self.parts == 1:
-            column = {level.number: level.words.select("words").scalar() for level in self.levels}
-        else:
-            column = {n: F.col(w) for n, w in words.items()}
-            rows = rows.withColumns({"_part": part_of(F.col(key), self.parts), "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")})
-            filters = self.levels[0].words.withColumnRenamed("words", words[1])
-            for level in self.levels[1:]:
-                filters = filters.join(level.words.withColumnRenamed("words", words[level.number]), "_part")
-            rows = rows.join(filters.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["_part", "_salt"])
-        out = F.lit(len(self.levels) % 2 == 1)
-        for level in reversed(self.levels):
-            out = F.when(level.holds(F.col(key), column[level.number]), out).otherwise(F.lit(level.number % 2 == 0))
-        return rows.withColumn(name, out).drop("_part", "_salt", *words.values())
+        out = []
+        for own, column in grouped(rows.withColumn("_part", part_of(F.col(key), self.parts)), self.levels, self.parts):
+            listed = F.lit(len(self.levels) % 2 == 1)
+            for level in reversed(self.levels):
+                listed = F.when(level.holds(F.col(key), column(level)), listed).otherwise(F.lit(level.number % 2 == 0))
+            judged = own.withColumn(name, listed).drop("_part")
+            out.append(judged if self.parts <= TOGETHER else landed(judged, "url-judged"))
+        return reduce(DataFrame.unionByName, out)
+
+
+def grouped(rows: DataFrame, levels: list[Level], parts: int) -> Iterator[tuple[DataFrame, Callable[[Level], Column]]]:
+    """For each TOGETHER parts, the rows (with _part) of those, and a function that gives a level's words for a row."""
+    for first in range(0, parts, TOGETHER):
+        own = rows if parts <= TOGETHER else rows.filter(F.col("_part").between(first, first + TOGETHER - 1))
+        yield own, lambda level, first=first: level.of_row(first, parts)
 
 
 def build_cascade(keys: DataFrame, part_bytes: int = 1 << 20, later_rate: float = 1 / 32) -> Cascade:
@@ -151,9 +165,7 @@ def build_cascade(keys: DataFrame, part_bytes: int = 1 << 20, later_rate: float
 
 def passing(keys: DataFrame, level: Level, parts: int) -> DataFrame:
     """The keys (key, _part) that a level lets through."""
-    if parts == 1:
-        return keys.filter(level.holds(F.col("key"), level.words.select("words").scalar()))
-    return keys.join(level.words, "_part").filter(level.holds(F.col("key"), F.col("words"))).drop("words")
+    return reduce(DataFrame.unionByName, [own.filter(level.holds(F.col("key"), column(level))) for own, column in grouped(keys, [level], parts)])
 
 
 def judge(pages: DataFrame, rules: list[Rule], listed: DataFrame, by: str = "host", url: str = "url", part_bytes: int = 1 << 20) -> DataFrame:

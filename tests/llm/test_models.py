@@ -53,12 +53,15 @@ def test_urls_match_brute_force(spark, by, part_bytes):
     assert url_filter.judge(pages.limit(0), RULES, listed, by, part_bytes=part_bytes).count() == 0
 
 
-@pytest.mark.parametrize("part_bytes, parts", [(1 << 20, 1), (100, 4)])
-def test_cascade_is_exact_and_has_levels(spark, part_bytes, parts):
+@pytest.mark.parametrize("part_bytes, parts, together", [(1 << 20, 1, 64), (100, 4, 64), (40, 4, 2)])
+def test_cascade_is_exact_and_has_levels(spark, monkeypatch, part_bytes, parts, together):
+    monkeypatch.setattr(url_filter, "TOGETHER", together)
     keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 20 == 0).alias("listed"))
     cascade = url_filter.build_cascade(keys, part_bytes, later_rate=0.5)
     assert len(cascade.levels) > 3 and (cascade.parts > 1) == (parts > 1)
-    assert cascade.with_listed(keys, "key", "found").filter("found <> listed").count() == 0
+    found = cascade.with_listed(keys, "key", "found")
+    assert found.count() == 3000 and found.filter("found <> listed").count() == 0
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
     none = url_filter.build_cascade(keys.limit(0))
     assert none.levels == [] and none.with_listed(keys, "key", "found").filter("found").count() == 0
 
