@@ -76,12 +76,12 @@ def run_costs(included: DataFrame, attributed: DataFrame, has_costs: bool) -> Da
     used_cost and unused_cost are null if the bill had no rows at all.
     """
     order = ["ordinal"] if "ordinal" in included.columns else []
-    keys = included.select("run_id", "group", *order).unionByName(attributed.select("run_id", "group").distinct(), allowMissingColumns=True)
-    keys = keys.groupBy("run_id", "group").agg(F.min("ordinal").alias("ordinal")) if order else keys.distinct()
+    runs = included.groupBy("run_id", "group").agg(F.min("ordinal").alias("ordinal")) if order else included.select("run_id", "group").distinct()
+    # tasks are read once: their sums have the pairs of run and group that no run has
     sums = attributed.groupBy("run_id", "group").agg(F.sum("total").alias("cost"), F.sum("used").alias("used_cost"), F.sum("unused").alias("unused_cost"))
     known = lambda c: S.rounded(F.coalesce(F.col(c), F.lit(0)), 2).cast("double")
     shown = lambda c: (known(c) if has_costs else F.lit(None).cast("double")).alias(c)
-    return keys.join(sums, ["run_id", "group"], "left").select("run_id", "group", known("cost").alias("cost"), shown("used_cost"), shown("unused_cost"), *order)
+    return runs.join(sums, ["run_id", "group"], "full").select("run_id", "group", known("cost").alias("cost"), shown("used_cost"), shown("unused_cost"), *order)
 
 
 def cost_overview(attributed: DataFrame, has_costs: bool) -> DataFrame | None:
