@@ -16,11 +16,11 @@ from runscope.sources.order import ORDINAL, file_order
 
 
 def write_bundle(tables: dict[str, DataFrame | None], folder: str) -> None:
-    """One folder of JSON lines for each table that is given; nulls are written out. A table with a column ordinal is written in its order."""
+    """One folder of JSON lines, packed by gzip, for each table that is given; nulls are written out. A table with a column ordinal is written in its order."""
     for name, table in tables.items():
         if table is not None:
             rows = table.orderBy("ordinal").drop("ordinal") if "ordinal" in table.columns else table
-            rows.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}.jsonl")
+            rows.write.mode("overwrite").option("ignoreNullFields", False).option("compression", "gzip").json(f"{folder}/{name}.jsonl")
 
 
 def read_bundle(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
