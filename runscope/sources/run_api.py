@@ -162,7 +162,9 @@ def read_tasks(headers: DataFrame, get: Callable[[str], dict], pages_together: i
                         break
 
     ranges = headers.withColumn("first", F.explode(F.expr(f"sequence(0L, pages - 1, {pages_together}L)"))).withColumn("last", F.col("first") + pages_together >= F.col("pages"))
-    dealt = ranges.select("run_id", "workspace_id", "endpoint", "first", "last").repartition(F.xxhash64("run_id", "first"))
+    dealt = ranges.select("run_id", "workspace_id", "endpoint", "first", "last")
+    # as many tasks as the session shuffles to: rows of ranges are small, and adaptive execution would put them all into one
+    dealt = dealt.repartition(int(headers.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("run_id", "first"))
     return dealt.mapInArrow(run, "run_id string, page long, body string")
 
 
