@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,36 +14,35 @@ def _named(column: str) -> Column:
     return S.filled(F.trim(F.col(column)))
 
 
-def scheduler_rows(rows: DataFrame) -> DataFrame:
-    """Rows with an instance_id: hours of capacity, and utilisation weighted by them."""
-    cpu = S.safe_double(F.col("vcpus")) * S.safe_double(F.col("machine_hours"))
-    memory = S.safe_double(F.col("memory_gib")) * S.safe_double(F.col("machine_hours"))
-    return rows.filter(_named("instance_id").isNotNull()).select(
-        F.trim("run_id").alias("run_id"), cpu.alias("cpu"), memory.alias("memory"), (S.percent(F.col("avg_cpu_utilization")) * cpu).alias("cpu_used"),
-        (S.percent(F.col("avg_memory_utilization")) * memory).alias("memory_used"), cpu.alias("cpu_weight"), memory.alias("memory_weight"),
-        F.lit(False).alias("is_batch"), F.lit(0.0).alias("cpu_asked"), F.lit(0.0).alias("memory_asked"),
-    )
+SUMS = ("cpu", "memory", "cpu_used", "memory_used", "cpu_weight", "memory_weight", "cpu_asked", "memory_asked")
 
 
-def batch_rows(rows: DataFrame) -> DataFrame:
-    """Rows with an ecs_instance_id: hours of capacity, and hours asked for."""
+def scheduler_row(number: Callable[[str], Column], row: Callable[[str], Column]) -> dict[str, Column]:
+    """Of a row with an instance_id: hours of capacity, and utilisation weighted by them."""
+    cpu, memory = number("vcpus") * number("machine_hours"), number("memory_gib") * number("machine_hours")
+    return {"cpu": cpu, "memory": memory, "cpu_used": S.percent(row("avg_cpu_utilization")) * cpu, "memory_used": S.percent(row("avg_memory_utilization")) * memory, "cpu_weight": cpu, "memory_weight": memory}
 
-    def asked(what: str) -> Column:
-        return F.coalesce(F.nullif(S.safe_double(F.col(f"total_requested_{what}_hours")), F.lit(0.0)), S.safe_double(F.col(f"requested_{what}_hours")))
 
-    none = F.lit(0.0)
-    return rows.filter(_named("ecs_instance_id").isNotNull()).select(
-        F.trim("run_id").alias("run_id"), S.safe_double(F.col("total_vcpu_hours")).alias("cpu"), S.safe_double(F.col("total_memory_gib_hours")).alias("memory"), none.alias("cpu_used"),
-        none.alias("memory_used"), none.alias("cpu_weight"), none.alias("memory_weight"), F.lit(True).alias("is_batch"), asked("vcpu").alias("cpu_asked"), asked("memory_gib").alias("memory_asked"),
-    )
+def batch_row(number: Callable[[str], Column]) -> dict[str, Column]:
+    """Of a row with an ecs_instance_id: hours of capacity, and hours asked for."""
+    asked = lambda what: F.coalesce(F.nullif(number(f"total_requested_{what}_hours"), F.lit(0.0)), number(f"requested_{what}_hours"))
+    return {"cpu": number("total_vcpu_hours"), "memory": number("total_memory_gib_hours"), "cpu_asked": asked("vcpu"), "memory_asked": asked("memory_gib")}
+
+
+def hours(rows: DataFrame) -> DataFrame:
+    """(run_id, batch, SUMS) of each row, twice of one with both ids. Rows are read once: what a row counts as is unfolded from it."""
+    number = lambda n: S.safe_double(F.col(n))
+    kinds = []
+    for name, batch, own in (("instance_id", False, scheduler_row(number, F.col)), ("ecs_instance_id", True, batch_row(number))):
+        values = F.struct(F.trim("run_id").alias("run_id"), F.lit(batch).alias("batch"), *[own.get(n, F.lit(0.0)).alias(n) for n in SUMS])
+        kinds.append(F.when(_named(name).isNotNull(), values))
+    return rows.select(F.inline(F.filter(F.array(*kinds), lambda kind: kind.isNotNull())))
 
 
 def summarise_machines(rows: DataFrame) -> DataFrame:
     """Machines, hours and efficiencies by run. A row with both ids counts as both; rows without a run are dropped."""
-    both = scheduler_rows(rows).unionByName(batch_rows(rows)).filter(S.filled(F.col("run_id")).isNotNull())
-    sums = both.groupBy("run_id").agg(
-        F.count("*").alias("n_machines"), *[F.sum(c).alias(c) for c in ("cpu", "memory", "cpu_used", "memory_used", "cpu_weight", "memory_weight", "cpu_asked", "memory_asked")], F.bool_or("is_batch").alias("batch")
-    )
+    both = hours(rows).filter(S.filled(F.col("run_id")).isNotNull())
+    sums = both.groupBy("run_id").agg(F.count("*").alias("n_machines"), *[F.sum(c).alias(c) for c in SUMS], F.bool_or("batch").alias("batch"))
 
     def efficiency(what: str) -> Column:
         by_load = F.when(F.col(f"{what}_weight") > 0, F.col(f"{what}_used") / F.col(f"{what}_weight"))
