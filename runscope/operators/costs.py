@@ -33,9 +33,9 @@ def normalize_costs(bill: DataFrame, label_map: Mapping[str, str | Sequence[str]
     return sums.select(*KEY, *AMOUNTS)
 
 
-def cost_index(costs: DataFrame) -> DataFrame:
-    """Costs once more summed by key, so that a join never repeats a task."""
-    keys = [S.text(F.col(k)).alias(k) for k in KEY]
+def cost_index(costs: DataFrame, texts: bool = False) -> DataFrame:
+    """Costs once more summed by key, so that a join never repeats a task. texts: no key is null."""
+    keys = KEY if texts else [S.text(F.col(k)).alias(k) for k in KEY]
     return costs.groupBy(*keys).agg(*[F.sum(F.coalesce(F.col(a), F.lit(0))).alias(a) for a in AMOUNTS])
 
 
@@ -50,7 +50,8 @@ def attribute_costs(tasks: DataFrame, costs: DataFrame | None) -> DataFrame:
     if costs is None:
         rows = rows.withColumns({f"bill_{a}": F.lit(None).cast("double") for a in AMOUNTS})
     else:
-        index = cost_index(costs)
+        # keys are dealt by run and hash before they are summed, so that the sums and the maps below need no shuffle of their own
+        index = cost_index(costs.select(*[S.text(F.col(k)).alias(k) for k in KEY], *AMOUNTS).repartition("run_id", "hash"), texts=True)
         # one join: all keys of a run and hash that any step may hit, by step; the key (run, hash) deals tasks evenly
         by_hash = index.select(F.col("run_id").alias("_r"), F.col("hash").alias("_k"), F.col("process").alias("_p"), F.struct(*AMOUNTS).alias("_c"))
         per_hash = by_hash.groupBy("_r", "_k").agg(F.map_from_entries(F.collect_list(F.struct("_p", "_c"))).alias("_m"))
@@ -65,9 +66,9 @@ def attribute_costs(tasks: DataFrame, costs: DataFrame | None) -> DataFrame:
     })
 
 
-def has_rows(table: DataFrame | None) -> bool:
-    """Best asked of bill_rows, which are not summed: then it ends at the first row."""
-    return table is not None and not table.isEmpty()
+def has_rows(*tables: DataFrame | None) -> bool:
+    """Whether any table has rows, asked one after the other. Best asked of bill_rows, which are not summed: then it ends at the first row."""
+    return any(table is not None and not table.isEmpty() for table in tables)
 
 
 def run_costs(included: DataFrame, attributed: DataFrame, has_costs: bool) -> DataFrame:

@@ -42,7 +42,7 @@ class Report(Mapping):
 
     @cached_property
     def has_costs(self) -> bool:
-        return costs.has_rows(self.tables.get("bill_rows", self.tables.get("costs")))
+        return costs.has_rows(self.tables.get("some_bill_rows"), self.tables.get("bill_rows", self.tables.get("costs")))
 
     @property
     def attributed(self) -> DataFrame:
@@ -70,7 +70,7 @@ class Report(Mapping):
 def build_report(tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None) -> Report:
     """Sections by name. tables: runs, tasks, costs, machines; costs or machines may be missing. Rows come in no order (see ordered).
 
-    bill_rows, if given, are what costs were summed from: cheaper to ask whether there are any. ordinal: a column of runs and machines
+    bill_rows, if given, are what costs were summed from: cheaper to ask whether there are any; some_bill_rows, a few of them, are asked first. ordinal: a column of runs and machines
     that tells their order, by default `ordinal` where they have it; of runs and machines in several rows the last counts.
     """
     return Report(tables, include_failed_runs, ordinal)

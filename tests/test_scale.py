@@ -7,7 +7,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from runscope.operators import machine_hours
+from runscope.functions import scalars as S
+from runscope.operators import costs, machine_hours
 from runscope.sources import bundle, documents, files, parts, run_api, schemas
 
 
@@ -58,3 +59,32 @@ def test_a_machine_row_is_read_once(spark):
     assert [(r["run_id"], r["n_machines"], r["vm_cpu_h"]) for r in out.collect()] == [("r1", 3, 18.0)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("LogicalRDD") == 1
+
+
+def test_rounding_off_ties_is_short(spark):
+    """Generated code beyond 8,000 bytes is not compiled by the JVM: the error of a product is left to a variable, for ties alone."""
+    rows = spark.createDataFrame([(2.675,), (-0.001,), (0.125,), (-2.5,), (None,), (float("inf"),)], "x double")
+    out = rows.select(S.rounded(F.col("x"), 2).alias("r"))
+    assert [str(r["r"]) for r in out.collect()] == ["2.67", "0.0", "0.12", "-2.5", "None", "inf"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().split("lambdafunction")[0].count("x#") <= 12
+
+
+def test_costs_are_dealt_once_for_their_sums_and_maps(spark):
+    tasks = spark.createDataFrame([("r1", "a:B", "B", "ab/cdef12", 1.0)], "run_id string, process string, process_short string, hash string, cost double")
+    bill = spark.createDataFrame([("r1", "B", "abcdef12", 2.0, 2.0, 0.0), ("r1", "B", "abcdef12", 3.0, 3.0, 0.0)], "run_id string, process string, hash string, cost double, used_cost double, unused_cost double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = costs.attribute_costs(tasks, bill)
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # the tasks' and the costs'
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [r["total"] for r in out.collect()] == [5.0]
+
+
+def test_few_bill_rows_are_asked_first(spark):
+    asked = spark.sparkContext.accumulator(0)
+    seen = spark.createDataFrame([("r1",)], "run_id string").rdd.map(lambda r: asked.add(1) or r).toDF("run_id string")
+    assert costs.has_rows(spark.range(1), seen) and asked.value == 0
+    assert costs.has_rows(None, spark.range(0), seen) and not costs.has_rows(None, spark.range(0))
