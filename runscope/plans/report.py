@@ -19,34 +19,42 @@ ORDERS = {
 }
 
 
+Keep = Callable[[DataFrame, str], DataFrame]
+
+
 class Report(Mapping):
     """Sections by name, each planned when it is asked for: only the two about costs need to know whether there are any."""
 
-    def __init__(self, tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None):
-        self.tables, self.ordinal = tables, ordinal
-        self.classed = runs.with_status(tables["runs"], include_failed_runs)
-        self.own = runs.of_included(tables["tasks"], self.classed)
-        own, classed = self.own, self.classed
+    def __init__(self, tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None, keep: Keep | None = None):
+        self.tables, self.ordinal, self.include_failed_runs, self.keep = tables, ordinal, include_failed_runs, keep or (lambda rows, name: rows)
         self.sections: dict[str, Callable[[], DataFrame | None]] = {
-            "benchmark_overview": lambda: runs.benchmark_overview(classed),
-            "run_summary": lambda: runs.run_summary(classed),
+            "benchmark_overview": lambda: runs.benchmark_overview(self.classed),
+            "run_summary": lambda: runs.run_summary(self.classed),
             "run_metrics": self.run_metrics,
-            "run_costs": lambda: costs.run_costs(runs.included(classed), self.attributed, self.has_costs),
-            "process_stats": lambda: tasks.process_stats(own),
-            "combined_task_runtime": lambda: runtime.combined_runtime(runtime.process_runtime(own, classed, ordinal)),
-            "task_instance_usage": lambda: tasks.instance_usage(own),
-            "task_table": lambda: tasks.task_table(own),
-            "task_scatter": lambda: tasks.task_scatter(own),
+            "run_costs": lambda: costs.run_costs(runs.included(self.classed), self.attributed, self.has_costs),
+            "process_stats": lambda: tasks.process_stats(self.own),
+            "combined_task_runtime": lambda: runtime.combined_runtime(runtime.process_runtime(self.own, self.classed, ordinal)),
+            "task_instance_usage": lambda: tasks.instance_usage(self.own),
+            "task_table": lambda: tasks.task_table(self.own),
+            "task_scatter": lambda: tasks.task_scatter(self.own),
             "cost_overview": lambda: costs.cost_overview(self.attributed, self.has_costs),
         }
 
+    @cached_property
+    def classed(self) -> DataFrame:
+        return self.keep(runs.with_status(self.tables["runs"], self.include_failed_runs), "classed-runs")
+
+    @cached_property
+    def own(self) -> DataFrame:
+        return self.keep(runs.of_included(self.tables["tasks"], self.classed), "own-tasks")
+
     @cached_property
     def has_costs(self) -> bool:
         return costs.has_rows(self.tables.get("some_bill_rows"), self.tables.get("bill_rows", self.tables.get("costs")))
 
-    @property
+    @cached_property
     def attributed(self) -> DataFrame:
-        return costs.attribute_costs(self.own, self.tables["costs"] if self.has_costs else None)
+        return self.keep(costs.attribute_costs(self.own, self.tables["costs"] if self.has_costs else None), "attributed-tasks")
 
     def run_metrics(self) -> DataFrame:
         metrics, machines = runs.run_metrics(self.classed), self.tables.get("machines")
@@ -67,13 +75,14 @@ class Report(Mapping):
         return len(self.sections)
 
 
-def build_report(tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None) -> Report:
+def build_report(tables: dict[str, DataFrame | None], include_failed_runs: bool = False, ordinal: str | None = None, keep: Keep | None = None) -> Report:
     """Sections by name. tables: runs, tasks, costs, machines; costs or machines may be missing. Rows come in no order (see ordered).
 
     bill_rows, if given, are what costs were summed from: cheaper to ask whether there are any; some_bill_rows, a few of them, are asked first. ordinal: a column of runs and machines
     that tells their order, by default `ordinal` where they have it; of runs and machines in several rows the last counts.
+    keep: stores the tables (given with a name) that several sections read, for reports of many sections; without it each section works them out again.
     """
-    return Report(tables, include_failed_runs, ordinal)
+    return Report(tables, include_failed_runs, ordinal, keep)
 
 
 def ordered(sections: Mapping[str, DataFrame | None]) -> dict[str, DataFrame | None]:

@@ -7,12 +7,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from runscope.sources import files, parts, schemas
+from runscope.sources import files, schemas
 from runscope.sources.folders import new_folder
-from runscope.sources.order import ORDINAL, file_order
+from runscope.sources.order import ORDINAL, file_order, numbered
+
+#: The line that a section of a report begins with: its name as JSON.
+NAME = r'^("(?:[^"\\]|\\.)*"): '
 
 
 def write_bundle(tables: dict[str, DataFrame | None], folder: str) -> None:
@@ -57,14 +60,17 @@ def report_document(sections: dict[str, DataFrame | None], most_rows: int = 200_
 
 
 def _joined(target: str, sections: dict[str, list[str] | None], piece: int = 1 << 20):
-    """Streams the sections' files, JSON lines in order, into one object; its rows are separated by commas where lines end."""
+    """Streams the sections' files, JSON lines in order, into one object; its rows are separated by commas where lines end.
+
+    A section's name has a line of its own, and each row has one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, name = files.located(target)
         with store.open_output_stream(name) as out:
             for i, (section, paths) in enumerate(sections.items()):
-                out.write((b", " if i else b"{") + json.dumps(section).encode() + b": " + (b"null" if paths is None else b"["))
-                between = b""
+                out.write((b",\n" if i else b"{\n") + json.dumps(section).encode() + b": " + (b"null" if paths is None else b"["))
+                between = b"\n"
                 for path in paths or ():
                     own, file = files.located(path)
                     with own.open_input_stream(file, compression=None) as lines:
@@ -74,10 +80,10 @@ def _joined(target: str, sections: dict[str, list[str] | None], piece: int = 1 <
                             held = b"\n" if whole.endswith(b"\n") else b""
                             out.write(between + (whole[: len(whole) - len(held)]).replace(b"\n", b",\n"))
                             between = b""
-                        between = b",\n" if held or between else b""
+                        between = between or b",\n"
                 if paths is not None:
-                    out.write(b"]")
-            out.write(b"}" if sections else b"{}")
+                    out.write(b"\n]")
+            out.write(b"\n}" if sections else b"{}")
         for batch in batches:
             yield batch
 
@@ -107,30 +113,17 @@ def write_report(sections: dict[str, DataFrame | None], path: str) -> None:
     store.move(name, files.located(path)[1])
 
 
-def _sections(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            store, name = files.located(path)
-            with store.open_input_stream(name, compression=None) as stream:
-                rows, places = [], {}
-                for section, _, body in parts.fields(stream, lists=None):
-                    places[section] = places.get(section, 0) + 1
-                    rows.append((section, places[section], body))
-                    if len(rows) == parts.BATCH_ROWS:
-                        yield _section_batch(rows)
-                        rows = []
-                yield _section_batch(rows)
-
-    return run
-
-
-def _section_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int64(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=["section", "place", "body"])
-
-
 def read_report(spark: SparkSession, path: str) -> DataFrame:
-    """(section, place: from 1, body: a row's JSON) of a file of write_report, read as a stream; a section that is null has one row with the body null."""
-    return spark.range(0, 1, 1, 1).mapInArrow(_sections(path), "section string, place long, body string")
+    """(section, place: from 1, body: a row's JSON) of a file of write_report; a section that is null has one row with the body null.
+
+    Such a file holds a row in each line, so tasks read blocks of it. Only the lines that name a section, a few, go to all of them.
+    """
+    lines = numbered(spark.read.option("lineSep", "\n").text(path).withColumn("ordinal", file_order()), "line")
+    line, null = F.col("value"), F.rtrim(F.col("value"), F.lit(",")).endswith(": null")
+    name = F.from_json(F.concat(F.lit("["), F.regexp_extract("value", NAME, 1), F.lit("]")), "array<string>")[0]
+    following = F.lead("line", 1, 1 << 62).over(Window.orderBy("line"))
+    heads = lines.filter(line.startswith('"')).select(name.alias("section"), F.col("line").alias("first"), following.alias("next"))
+    whole = lines.filter((line.startswith("{") & (line != "{")) | (line.startswith('"') & null))
+    rows = whole.join(F.broadcast(heads), (F.col("line") >= F.col("first")) & (F.col("line") < F.col("next")))
+    own = F.when(line.startswith('"'), "null").when(line.endswith(","), line.substr(F.lit(1), F.length(line) - 1)).otherwise(line)
+    return rows.select("section", F.greatest(F.col("line") - F.col("first"), F.lit(1)).alias("place"), own.alias("body"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
 from runscope.operators import costs, machine_hours
+from runscope.plans import driver_tables, report
 from runscope.sources import bundle, documents, files, parts, run_api, schemas
 
 
@@ -88,3 +89,26 @@ def test_few_bill_rows_are_asked_first(spark):
     seen = spark.createDataFrame([("r1",)], "run_id string").rdd.map(lambda r: asked.add(1) or r).toDF("run_id string")
     assert costs.has_rows(spark.range(1), seen) and asked.value == 0
     assert costs.has_rows(None, spark.range(0), seen) and not costs.has_rows(None, spark.range(0))
+
+
+def test_a_report_is_read_by_blocks(spark, tmp_path):
+    """Each task reads lines of its own block of the file, whatever sections it holds."""
+    path, rows = str(tmp_path / "report.json"), spark.range(0, 4000, 1, 3).select("id", F.repeat(F.lit("x"), 50).alias("text"))
+    sections = {"first": rows.orderBy("id"), "none": None, "empty": rows.limit(0), "last": rows.orderBy(F.desc("id"))}
+    bundle.write_report(sections, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = bundle.read_report(spark, path)
+        assert got.rdd.getNumPartitions() > 10
+        found = [(r["section"], r["place"], None if r["body"] == "null" else json.loads(r["body"])["id"]) for r in got.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(found[:], key=lambda r: r[:2]) == [("first", i + 1, i) for i in range(4000)] + [("last", i + 1, 3999 - i) for i in range(4000)] + [("none", 1, None)]
+
+
+def test_tables_of_several_sections_are_kept_once(spark):
+    names = []
+    tables = driver_tables.tables(spark, "/root/testdata/sf0.001")
+    sections = report.build_report(tables, keep=lambda rows, name: names.append(name) or rows)
+    assert names == [] and all(rows is not None for rows in sections.values())
+    assert sorted(names) == ["attributed-tasks", "classed-runs", "own-tasks"]
