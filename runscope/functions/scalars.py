@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -138,30 +139,45 @@ def parse_timestamp(value: Column) -> Column:
     Neither a time alone nor a year or month alone is a stamp, whatever a cast would make of it; a fraction may follow any part of the time
     and is one of a second. What only slips of a parser take (a stray character before the zone, a fraction without point) is null too.
     """
+    # most stamps are of one form, and take one look; others are left to a function of a variable, which adds next to nothing to the generated code
+    other = let(value, _of_other_form)
+    return F.when(value.rlike(COMMON + "Z$"), value.try_cast("timestamp")).when(value.rlike(COMMON + "$"), F.concat(value, F.lit("Z")).try_cast("timestamp")).otherwise(other)
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then of a variable that holds the value, so that the plan names it and doesn't repeat how it is found."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _of_other_form(value: Column) -> Column:
     own = F.when(value.endswith("Z"), F.concat(value.substr(F.lit(1), F.length(value) - 1), F.lit("+00:00"))).otherwise(value)
-    fields = F.split(F.regexp_replace(own, STAMP, FIELDS), ",")
-    # a variable for the fields, so that the plan names them and doesn't repeat how they are found
-    full = F.transform(F.array(F.when(F.size(fields) == 15, fields)), _instant)[0]
-    # most stamps are of one form, and take one look
-    return F.when(value.rlike(COMMON + "Z$"), value.try_cast("timestamp")).when(value.rlike(COMMON + "$"), F.concat(value, F.lit("Z")).try_cast("timestamp")).when(own.rlike(STAMP), full)
+    # a text that is no stamp stays as it is: one look tells, as none has the fourteen commas of its fields
+    read = lambda text: let(F.regexp_replace(text, STAMP, FIELDS), lambda found: F.when(found != text, let(F.split(found, ","), lambda fields: F.when(F.size(fields) == 15, _instant(fields)))))
+    return let(own, read)
 
 
 def _instant(fields: Column) -> Column:
     """The timestamp of the fields of a stamp."""
     part = [F.nullif(fields[i], F.lit("")).try_cast("int") for i in range(15)]
-    year, week_year, week, week_day, hour, minute, second = part[0], *part[3:9]
+    hour, minute, second = part[6:9]
     calendar = F.unix_date(F.concat_ws("-", fields[0], fields[1], fields[2]).try_cast("date"))
-    by_week = F.when(week_year >= 1, _week_day(week_year, week, F.coalesce(week_day, F.lit(1))))
-    days = F.when(year.isNotNull(), F.when(year >= 1, calendar)).otherwise(by_week)
-    zone = _clock(part[11], part[12], part[13], fields[14])
-    valid = days.between(-719162, 2932896) & (number(hour) < 24) & (number(minute) < 60) & (number(second) < 60) & (zone < DAY_MICROS)
-    local = days.cast("long") * DAY_MICROS + _clock(hour, minute, second, fields[9])
-    return F.when(valid, F.timestamp_micros(local - F.when(fields[10] == "-", -zone).otherwise(zone)))
+    by_week = let(part[3], lambda year: F.when(year >= 1, _week_day(year, part[4], F.coalesce(part[5], F.lit(1)))))
+    days = F.when(fields[0] != "", F.when(part[0] >= 1, calendar)).otherwise(by_week)
+    zone = F.when(fields[10] == "", F.lit(0).cast("long")).otherwise(_clock(part[11], part[12], part[13], fields[14]))
+    valid = (number(hour) < 24) & (number(minute) < 60) & (number(second) < 60)
+    local = lambda day: day.cast("long") * DAY_MICROS + _clock(hour, minute, second, fields[9])
+    instant = lambda day: let(zone, lambda z: F.when(z < DAY_MICROS, F.timestamp_micros(local(day) - F.when(fields[10] == "-", -z).otherwise(z))))
+    return F.when(valid, let(days, lambda day: F.when(day.between(-719162, 2932896), instant(day))))
 
 
 def duration_ms(start: Column, end: Column) -> Column:
     """Whole milliseconds from start to end, both strings, of the seconds as a double; 0 if one is missing or the end comes first."""
-    gap = F.floor((F.unix_micros(parse_timestamp(end)) - F.unix_micros(parse_timestamp(start))) / 1e6 * 1000)
+    return gap_ms(parse_timestamp(start), parse_timestamp(end))
+
+
+def gap_ms(start: Column, end: Column) -> Column:
+    """duration_ms of stamps that are read already."""
+    gap = F.floor((F.unix_micros(end) - F.unix_micros(start)) / 1e6 * 1000)
     return F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)).cast("long")
 
 

@@ -28,23 +28,31 @@ def odd_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("run_id", kind.cast("int").alias("kind"), "status_label", "status_category", "report_included", link.alias("run_link"))
 
 
-def odd_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day and time of each line item in forms that are stamps and in forms that are none."""
-    line = D.table(spark, sf_dir, "lineitem")
-    day, two = F.to_date("l_shipdate"), lambda c: F.lpad(c.cast("string"), 2, "0")
-    hour, minute, second, ms = two(F.col("l_partkey") % 24), two(F.col("l_suppkey") % 60), two(F.col("l_orderkey") % 60), F.lpad((F.col("l_partkey") % 1000).cast("string"), 3, "0")
+def _stamp(row: Column) -> Column:
+    """Of a line item's day and numbers, in the form of its kind."""
+    day, two = row["day"], lambda c: F.lpad(c.cast("string"), 2, "0")
+    hour, minute, second, ms = two(row["l_partkey"] % 24), two(row["l_suppkey"] % 60), two(row["l_orderkey"] % 60), F.lpad((row["l_partkey"] % 1000).cast("string"), 3, "0")
     d, basic = F.date_format(day, "yyyy-MM-dd"), F.date_format(day, "yyyyMMdd")
     week_year, week, week_day = F.extract(F.lit("YEAROFWEEK"), day).cast("string"), two(F.weekofyear(day)), (F.weekday(day) + 1).cast("string")
     clock, plain = F.concat_ws(":", hour, minute, second), F.concat(hour, minute, second)
     text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-    kind = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24
-    stamp = chosen(
-        kind, text(d, "T", clock, ".", ms, "Z"), text(d, " ", clock), basic, text(basic, "T", plain), text(week_year, "-W", week, "-", week_day), text(week_year, "W", week, week_day, "T", hour, minute), text(d, "T", clock, ".", ms, "+05:30"),
+    return chosen(
+        row["kind"], text(d, "T", clock, ".", ms, "Z"), text(d, " ", clock), basic, text(basic, "T", plain), text(week_year, "-W", week, "-", week_day), text(week_year, "W", week, week_day, "T", hour, minute), text(d, "T", clock, ".", ms, "+05:30"),
         text(basic, "T", plain, "-0830"), text(d, "T", clock, ",", ms, "999999"), text("T", hour, ":00"), clock, F.substring(d, 1, 4), F.substring(d, 1, 7), text(d, " "), text(d, "T24:00"), text(F.substring(d, 1, 4), "-13-01"), "", None,
         text(d, "T", clock, "z"), text(d, "Z"), text(week_year, "-W", week), text(d, "_", hour), text(F.substring(d, 1, 4), "-02-30"), "now",
     )
+
+
+def odd_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day and time of each line item in forms that are stamps and in forms that are none."""
+    line = D.table(spark, sf_dir, "lineitem")
+    kind = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 24
+    # the forms are left to a function of a variable: as generated code they take more than the 8,000 bytes that the JVM compiles
+    stamp = S.let(F.struct(kind.alias("kind"), F.to_date("l_shipdate").alias("day"), "l_partkey", "l_suppkey", "l_orderkey"), _stamp)
+    # a stamp is read once, for both columns
     rows = line.select("l_orderkey", "l_linenumber", kind.cast("int").alias("kind"), stamp.alias("stamp"))
-    return rows.select("l_orderkey", "l_linenumber", "kind", F.unix_micros(S.parse_timestamp(F.col("stamp"))).alias("micros"), S.duration_ms(F.lit("1995-01-01T00:00:00Z"), F.col("stamp")).alias("wait_ms"))
+    rows = rows.select("l_orderkey", "l_linenumber", "kind", S.parse_timestamp(F.col("stamp")).alias("at"))
+    return rows.select("l_orderkey", "l_linenumber", "kind", F.unix_micros("at").alias("micros"), S.gap_ms(S.parse_timestamp(F.lit("1995-01-01T00:00:00Z")), F.col("at")).alias("wait_ms"))
 
 
 def odd_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,3 +112,11 @@ def test_tables_of_several_sections_are_kept_once(spark):
     sections = report.build_report(tables, keep=lambda rows, name: names.append(name) or rows)
     assert names == [] and all(rows is not None for rows in sections.values())
     assert sorted(names) == ["attributed-tasks", "classed-runs", "own-tasks"]
+
+
+def test_stamps_of_other_forms_add_little_code(spark):
+    """What reads them is in the plan once for each use, as a function of a variable."""
+    rows = spark.createDataFrame([("1995-W10-3T05,25+0130",), ("19950102T030405-0830",), ("1995-02-30",), (",,,,,,,,,,,,,,",), (None,)], "s string")
+    out = rows.select(F.unix_micros(S.parse_timestamp(F.col("s"))).alias("m"))
+    assert [r["m"] for r in out.collect()] == [794633400250000, 789046445000000, None, None, None]
+    assert out._jdf.queryExecution().optimizedPlan().toString().split("transform(")[0].count("s#") <= 8
