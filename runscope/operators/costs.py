@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from runscope.functions import scalars as S
 from runscope.sources import bill as B
@@ -29,7 +30,14 @@ def bill_rows(bill: DataFrame, label_map: Mapping[str, str | Sequence[str]] | No
 
 def normalize_costs(bill: DataFrame, label_map: Mapping[str, str | Sequence[str]] | None = None) -> DataFrame:
     """Costs by run, process and hash; unique on the three."""
-    sums = bill_rows(bill, label_map).groupBy(*KEY).agg(F.sum(F.col("used") + F.col("unused")).alias("cost"), F.sum("used").alias("used_cost"), F.sum("unused").alias("unused_cost"))
+    rows = bill_rows(bill, label_map)
+    kinds = [rows.schema[n].dataType for n in ("used", "unused")]
+    if all(isinstance(k, T.DecimalType) and k.precision <= 27 for k in kinds):
+        # exact sums: that of both follows from the two, so only these are shuffled
+        sums = rows.groupBy(*KEY).agg(F.sum("used").alias("used_cost"), F.sum("unused").alias("unused_cost"))
+        sums = sums.withColumn("cost", F.col("used_cost") + F.col("unused_cost"))
+    else:
+        sums = rows.groupBy(*KEY).agg(F.sum(F.col("used") + F.col("unused")).alias("cost"), F.sum("used").alias("used_cost"), F.sum("unused").alias("unused_cost"))
     return sums.select(*KEY, *AMOUNTS)
 
 

@@ -120,3 +120,13 @@ def test_stamps_of_other_forms_add_little_code(spark):
     out = rows.select(F.unix_micros(S.parse_timestamp(F.col("s"))).alias("m"))
     assert [r["m"] for r in out.collect()] == [794633400250000, 789046445000000, None, None, None]
     assert out._jdf.queryExecution().optimizedPlan().toString().split("transform(")[0].count("s#") <= 8
+
+
+def test_exact_costs_are_two_sums(spark):
+    """The sum of both amounts follows from theirs; that of doubles is summed by itself, as its roundings differ."""
+    for kind, sums in (("decimal(18,4)", 2), ("double", 3)):
+        bill = spark.createDataFrame([("r1", "1.5", "0.25"), ("r1", None, "0.5")], "resource_tags_user_unique_run_id string, split string, unused string")
+        bill = bill.select("resource_tags_user_unique_run_id", F.col("split").cast(kind).alias("split_line_item_split_cost"), F.col("unused").cast(kind).alias("split_line_item_unused_cost"), F.lit(2).cast(kind).alias("line_item_unblended_cost"))
+        out = costs.normalize_costs(bill)
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("sum(") == sums
+        assert [tuple(map(float, r)) for r in out.select(*costs.AMOUNTS).collect()] == [(4.25, 3.5, 0.75)]
