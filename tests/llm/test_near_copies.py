@@ -171,3 +171,42 @@ def test_candidates_beyond_the_nearest_are_tried_too(spark, tries):
     found = {(r["a"], r["b"]) for r in N.proved(candidates, classes, rows, 5, 0.8, 0.08, tries=tries).collect()}
     assert (0, 4) in found and found & {(0, 2), (2, 4)}
     assert not found & {(0, 1), (2, 3)}
+
+
+def test_pairs_between_trees_are_all_found():
+    """Links within the sure radius join trees; of what is still in two, every pair of a bucket within the wide one comes, once."""
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 63, (3, N.BITS // 64), dtype=np.uint64)
+    flips = lambda n, k: np.packbits(r.random((n, N.BITS)) < k / N.BITS, axis=1).view(np.uint64)
+    prints = np.concatenate([base[0] ^ flips(200, 60), base[1] ^ flips(40, 45), base[2] ^ flips(30, 20), r.integers(0, 1 << 63, (60, N.BITS // 64), dtype=np.uint64)])
+    order = r.permutation(len(prints))
+    prints, n = prints[order], len(prints)
+    bucket, trees = np.sort(r.integers(0, 3, n)), r.integers(0, 250, n)
+    apart = np.bitwise_count(prints[:, None] ^ prints[None]).sum(2)
+    together = bucket[:, None] == bucket[None]
+    joined = together & ((trees[:, None] == trees[None]) | (apart <= 90))
+    tree = N.roots(N.forest(n, *np.argwhere(joined).T)[0])
+    want = {(a, b) for a, b in np.argwhere(together & (apart <= 110) & (tree[:, None] != tree[None])).tolist() if a < b}
+    linked, *found = N.pairs_across(prints, bucket, trees, 110, 90, large=16, cells=64)
+    assert all(apart[a, b] <= 90 for a, b in zip(*linked, strict=True))
+    assert (N.roots(N.forest(n, *np.argwhere(together & (trees[:, None] == trees[None])).T)[0]) != tree).any()
+    got = [(min(a, b), max(a, b)) for x, y in found for a, b in zip(x.tolist(), y.tolist(), strict=True)]
+    assert len(want) > 100 and len(got) == len(set(got)) and set(got) == want
+
+
+def test_links_in_no_spanning_forest_are_tried(spark, monkeypatch):
+    """Two texts are alike, and both look like a third that isn't: a forest of the bucket holds them together by the third alone."""
+    monkeypatch.setattr(N, "bands_for", lambda *_: (1, 3))
+    r = random.Random(11)
+    texts = []
+    for _ in range(40):
+        base = [f"w{r.randrange(10**6)}" for _ in range(300)]
+        places, own = r.sample(range(10, 290, 10), 7), (base[:], base[:])
+        for k, i in enumerate(places):
+            own[0][i], own[1][i] = f"z{k}", f"z{k}" if k < 3 else f"y{k}"
+        texts += [" ".join(base), *map(" ".join, own)]
+    assert all(jaccard(*map(shingles, (texts[i], texts[i + k]))) < 0.8 <= jaccard(*map(shingles, texts[i + 1 : i + 3])) for i in range(0, 120, 3) for k in (1, 2))
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], SCHEMA).repartition(4)
+    ids = {x["doc_id"] for x in N.keep_one(docs).select("doc_id").collect()}
+    assert set(range(0, 120, 3)) | set(range(1, 120, 3)) <= ids
+    assert len(ids & set(range(2, 120, 3))) <= 1  # one band of a bit may part a pair
