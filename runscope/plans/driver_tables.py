@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from runscope.operators import costs, machine_hours, normalize
 from runscope.sources import schemas
 
+Which = Callable[[Column], Column]
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
 
@@ -22,9 +23,10 @@ def _struct(kind, **values: Column) -> Column:
     return F.struct(*[(values[f.name] if f.name in values else F.lit(None).cast(f.dataType)).alias(f.name) for f in kind.fields])
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each order with its run's document, without tasks and metrics."""
-    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+def orders(spark: SparkSession, sf_dir: str, which: Which | None = None) -> DataFrame:
+    """Each order with its run's document, without tasks and metrics. which: a condition on the order's key."""
+    o = table(spark, sf_dir, "orders")
+    o = (o if which is None else o.filter(which(F.col("o_orderkey")))).join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     key, customer = F.col("o_orderkey"), F.col("o_custkey")
     double = lambda c: c.cast("double")
     status = F.when(F.col("o_orderstatus") == "F", "SUCCEEDED").when(F.col("o_orderstatus") == "O", "FAILED").otherwise("CANCELLED")
@@ -54,10 +56,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 PROBED = 1000
 
 
-def lines(spark: SparkSession, sf_dir: str, first: int | None = None) -> DataFrame:
-    """Each line item with what its task needs of order, part and supplier; orders come last, so rows are left dealt by their order. first: of so many line items only."""
+def lines(spark: SparkSession, sf_dir: str, first: int | None = None, which: Which | None = None) -> DataFrame:
+    """Each line item with what its task needs of order, part and supplier; orders come last, so rows are left dealt by their order.
+
+    first: of so many line items only; which: a condition on the order's key, asked before rows are dealt.
+    """
     l = table(spark, sf_dir, "lineitem")  # noqa: E741
     l = l if first is None else l.limit(first)  # noqa: E741
+    l = l if which is None else l.filter(which(F.col("l_orderkey")))  # noqa: E741
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand", "p_size")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
@@ -109,12 +115,12 @@ def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.task_rows(rows)
 
 
-def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Run documents with tasks, every other one wrapped, and without progress."""
+def nested(spark: SparkSession, sf_dir: str, which: Which | None = None) -> DataFrame:
+    """Run documents with tasks, every other one wrapped, and without progress. which: a condition on the order's key."""
     stat = lambda c: F.struct(*[(c + k).cast("double").alias(s) for k, s in enumerate(schemas.STATS)])
     metric = lambda line: _struct(schemas.METRIC, process=line["process"], cpu=stat(line["l_quantity"]), mem=stat(line["l_linenumber"]))
-    arrays = lines(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_list(F.struct(*[F.col(c) for c in LINE_FIELDS])).alias("_lines"))
-    runs = orders(spark, sf_dir).withColumn("progress", F.lit(None).cast(schemas.RUN["progress"].dataType))
+    arrays = lines(spark, sf_dir, which=which).groupBy("l_orderkey").agg(F.collect_list(F.struct(*[F.col(c) for c in LINE_FIELDS])).alias("_lines"))
+    runs = orders(spark, sf_dir, which).withColumn("progress", F.lit(None).cast(schemas.RUN["progress"].dataType))
     docs = runs.join(arrays, runs.o_orderkey == arrays.l_orderkey, "left")
     return docs.withColumns({"tasks": F.transform("_lines", task_object), "metrics": F.transform("_lines", metric)}).drop("o_orderkey", "l_orderkey", "_lines")
 

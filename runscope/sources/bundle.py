@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from runscope.sources import files, schemas
-from runscope.sources.folders import new_folder
+from runscope.sources.folders import new_folder, released
 from runscope.sources.order import ORDINAL, file_order, numbered
 
 #: The line that a section of a report begins with: its name as JSON.
@@ -23,7 +23,8 @@ def write_bundle(tables: dict[str, DataFrame | None], folder: str) -> None:
     for name, table in tables.items():
         if table is not None:
             rows = table.orderBy("ordinal").drop("ordinal") if "ordinal" in table.columns else table
-            rows.write.mode("overwrite").option("ignoreNullFields", False).option("compression", "gzip").json(f"{folder}/{name}.jsonl")
+            with released(rows.sparkSession):
+                rows.write.mode("overwrite").option("ignoreNullFields", False).option("compression", "gzip").json(f"{folder}/{name}.jsonl")
 
 
 def read_bundle(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import time
 from pathlib import Path
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from runscope.functions import scalars as S
 from runscope.operators import costs, machine_hours
-from runscope.plans import driver_tables, report
+from runscope.plans import driver_tables, io_queries, report
 from runscope.sources import bundle, documents, files, parts, run_api, schemas
 
 
@@ -130,3 +131,33 @@ def test_exact_costs_are_two_sums(spark):
         out = costs.normalize_costs(bill)
         assert out._jdf.queryExecution().optimizedPlan().toString().count("sum(") == sums
         assert [tuple(map(float, r)) for r in out.select(*costs.AMOUNTS).collect()] == [(4.25, 3.5, 0.75)]
+
+
+def shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    return {n for i in range(blocks.size()) if (n := str(blocks.apply(i))).startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_a_table_is_written(spark, tmp_path):
+    """They would stay until the driver collects its garbage, those of all tables of a bundle at once."""
+    before = shuffle_files(spark)
+    run = F.concat(F.lit("r"), (F.col("id") % 50).cast("string")).alias("id")
+    docs = spark.range(5000).select(F.struct(run).alias("workflow")).groupBy("workflow").count()
+    held = [docs.repartition(3)]
+    documents.write_lines(held[0], str(tmp_path / "docs"))
+    bundle.write_bundle({"runs": docs.select("workflow.id")}, str(tmp_path / "bundle"))
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert documents.read_lines(spark, str(tmp_path / "docs")).count() == 50
+
+
+def test_runs_are_merged_without_their_tasks(spark, monkeypatch):
+    """Of each document only its row is dealt by the file's name."""
+    merged = documents.merge
+    monkeypatch.setattr(documents, "merge", lambda *sources: [s for s in sources if {"tasks", "metrics"} & set(s.columns)] or merged(*sources))
+    out = io_queries.run_merge(spark, "/root/testdata/sf0.001")
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
+    assert out.count() == orders == out.select("run_id").distinct().count()
