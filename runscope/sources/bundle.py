@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import gzip
 import json
+import struct
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -60,31 +64,69 @@ def report_document(sections: dict[str, DataFrame | None], most_rows: int = 200_
     return json.dumps(out, default=str)
 
 
-def _joined(target: str, sections: dict[str, list[str] | None], piece: int = 1 << 20):
-    """Streams the sections' files, JSON lines in order, into one object; its rows are separated by commas where lines end.
+def _member(text: bytes) -> bytes:
+    """A gzip member that tells its size in its header, so that a reader can step over it."""
+    body = zlib.compress(text, 1, wbits=-15)
+    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H2sHI", 8, b"RS", 4, HEAD + len(body) + 8)
+    return head + body + struct.pack("<2I", zlib.crc32(text), len(text) & 0xFFFFFFFF)
 
-    A section's name has a line of its own, and each row has one.
-    """
+
+#: Bytes before a member's body, bytes of text in a member, about, and the member between two parts of a section.
+HEAD, MEMBER = 20, 4 << 20
+BETWEEN = _member(b",\n")
+
+
+def _encoder(folder: str):
+    """(body: a row's JSON) -> (part, path): a packed file for each part that has rows, with BETWEEN before them, their lines whole in its members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, out, held, size = TaskContext.get(), None, [], 0
+        path = f"{folder}/part-{task.partitionId()}-{task.taskAttemptId()}"
+        try:
+            for batch in batches:
+                for row in batch.column("body").to_pylist():
+                    if out is None:
+                        store, name = files.located(path)
+                        store.create_dir(name.rsplit("/", 1)[0], recursive=True)
+                        out = store.open_output_stream(name, compression=None)
+                        out.write(BETWEEN)
+                    if size >= MEMBER:
+                        out.write(_member((",\n".join(held) + ",\n").encode()))
+                        held, size = [], 0
+                    held.append(row)
+                    size += len(row)
+            if out is not None:
+                out.write(_member(",\n".join(held).encode()))
+        finally:
+            if out is not None:
+                out.close()
+        if out is not None:
+            yield pa.RecordBatch.from_pydict({"part": pa.array([task.partitionId()], pa.int32()), "path": [path]})
+
+    return run
+
+
+def _joined(target: str, sections: dict[str, list[str] | None], piece: int = 1 << 20):
+    """Streams the sections' parts in order into one object, packed as they are or unpacked. A section's name has a line of its own, and each row has one."""
+    packed = target.endswith(".gz")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, name = files.located(target)
-        with store.open_output_stream(name) as out:
+        with store.open_output_stream(name, compression=None) as out:
+            put = lambda text: out.write(_member(text) if packed else text)
             for i, (section, paths) in enumerate(sections.items()):
-                out.write((b",\n" if i else b"{\n") + json.dumps(section).encode() + b": " + (b"null" if paths is None else b"["))
-                between = b"\n"
-                for path in paths or ():
+                put((b",\n" if i else b"{\n") + json.dumps(section).encode() + b": " + (b"null" if paths is None else b"[\n"))
+                for k, path in enumerate(paths or ()):
                     own, file = files.located(path)
-                    with own.open_input_stream(file, compression=None) as lines:
-                        held = b""  # the last line's end is no separator
-                        while data := lines.read(piece):
-                            whole = held + data
-                            held = b"\n" if whole.endswith(b"\n") else b""
-                            out.write(between + (whole[: len(whole) - len(held)]).replace(b"\n", b",\n"))
-                            between = b""
-                        between = between or b",\n"
+                    with own.open_input_stream(file, compression=None) as raw:
+                        if not k:
+                            raw.read(len(BETWEEN))
+                        rows = raw if packed else gzip.GzipFile(fileobj=raw)
+                        while data := rows.read(piece):
+                            out.write(data)
                 if paths is not None:
-                    out.write(b"\n]")
-            out.write(b"\n}" if sections else b"{}")
+                    put(b"\n]" if paths else b"]")
+            put(b"\n}" if sections else b"{}")
         for batch in batches:
             yield batch
 
@@ -92,34 +134,78 @@ def _joined(target: str, sections: dict[str, list[str] | None], piece: int = 1 <
 
 
 def write_report(sections: dict[str, DataFrame | None], path: str) -> None:
-    """All sections as one JSON object in the file path, in the order of their rows.
+    """All sections as one JSON object in the file path, in the order of their rows; packed by gzip if the path ends with .gz.
 
-    Each section is encoded in parallel, a part of its order a task; one task then streams the parts into the file, some MB at a time,
-    so neither it nor the driver holds a section. A section that is None is null, one without rows an empty list. The file is complete
-    or not there: it is renamed when all has been written.
+    Each section is encoded and packed in parallel, a part of its order a task; one task then streams the parts into the file, some MB at a
+    time, so neither it nor the driver holds a section. A packed file's members are the parts', so it takes no packing again. A section
+    that is None is null, one without rows an empty list. The file is complete or not there: it is renamed when all has been written.
     """
     spark = next((s for s in sections.values() if s is not None)).sparkSession
     folder, named = new_folder(spark, "report-parts"), {}
-    for name, section in sections.items():
+    for i, (name, section) in enumerate(sections.items()):
         if section is None:
             named[name] = None
             continue
-        section.write.option("ignoreNullFields", False).json(f"{folder}/{name}")
-        store, at = files.located(f"{folder}/{name}")
-        found = [f for f in store.get_file_info(files.fs.FileSelector(at)) if f.base_name.startswith("part-") and f.size]
-        named[name] = [f"{folder}/{name}/{f.base_name}" for f in sorted(found, key=lambda f: int(f.base_name.split("-")[1]))]
-    written = f"{path}.{folder.rsplit('-', 1)[1]}"
+        with released(spark):
+            bodies = section.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in section.columns]), {"ignoreNullFields": "false"}).alias("body"))
+            found = bodies.mapInArrow(_encoder(f"{folder}/{i}"), "part int, path string").collect()
+        named[name] = [r["path"] for r in sorted(found, key=lambda r: r["part"])]
+    end = ".gz" if path.endswith(".gz") else ""
+    written = f"{path}.{folder.rsplit('-', 1)[1]}{end}"
     spark.range(0, 1, 1, 1).mapInArrow(_joined(written, named), "id long").collect()
     store, name = files.located(written)
     store.move(name, files.located(path)[1])
+    if any(named.values()):
+        parts, at = files.located(folder)
+        parts.delete_dir(at)
+
+
+def _members(path: str):
+    """-> (block, size) of the members of a packed report, found by stepping from head to head."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            store, name = files.located(path)
+            blocks, at = [], 0
+            with store.open_input_file(name) as file:
+                while at < file.size():
+                    file.seek(at)
+                    size = struct.unpack("<I", file.read(HEAD)[-4:])[0]
+                    blocks.append((at, size))
+                    at += size
+            yield pa.RecordBatch.from_pydict({"block": pa.array([b for b, _ in blocks], pa.int64()), "size": pa.array([n for _, n in blocks], pa.int64())})
+
+    return run
+
+
+def _lines(path: str):
+    """(block, size) -> (value, ordinal): the lines of each member, but for those that only part rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, name = files.located(path)
+        with store.open_input_file(name) as file:
+            for batch in batches:
+                for block, size in zip(*(batch.column(c).to_pylist() for c in ("block", "size")), strict=True):
+                    file.seek(block)
+                    lines = [line for line in gzip.decompress(file.read(size)).decode().split("\n") if line not in ("", ",")]
+                    places = pa.StructArray.from_arrays([pa.array([name] * len(lines), pa.string()), pa.array([block] * len(lines), pa.int64()), pa.array(range(len(lines)), pa.int64())], ["file", "block", "row"])
+                    yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), places], names=["value", "ordinal"])
+
+    return run
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """(section, place: from 1, body: a row's JSON) of a file of write_report; a section that is null has one row with the body null.
 
-    Such a file holds a row in each line, so tasks read blocks of it. Only the lines that name a section, a few, go to all of them.
+    Such a file holds a row in each line, so tasks read blocks of it; of a packed file they read members. Only the lines that name a
+    section, a few, go to all of them.
     """
-    lines = numbered(spark.read.option("lineSep", "\n").text(path).withColumn("ordinal", file_order()), "line")
+    if path.endswith(".gz"):
+        members = spark.range(0, 1, 1, 1).mapInArrow(_members(path), "block long, size long")
+        text = members.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))).mapInArrow(_lines(path), f"value string, ordinal {ORDINAL}")
+    else:
+        text = spark.read.option("lineSep", "\n").text(path).withColumn("ordinal", file_order())
+    lines = numbered(text, "line")
     line, null = F.col("value"), F.rtrim(F.col("value"), F.lit(",")).endswith(": null")
     name = F.from_json(F.concat(F.lit("["), F.regexp_extract("value", NAME, 1), F.lit("]")), "array<string>")[0]
     following = F.lead("line", 1, 1 << 62).over(Window.orderBy("line"))

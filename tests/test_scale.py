@@ -161,3 +161,21 @@ def test_runs_are_merged_without_their_tasks(spark, monkeypatch):
     out = io_queries.run_merge(spark, "/root/testdata/sf0.001")
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").count()
     assert out.count() == orders == out.select("run_id").distinct().count()
+
+
+def test_a_packed_report_is_read_by_members(spark, tmp_path, monkeypatch):
+    """It is one gzip file and one JSON object, its parts are packed too and go, and tasks read members of it."""
+    monkeypatch.setattr(bundle, "MEMBER", 10_000)
+    path, rows = str(tmp_path / "report.json.gz"), spark.range(0, 4000, 1, 3).select("id", F.repeat(F.lit("x,\n\"]é"), 50).alias("text"), F.lit(None).cast("string").alias("a b"))
+    sections = {"first": rows.orderBy("id"), "none": None, "empty": rows.limit(0), "one \"": rows.filter("id = 7"), "last": rows.orderBy(F.desc("id"))}
+    homes = set(Path(bundle.new_folder(spark, "x")).parent.iterdir())
+    bundle.write_report(sections, path)
+    assert set(Path(bundle.new_folder(spark, "x")).parent.iterdir()) == homes and [p.name for p in tmp_path.iterdir()] == ["report.json.gz"]
+    whole = json.loads(gzip.decompress(Path(path).read_bytes()))
+    assert list(whole) == list(sections) and [r["id"] for r in whole["last"]] == list(range(3999, -1, -1)) and whole["none"] is None and whole["empty"] == []
+    assert whole["one \""] == [{"id": 7, "text": "x,\n\"]é" * 50, "a b": None}] and Path(path).stat().st_size < 200_000
+    got = bundle.read_report(spark, path)
+    found = sorted((r["section"], r["place"], None if r["body"] == "null" else json.loads(r["body"])) for r in got.filter("section <> 'none'").collect())
+    assert found == sorted((n, i + 1, r) for n, own in whole.items() for i, r in enumerate(own or ()))
+    assert [(r["place"], r["body"]) for r in got.filter("section = 'none'").collect()] == [(1, "null")]
+    assert "RoundRobinPartitioning" in got._jdf.queryExecution().executedPlan().toString()
